@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PAGE = "page"
+_FULL_TIMES = {f: "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" for f in ("timestampFormat", "timestampNTZFormat")}
 
 
 def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -32,6 +33,6 @@ def write_pages(df: DataFrame, path: str, page: str, order: str, columns: list[s
     )
     (
         df.groupBy(F.col(page).cast("int").alias(PAGE))
-        .agg(F.to_json(body).alias("value"))
+        .agg(F.to_json(body, _FULL_TIMES).alias("value"))
         .write.partitionBy(PAGE).text(path)
     )
