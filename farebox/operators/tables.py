@@ -31,6 +31,12 @@ def replace_table(df: DataFrame, name: str, path: str | None = None, partition_b
     writer.saveAsTable(name)
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write the frame and read it back: what is used several times is computed once and survives lost executors."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def create_if_missing(
     spark: SparkSession,
     name: str,
