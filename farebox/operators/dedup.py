@@ -10,10 +10,14 @@ def keep_one(df: DataFrame, keys: list[Column | str], order: list[Column], tie_b
     """First row per key in ``order``; ties are settled by ``tie_break`` (default: all other columns).
 
     The ``= 1`` filter sits directly on the window, so each task keeps one row per key before the shuffle:
-    a key holding a third of the table sends one row per task, not its rows.
+    a key holding a third of the table sends one row per task, not its rows. Rows are sorted by the keys as
+    listed; put the column with the most values first, its prefix then decides most comparisons.
     """
     if tie_break is None:
-        tie_break = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+        names = {k for k in keys if isinstance(k, str)}
+        tie_break = [
+            f.name for f in df.schema.fields if f.name not in names and f.dataType.typeName() not in ("map", "variant")
+        ]
     window = Window.partitionBy(*keys).orderBy(*order, *[F.col(c).asc_nulls_last() for c in tie_break])
     return df.withColumn("_position", F.row_number().over(window)).where("_position = 1").drop("_position")
 

@@ -44,13 +44,11 @@ def create_if_missing(
     path: str | None = None,
     partition_by: list[str] | None = None,
 ) -> None:
-    """An empty table with this schema, unless the table exists."""
-    writer = spark.createDataFrame([], schema).write.mode("ignore").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    """An empty table with this schema, unless the table exists; without ``path`` Spark manages its files."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    location = f"LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitions} {location}")
 
 
 def append_rows(df: DataFrame, name: str) -> None:
@@ -146,7 +144,8 @@ def overwrite_interval_in_table(
     """Replace [start, end) of a day-partitioned table, reading and writing only the days of the interval.
 
     Days that only partly fall into the interval keep their other rows. Days of the interval that got no new row
-    are dropped, which a partition overwrite alone would leave as they were. Repeating a failed run repairs it.
+    are dropped, which a partition overwrite alone would leave as they were; for a table whose files Spark manages
+    that deletes them too. Repeating a failed run repairs it.
     """
     last = end - timedelta(microseconds=1)
     edges = {m.date() for m, whole in ((start, start.time() == time.min), (last, end.time() == time.min)) if not whole}
@@ -159,15 +158,6 @@ def overwrite_interval_in_table(
     stale = [d for d in stored if str(start.date()) <= d <= str(last.date()) and d not in written]
     if stale:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION ({day} = '{d}')" for d in stale))
-        for d in stale:
-            _remove_folder(spark, name, f"{day}={d}")
-
-
-def _remove_folder(spark: SparkSession, name: str, folder: str) -> None:
-    """Delete a dropped partition's files; the catalog leaves them in place for tables with their own location."""
-    location = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{location}/{folder}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # ---- keyed upsert ----

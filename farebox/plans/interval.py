@@ -21,6 +21,7 @@ from farebox.operators.checks import (
 from farebox.operators.conform import ingest_shape
 from farebox.operators.dedup import keep_one
 from farebox.operators.layout import DAY, with_day_range
+from farebox.operators.lookups import small_side
 from farebox.operators.tables import (
     LEDGER,
     append_rows,
@@ -38,25 +39,25 @@ STAGED_COLUMNS = (
 ).split()
 
 
-def _amount_texts() -> list:
-    return [double_text(c) for c in ("fare_amount", "tip_amount", "total_amount")]
+AMOUNTS = ["fare_amount", "tip_amount", "total_amount"]
 
 
 def staging_trips(trips: DataFrame, payment_lookup: DataFrame, start, end) -> DataFrame:
     """Valid trips picked up in [start, end), one row per identity (the latest extraction), with id and payment name.
 
-    Amounts take part in the identity by their text, so values that print alike are one trip. Filters come first
-    and reach the scan; the lookup join and the md5 run on the rows that are kept.
+    The id hashes the amounts' text; equal text means equal value, so rows are matched by value, which sorts
+    faster. Filters come first and reach the scan; the lookup join and the md5 run on the rows that are kept.
     """
     valid = trips.where(
         in_half_open("pickup_datetime", start, end) & (F.col("trip_distance") >= 0) & (F.col("total_amount") >= 0)
     )
     places = ["vendor_id", "pickup_datetime", "dropoff_datetime", "pu_location_id", "do_location_id"]
-    latest = keep_one(valid, [*places, *_amount_texts(), "taxi_type"], [F.col("extracted_at").desc_nulls_last()])
-    lookup = payment_lookup.select(F.col("payment_type_id").alias("_code"), "payment_type_name")
+    identity = ["pickup_datetime", "dropoff_datetime", "vendor_id", "pu_location_id", "do_location_id", *AMOUNTS, "taxi_type"]
+    latest = keep_one(valid, identity, [F.col("extracted_at").desc_nulls_last()])
+    lookup = small_side(payment_lookup.select(F.col("payment_type_id").alias("_code"), "payment_type_name"))
     return (
         latest.join(lookup, F.col("payment_type") == F.col("_code"), "left")
-        .withColumn("trip_id", row_id(*places, *_amount_texts(), "taxi_type"))
+        .withColumn("trip_id", row_id(*places, *[double_text(c) for c in AMOUNTS], "taxi_type"))
         .withColumnsRenamed({"pu_location_id": "pickup_location_id", "do_location_id": "dropoff_location_id"})
         .select(*STAGED_COLUMNS)
     )
@@ -131,18 +132,18 @@ def run_interval(
     end: datetime,
     taxi_types: Iterable[str] = ("yellow", "green"),
 ) -> None:
-    """Ingest, stage, check and report one interval into ``database`` (tables stored under ``root``).
+    """Ingest, stage, check and report one interval into ``database``, whose tables lie under ``root``.
 
     Running the same interval again leaves the same tables. A failed check stops before the report.
     """
     names = {t: f"{database}.{t}" for t in ("ingested_trips", "load_ledger", "staged_trips", "trips_report")}
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    create_if_missing(spark, names["ingested_trips"], INGESTED_TRIP, f"{root}/ingested_trips")
-    create_if_missing(spark, names["load_ledger"], LEDGER, f"{root}/load_ledger")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
+    create_if_missing(spark, names["ingested_trips"], INGESTED_TRIP)
+    create_if_missing(spark, names["load_ledger"], LEDGER)
     load_months(spark, names["ingested_trips"], names["load_ledger"], path_of, start.date(), end.date(), taxi_types)
 
     staged = staging_trips(spark.table(names["ingested_trips"]), payment_lookup, start, end)
-    _create_by_day(spark, names["staged_trips"], staged.schema, f"{root}/staged_trips", DAY)
+    _create_by_day(spark, names["staged_trips"], staged.schema)
     overwrite_interval_in_table(spark, names["staged_trips"], staged, "pickup_datetime", start, end)
 
     stored = with_day_range(spark.table(names["staged_trips"]), "pickup_datetime", start, end).drop(DAY)
@@ -152,7 +153,7 @@ def run_interval(
     first, after = datetime.combine(start.date(), datetime.min.time()), _next_midnight(end)
     days = with_day_range(spark.table(names["staged_trips"]), "pickup_datetime", first, after)
     report = trips_report(days, first, after)
-    _create_by_day(spark, names["trips_report"], report.schema, f"{root}/trips_report", DAY)
+    _create_by_day(spark, names["trips_report"], report.schema)
     overwrite_interval_in_table(spark, names["trips_report"], report, "pickup_date", first, after)
     assert_all(check_report(spark.table(names["trips_report"])))
 
@@ -162,6 +163,6 @@ def _next_midnight(moment: datetime) -> datetime:
     return midnight if midnight == moment else datetime.fromordinal(midnight.toordinal() + 1)
 
 
-def _create_by_day(spark: SparkSession, name: str, schema: T.StructType, path: str, day: str) -> None:
-    schema = T.StructType([*schema.fields, T.StructField(day, T.DateType())])
-    create_if_missing(spark, name, schema, path, [day])
+def _create_by_day(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    schema = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
+    create_if_missing(spark, name, schema, partition_by=[DAY])

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from farebox.functions import day_of, hours_between, tip_bucket, tip_bucket_rank
 from farebox.operators.aggregates import load_report, money
 from farebox.operators.checks import duplicate_count
+from farebox.operators.lookups import small_side
 from farebox.plans import analytics
 from farebox.plans.interval import trips_report
 from farebox.sources import bounded_counts
@@ -66,7 +67,7 @@ def a7(spark, sf):
     where pickup_datetime >= '1996-01-01' and pickup_datetime < '1997-01-01' group by 1, 2, 3""")
 def a9(spark, sf):
     amounts = {c: F.col(c).cast("decimal(18,2)") for c in ("fare_amount", "tip_amount", "total_amount")}
-    lookup = feeds.payment_lookup(spark)
+    lookup = small_side(feeds.payment_lookup(spark))
     rows = feeds.ingested(spark, sf).withColumns(amounts).join(
         lookup, F.col("payment_type") == F.col("payment_type_id"), "left")
     report = trips_report(rows, "1996-01-01", "1997-01-01")

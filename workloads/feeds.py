@@ -9,9 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from farebox.operators.lookups import small_side
 from farebox.plans import marts, staging
 
+# amounts are products of cents and hundredths, rounded half up to cents in whole numbers
+_CENTS = "floor(l_extendedprice * 100 + 0.5)"
 # column: (formula, table besides lineitem it comes from)
 _TRIP = {
     "vendorid": ("nullif(l_linenumber, 7)", None),
@@ -27,12 +31,8 @@ _TRIP = {
     "fare": ("l_extendedprice", None),
     "extra": ("l_discount", None),
     "mta": ("l_tax", None),
-    "tip": (
-        "cast(cast(cast(l_extendedprice as decimal(12,2)) * cast(l_discount as decimal(4,2)) as decimal(18,2)) "
-        "as double)", None),
-    "total": (
-        "cast(cast(cast(l_extendedprice as decimal(12,2)) * (1 + cast(l_tax as decimal(4,2))) as decimal(18,2)) "
-        "as double)", None),
+    "tip": (f"floor(({_CENTS} * floor(l_discount * 100 + 0.5) + 50) / 100) / 100", None),
+    "total": (f"floor(({_CENTS} * (100 + floor(l_tax * 100 + 0.5)) + 50) / 100) / 100", None),
     "payment": ("nullif(cast(substr(o_orderpriority, 1, 1) as int), 5)", "orders"),
     "service": ("case when l_linestatus = 'O' then 'green' else 'yellow' end", None),
 }
@@ -66,8 +66,15 @@ TRIP_SQL = (
 )
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A driver table; its footer is read for the schema once per process."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def feed(spark: SparkSession, sf: str, columns: list[str]) -> DataFrame:
@@ -116,8 +123,13 @@ def zones(spark: SparkSession, sf: str) -> DataFrame:
     return marts.dim_zones(zone_lookup(spark, sf))
 
 
+def small_zones(spark: SparkSession, sf: str) -> DataFrame:
+    return small_side(zones(spark, sf))
+
+
 def payment_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYMENT_TYPES, "payment_type int, description string")
+    rows = ", ".join(f"({code}, '{name}')" for code, name in PAYMENT_TYPES)
+    return spark.sql(f"select * from values {rows} as payments(payment_type, description)")
 
 
 def payment_lookup(spark: SparkSession) -> DataFrame:

@@ -15,7 +15,7 @@ _WITH = f"with {TRIPS_SQL}, {TRIP_SQL}, {ZONES_SQL}, {PAYMENTS_SQL}"
     select zone, fare_amount::double as fare_amount from trip join zones on pickup_location_id = location_id""")
 def j1(spark, sf):
     trips = feeds.trips(spark, sf, "pickup_location_id", "fare_amount")
-    return trips.join(feeds.zones(spark, sf), F.col("pickup_location_id") == F.col("location_id")).select("zone", "fare_amount")
+    return trips.join(feeds.small_zones(spark, sf), F.col("pickup_location_id") == F.col("location_id")).select("zone", "fare_amount")
 
 
 _ROLES = "pickup_zone, pickup_borough, dropoff_zone, dropoff_borough, tip_amount"

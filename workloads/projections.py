@@ -102,7 +102,7 @@ def p16(spark, sf):
     select location_id, fare_amount::double as fare_amount from trip join zones on pickup_location_id = location_id
     where zone = 'NATION_1'""")
 def p17(spark, sf):
-    zones = feeds.zones(spark, sf).where(F.col("zone") == "NATION_1")
+    zones = feeds.small_zones(spark, sf).where(F.col("zone") == "NATION_1")
     return feeds.trips(spark, sf, "pickup_location_id", "fare_amount").join(
         zones, F.col("pickup_location_id") == F.col("location_id")).select("location_id", "fare_amount")
 

@@ -22,7 +22,7 @@ _WITH = f"with {TRIPS_SQL}, {TRIP_SQL}, {ZONES_SQL}"
 def o1(spark, sf):
     per_location = feeds.trips(spark, sf, "pickup_location_id", "total_amount").groupBy("pickup_location_id").agg(
         F.sum("total_amount").alias("amount"))
-    per_zone = per_location.join(feeds.zones(spark, sf), F.col("pickup_location_id") == F.col("location_id")).groupBy(
+    per_zone = per_location.join(feeds.small_zones(spark, sf), F.col("pickup_location_id") == F.col("location_id")).groupBy(
         "zone").agg(F.sum("amount").alias("total_amount"))
     return ranked(per_zone, [F.col("total_amount").desc(), F.col("zone")], 1)
 

@@ -1,7 +1,5 @@
 """Streams (T1-T11) and the stream questions (Q14). Streams run to the end of their input before the result is read."""
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +21,7 @@ from workloads import feeds
 from workloads.feeds import EVENTS_SQL
 from workloads.registry import cents, register
 from workloads.sets_and_sorts import tumbling_sql
+from workloads.tables import fresh_table
 from workloads.windows import session_sql
 
 _MESSAGE = T.StructType([
@@ -54,8 +53,8 @@ def _sent(spark, sf, name):
 def _run_upsert(spark, windows, keys, mode, name=None, checkpoint=None):
     """Run a window stream into its result table and return the table's name."""
     if name is None:
-        name = f"farebox_windows_{uuid.uuid4().hex[:12]}"
-        create_result_table(spark, name, windows, scratch_path(spark, "windows"))
+        name = fresh_table(spark, "windows")
+        create_result_table(spark, name, windows)
     upsert_windows(windows, name, keys, checkpoint or scratch_path(spark, "state"), mode, available_now=True).awaitTermination()
     return name
 

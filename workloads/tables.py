@@ -17,33 +17,34 @@ from workloads.registry import register
 from workloads.sets_and_sorts import tumbling_sql
 
 
-def _place(spark, name):
-    """A fresh table name and its location."""
-    return f"farebox_{name}_{uuid.uuid4().hex[:12]}", scratch_path(spark, name)
+def fresh_table(spark, name):
+    """A table name nobody uses, in a database that lies in the shared folder."""
+    spark.sql(f"create database if not exists farebox_work location '{scratch_path(spark, 'work')}'")
+    return f"farebox_work.{name}_{uuid.uuid4().hex[:12]}"
 
 
 @register("w1_replaced_table", "select * from customer")
 def w1(spark, sf):
-    name, path = _place(spark, "w1")
-    t.replace_table(feeds.table(spark, sf, "supplier"), name, path)
-    t.replace_table(feeds.table(spark, sf, "customer"), name, path)
+    name = fresh_table(spark, "w1")
+    t.replace_table(feeds.table(spark, sf, "supplier"), name)
+    t.replace_table(feeds.table(spark, sf, "customer"), name)
     return spark.table(name)
 
 
 @register("w2_created_from_header", "select * from supplier")
 def w2(spark, sf):
-    name, path = _place(spark, "w2")
+    name = fresh_table(spark, "w2")
     rows = feeds.table(spark, sf, "supplier")
-    t.create_if_missing(spark, name, rows.schema, path)
+    t.create_if_missing(spark, name, rows.schema)
     t.append_rows(rows, name)
     return spark.table(name)
 
 
 @register("w3_appended_loads", "select * from orders")
 def w3(spark, sf):
-    name, path = _place(spark, "w3")
+    name = fresh_table(spark, "w3")
     orders = feeds.table(spark, sf, "orders")
-    t.create_if_missing(spark, name, orders.schema, path)
+    t.create_if_missing(spark, name, orders.schema)
     for loaded in (F.col("o_orderstatus") == "F", F.col("o_orderstatus") != "F"):
         t.append_rows(orders.where(loaded), name)
     return spark.table(name)
@@ -51,18 +52,18 @@ def w3(spark, sf):
 
 @register("w4_table_as_select", "select o_orderstatus, o_orderdate, o_totalprice from orders where o_totalprice > 1000")
 def w4(spark, sf):
-    name, path = _place(spark, "w4")
+    name = fresh_table(spark, "w4")
     feeds.table(spark, sf, "orders").createOrReplaceTempView("w4_source")
-    spark.sql(f"""create table {name} using parquet location '{path}' as
+    spark.sql(f"""create table {name} using parquet as
         select o_orderstatus, o_orderdate, o_totalprice from w4_source where o_totalprice > 1000""")
     return spark.table(name)
 
 
 @register("w5_day_partitioned_clustered", "select event_id, ts, event_type, value, cast(ts as date) as day from events")
 def w5(spark, sf):
-    name, path = _place(spark, "w5")
+    name = fresh_table(spark, "w5")
     events = feeds.table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
-    layout.day_partitioned(events, "ts", "event_type").option("path", path).saveAsTable(name)
+    layout.day_partitioned(events, "ts", "event_type").saveAsTable(name)
     return spark.table(name)
 
 
@@ -95,14 +96,14 @@ def w7(spark, sf):
 
 @register("w8_staging_and_copy_in", "select c_custkey, c_name, c_nationkey from customer")
 def w8(spark, sf):
-    name, path = _place(spark, "w8")
+    name = fresh_table(spark, "w8")
     rows = feeds.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     csv = scratch_path(spark, "w8-csv")
     rows.write.option("header", True).csv(csv)
-    t.create_if_missing(spark, name, rows.schema, path)
+    t.create_if_missing(spark, name, rows.schema)
     staged = spark.read.schema(rows.schema).option("header", True).csv(csv)
     t.append_rows(staged, name)
-    t.create_if_missing(spark, name, rows.schema, path)
+    t.create_if_missing(spark, name, rows.schema)
     return spark.table(name)
 
 
@@ -139,10 +140,10 @@ def w9_dedup(spark, sf):
     select unique_row_id, o_orderkey, day from target union all
     select unique_row_id, o_orderkey, day from source where unique_row_id not in (select unique_row_id from target)""")
 def w9_table(spark, sf):
-    name, path = _place(spark, "w9")
+    name = fresh_table(spark, "w9")
     source = _orders_with_id(spark, sf).select("unique_row_id", "o_orderkey", "day", "o_orderstatus")
     source_year = source.withColumn("year", F.trunc("day", "year"))
-    t.create_if_missing(spark, name, source_year.schema, path, ["year"])
+    t.create_if_missing(spark, name, source_year.schema, partition_by=["year"])
     t.append_rows(source_year.where("o_orderstatus = 'F'"), name)
     for _ in range(2):
         t.merge_into_table(spark, name, source_year, "unique_row_id", within="year")
@@ -174,9 +175,9 @@ def w10(spark, sf):
 @register("w10_interval_overwrite_in_table", _W10_SQL)
 def w10_table(spark, sf):
     # the new rows have none for January 5th, so that day has to end empty
-    name, path = _place(spark, "w10")
+    name = fresh_table(spark, "w10")
     events, new = _events_and_new(spark, sf)
-    layout.day_partitioned(events, "ts").option("path", path).saveAsTable(name)
+    layout.day_partitioned(events, "ts").saveAsTable(name)
     for _ in range(2):
         t.overwrite_interval_in_table(spark, name, new, "ts", _W10_START, _W10_END)
     return spark.table(name).drop("day")
@@ -195,10 +196,10 @@ def w11(spark, sf):
 
 @register("w12_full_refresh", "select event_type, count(*) as n from events group by 1")
 def w12(spark, sf):
-    name, path = _place(spark, "w12")
+    name = fresh_table(spark, "w12")
     events = feeds.table(spark, sf, "events")
     for rows in (events.where("event_type = 'click'"), events):
-        t.replace_table(rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), name, path)
+        t.replace_table(rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), name)
     return spark.table(name)
 
 
@@ -224,9 +225,9 @@ def w13(spark, sf):
 
 @register("w13_keyed_upsert_in_table", _W13_SQL)
 def w13_table(spark, sf):
-    name, path = _place(spark, "w13")
+    name = fresh_table(spark, "w13")
     old, batch = (df.withColumn("day", F.col("window_start").cast("date")) for df in _old_and_new_windows(spark, sf))
-    layout.by_day(old, "window_start").write.partitionBy("day").option("path", path).saveAsTable(name)
+    layout.by_day(old, "window_start").write.partitionBy("day").saveAsTable(name)
     for _ in range(2):
         t.upsert_into_table(spark, name, batch, ["window_start", "location"])
     return spark.table(name).drop("day")
