@@ -59,7 +59,7 @@ def _against_blocks(vectors: DataFrame, queries: DataFrame, n_queries: int, widt
     """Query sets beyond the limit: vector packs meet query blocks, each pair gives at most k rows per query."""
     n_blocks = -(-n_queries * width // BLOCK_NUMBERS)
     query_blocks = queries.select(
-        F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).alias("block"), "query_id", "embedding"
+        F.pmod(F.xxhash64("query_id"), F.lit(n_blocks).cast("long")).alias("block"), "query_id", "embedding"
     )
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -79,7 +79,7 @@ def _against_blocks(vectors: DataFrame, queries: DataFrame, n_queries: int, widt
         F.collect_list(F.struct("query_id", "embedding")).alias("items")
     ).select("block", F.col("items.query_id").alias("query_ids"), F.col("items.embedding").alias("embeddings"))
     packs = vectors.mapInPandas(pack, "vec_ids array<long>, flat array<double>").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).cast("long")
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))
     )
     joined = packs.join(packed_queries, "block").select("vec_ids", "flat", "query_ids", "embeddings")
     return joined.mapInPandas(score, RESULT)
