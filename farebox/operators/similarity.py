@@ -5,54 +5,61 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # A query set up to this many numbers travels to every task with the plan (8 MB); larger sets are joined in blocks.
 MAX_SHIPPED_NUMBERS = 1_000_000
 BLOCK_NUMBERS = 250_000
+SLICES = 256
 RESULT = "query_id long, vec_id long, score double"
 
 
-def _unit_rows(vectors) -> np.ndarray:
-    matrix = np.asarray(np.stack(vectors), dtype=np.float64)
+def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     length = np.linalg.norm(matrix, axis=1, keepdims=True)
     return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
 
 
-def _best(query_ids: np.ndarray, vec_ids: np.ndarray, scores: np.ndarray, k: int) -> pd.DataFrame:
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Arrow lists of equal length as a matrix of unit rows."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return _unit_rows(flat.reshape(len(column), -1))
+
+
+def _best(query_ids: np.ndarray, vec_ids: np.ndarray, scores: np.ndarray, k: int) -> pa.RecordBatch:
     """The k best vectors of a (query x vector) score matrix per query; ties go to the smaller id."""
     order = np.lexsort((np.broadcast_to(vec_ids, scores.shape), -scores), axis=1)[:, :k]
-    return pd.DataFrame({
-        "query_id": np.repeat(query_ids, order.shape[1]),
-        "vec_id": vec_ids[order].ravel(),
-        "score": np.take_along_axis(scores, order, axis=1).ravel(),
-    })
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.repeat(query_ids, order.shape[1])), pa.array(vec_ids[order].ravel()),
+        pa.array(np.take_along_axis(scores, order, axis=1).ravel()),
+    ], names=["query_id", "vec_id", "score"])
 
 
 def _keep_best(candidates: DataFrame, k: int) -> DataFrame:
-    window = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
-    return candidates.withColumn("position", F.row_number().over(window)).where(F.col("position") <= k)
+    """Two rounds: within slices of the vectors, then over the slices' winners.
+
+    Tasks hand over k rows per query each, so one round alone would bring rows of all tasks to one place per query.
+    """
+    order = [F.col("score").desc(), F.col("vec_id")]
+    sliced = candidates.withColumn("slice", F.pmod(F.xxhash64("vec_id"), F.lit(SLICES)))
+    for keys in (["query_id", "slice"], ["query_id"]):
+        window = Window.partitionBy(*keys).orderBy(*order)
+        sliced = sliced.withColumn("position", F.row_number().over(window)).where(F.col("position") <= k)
+    return sliced.drop("slice")
 
 
 def _against_shipped(vectors: DataFrame, rows: list, k: int) -> DataFrame:
     query_ids = np.array([r["query_id"] for r in rows], dtype=np.int64)
-    queries = _unit_rows([r["embedding"] for r in rows])
+    queries = _unit_rows(np.array([r["embedding"] for r in rows], dtype=np.float64))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                scores = np.round(queries @ _unit_rows(batch["embedding"]).T, 9)
-                found = _best(query_ids, batch["vec_id"].to_numpy(np.int64), scores, k)
-                held = found if held is None else pd.concat([held, found])
-                held = held.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-                held = held.groupby("query_id").head(k)
-        if held is not None:
-            yield held
+            if batch.num_rows:
+                scores = np.round(queries @ _matrix(batch.column("embedding")).T, 9)
+                yield _best(query_ids, batch.column("vec_id").to_numpy(), scores, k)
 
-    return vectors.mapInPandas(score, RESULT)
+    return vectors.mapInArrow(score, RESULT)
 
 
 def _against_blocks(vectors: DataFrame, queries: DataFrame, n_queries: int, width: int, k: int) -> DataFrame:
@@ -62,27 +69,30 @@ def _against_blocks(vectors: DataFrame, queries: DataFrame, n_queries: int, widt
         F.pmod(F.xxhash64("query_id"), F.lit(n_blocks).cast("long")).alias("block"), "query_id", "embedding"
     )
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                yield pd.DataFrame({"vec_ids": [batch["vec_id"].to_numpy()], "flat": [_unit_rows(batch["embedding"]).ravel()]})
+            if batch.num_rows:
+                flat = _matrix(batch.column("embedding")).ravel()
+                ids = batch.column("vec_id").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array([ids]), pa.array([flat])], names=["vec_ids", "flat"])
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.itertuples():
-                vec_ids = np.asarray(row.vec_ids, dtype=np.int64)
-                matrix = np.asarray(row.flat, dtype=np.float64).reshape(len(vec_ids), -1)
-                scores = np.round(_unit_rows(row.embeddings) @ matrix.T, 9)
-                yield _best(np.asarray(row.query_ids, dtype=np.int64), vec_ids, scores, k)
+            for row in range(batch.num_rows):
+                vec_ids, flat, query_ids = (
+                    batch.column(name)[row].values.to_numpy() for name in ("vec_ids", "flat", "query_ids")
+                )
+                queries = _matrix(batch.column("embeddings")[row].values)
+                yield _best(query_ids, vec_ids, np.round(queries @ flat.reshape(len(vec_ids), -1).T, 9), k)
 
     packed_queries = query_blocks.groupBy("block").agg(
         F.collect_list(F.struct("query_id", "embedding")).alias("items")
     ).select("block", F.col("items.query_id").alias("query_ids"), F.col("items.embedding").alias("embeddings"))
-    packs = vectors.mapInPandas(pack, "vec_ids array<long>, flat array<double>").withColumn(
+    packs = vectors.mapInArrow(pack, "vec_ids array<long>, flat array<double>").withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))
     )
     joined = packs.join(packed_queries, "block").select("vec_ids", "flat", "query_ids", "embeddings")
-    return joined.mapInPandas(score, RESULT)
+    return joined.mapInArrow(score, RESULT)
 
 
 def top_k_similar(vectors: DataFrame, queries: DataFrame, k: int, max_numbers: int = MAX_SHIPPED_NUMBERS) -> DataFrame:
@@ -93,8 +103,8 @@ def top_k_similar(vectors: DataFrame, queries: DataFrame, k: int, max_numbers: i
     query set's size is measured first; beyond the limit, vector packs are joined to query blocks instead.
     Scores are rounded to 9 decimals so that the order does not depend on how the product is summed.
     """
-    vectors = vectors.select(F.col("vec_id").cast("long"), "embedding")
-    queries = queries.select(F.col("query_id").cast("long"), "embedding")
+    vectors = vectors.where(F.col("embedding").isNotNull()).select(F.col("vec_id").cast("long"), "embedding")
+    queries = queries.where(F.col("embedding").isNotNull()).select(F.col("query_id").cast("long"), "embedding")
     size = queries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("width")).first()
     if size["n"] * size["width"] <= max_numbers:
         candidates = _against_shipped(vectors, queries.collect(), k) if size["n"] else vectors.sparkSession.createDataFrame([], RESULT)

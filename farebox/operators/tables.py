@@ -6,8 +6,6 @@ afterwards) and as a write that touches only the files it has to. One writer per
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from datetime import datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -113,28 +111,16 @@ def interval_overwrite(target: DataFrame, new: DataFrame, key: str, start, end)
     return target.where(outside).unionByName(new.select(*target.columns))
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Let an overwrite replace only the folders it writes to."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
 def _overwrite_days(df: DataFrame, name: str, day: str) -> list[str]:
     """Replace the day folders the frame has rows for; returns those days."""
     spark = df.sparkSession
+    # stays set: without it the insert would replace the whole table, and another thread may be inserting too
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     seen = Observation()
     columns = spark.table(name).columns
     balanced = df.select(*columns).hint("rebalance", F.col(day))
-    with _dynamic_overwrite(spark):
-        balanced.observe(seen, F.collect_set(F.col(day).cast("string")).alias("days")).write.mode(
-            "overwrite"
-        ).insertInto(name)
+    observed = balanced.observe(seen, F.collect_set(F.col(day).cast("string")).alias("days"))
+    observed.write.mode("overwrite").insertInto(name)
     return list(seen.get["days"])
 
 
@@ -176,7 +162,8 @@ def upsert_into_table(
 ) -> None:
     """Keyed upsert into a day-partitioned table; rewrites only the days the batch touches.
 
-    The keys must determine the day. Running it again with the same batch changes nothing.
+    The keys must determine the day. Running it again with the same batch changes nothing. The batch is read several
+    times; pass a stored or cached one when it is costly.
     """
     days = batch.select(day).distinct()
     bounds = batch.agg(F.min(day).alias("low"), F.max(day).alias("high"))

@@ -14,6 +14,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # overwriting a partitioned table replaces the folders written to and no others
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # sessions of one key are merged inside a task before its rows are shuffled, which keeps a hot key small
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

@@ -47,7 +47,7 @@ def test_query(spark, sql, plan_of, name):
     plan = plan_of(df)
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     if name not in PYTHON_QUERIES:
-        assert "Python" not in plan and "InPandas" not in plan
+        assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan
 
 
 def test_contract(spark):

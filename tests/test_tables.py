@@ -202,3 +202,9 @@ def test_failed_check_stops_the_gate(spark, lookup):
     from farebox.operators.checks import assert_all
     with pytest.raises(CheckFailed, match="no_duplicate_trips"):
         assert_all(interval.check_staging(staged.union(staged)))
+
+
+def test_scratch_lies_in_the_configured_folder(spark):
+    from farebox.session import scratch_path, shared_dir
+    assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
