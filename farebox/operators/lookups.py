@@ -12,7 +12,7 @@ MAX_LOOKUP_BYTES = 32 * 1024 * 1024
 def small_side(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS, max_bytes: int = MAX_LOOKUP_BYTES) -> DataFrame:
     """The lookup with a broadcast hint if it is measured to be small, else unchanged.
 
-    The measurement stops after ``max_rows`` + 1 rows. A larger lookup is joined by shuffling, where adaptive
+    Pass a stored lookup: measuring reads it. The measurement stops after ``max_rows`` + 1 rows. A larger lookup is joined by shuffling, where adaptive
     execution splits the partitions of codes that hold a large part of the rows.
     """
     text = F.concat_ws(",", *[F.col(f"`{c}`").cast("string") for c in df.columns])

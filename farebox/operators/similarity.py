@@ -105,7 +105,12 @@ def top_k_similar(vectors: DataFrame, queries: DataFrame, k: int, max_numbers: i
     """
     vectors = vectors.where(F.col("embedding").isNotNull()).select(F.col("vec_id").cast("long"), "embedding")
     queries = queries.where(F.col("embedding").isNotNull()).select(F.col("query_id").cast("long"), "embedding")
-    size = queries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("width")).first()
+    size = queries.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("query_id").alias("ids"),
+        F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("width"),
+    ).first()
+    if size["ids"] != size["n"]:
+        raise ValueError("query ids must be unique")
     if size["n"] * size["width"] <= max_numbers:
         candidates = _against_shipped(vectors, queries.collect(), k) if size["n"] else vectors.sparkSession.createDataFrame([], RESULT)
     else:

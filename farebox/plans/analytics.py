@@ -116,7 +116,9 @@ def least_frequent_zone(trips: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def trips_per_period(rows: DataFrame, ts: str, fmt: str, out: str) -> DataFrame:
-    """Trips per formatted period, e.g. 'yyyy-MM' or 'yyyy-MM-dd'; the text is made once per day, not per row."""
+    """Trips per formatted period of a day or longer ('yyyy-MM', 'yyyy-MM-dd'); the text is made per day, not per row."""
+    if set(fmt) & set("HhKkmsSnNAa"):
+        raise ValueError(f"{fmt} is finer than a day")
     per_day = rows.groupBy(F.col(ts).cast("date").alias("_day")).agg(F.count(F.lit(1)).alias("n"))
     return per_day.groupBy(F.date_format("_day", fmt).alias(out)).agg(F.sum("n").alias("trips")).orderBy(out)
 

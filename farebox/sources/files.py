@@ -50,9 +50,11 @@ def read_csv(
     return df.repartition(spread_over) if spread_over else df
 
 
-def read_json_list(spark: SparkSession, *paths: str, field: str, schema: T.StructType | None = None) -> DataFrame:
-    """Rows of the array ``field`` inside JSON documents, one document per file."""
-    reader = spark.read.option("multiLine", True)
+def read_json_list(
+    spark: SparkSession, *paths: str, field: str, schema: T.StructType | None = None, one_per_line: bool = False
+) -> DataFrame:
+    """Rows of the array ``field`` inside JSON documents, one document per file or per line."""
+    reader = spark.read.option("multiLine", not one_per_line)
     if schema is not None:
         reader = reader.schema(T.StructType([T.StructField(field, T.ArrayType(schema))]))
     return reader.json(list(paths)).select(F.inline(field))

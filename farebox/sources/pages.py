@@ -1,4 +1,4 @@
-"""Numbered pages of JSON records, one page per file under ``page=<n>`` folders."""
+"""Numbered pages of JSON records under ``page=<n>`` folders, as one array per page or one record per line."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ _FULL_TIMES = {f: "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" for f in ("timestampFormat", "t
 def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Records of pages 1, 2, … up to the first page that is empty or absent.
 
-    All pages are read in parallel; each file holds one JSON array, which the reader flattens. The stop page is
+    All pages are read in parallel; the reader flattens a page that is one JSON array. The stop page is
     found among the page numbers alone, and later pages are left out by partition pruning at run time.
     """
     rows = spark.read.schema(schema).json(path).withColumn(PAGE, F.col(PAGE).cast("int"))
@@ -25,14 +25,10 @@ def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return rows.where(F.col(PAGE) < stop.scalar())
 
 
-def write_pages(df: DataFrame, path: str, page: str, order: str, columns: list[str]) -> None:
-    """Store records as page files, the counterpart of ``read_pages``; a page is as large as its page number groups."""
-    body = F.transform(
-        F.array_sort(F.collect_list(F.struct(F.col(order).alias("_order"), F.struct(*columns).alias("_row")))),
-        lambda item: item["_row"],
-    )
+def write_pages(df: DataFrame, path: str, page: str, columns: list[str]) -> None:
+    """Store records under page folders, the counterpart of ``read_pages``; a page much larger than others is split."""
     (
-        df.groupBy(F.col(page).cast("int").alias(PAGE))
-        .agg(F.to_json(body, _FULL_TIMES).alias("value"))
-        .write.partitionBy(PAGE).text(path)
+        df.select(F.col(page).cast("int").alias(PAGE), *columns)
+        .hint("rebalance", F.col(PAGE))
+        .write.partitionBy(PAGE).options(**_FULL_TIMES).json(path)
     )

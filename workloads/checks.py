@@ -7,7 +7,7 @@ from farebox.operators.tables import stored
 from farebox.plans import marts
 from farebox.session import scratch_path
 from workloads import feeds
-from workloads.feeds import FACT_SQL, INT_TRIPS_SQL, MONTHLY_SQL, TRIPS_SQL, TRIP_SQL, ZONES_SQL
+from workloads.feeds import INT_TRIPS_SQL, MONTHLY_SQL, TRIPS_SQL, TRIP_SQL, ZONES_SQL
 from workloads.registry import register
 
 _TRIPS = f"with {TRIPS_SQL}, {TRIP_SQL}"

@@ -6,7 +6,7 @@ from farebox.functions import between_closed, in_half_open, in_month, in_range_o
 from farebox.operators.conform import drop_zone, ingest_shape, keep_existing, nullable_integer
 from farebox.plans import analytics
 from workloads import feeds
-from workloads.feeds import PAYMENTS_SQL, TRIPS_SQL, TRIP_SQL, ZONES_SQL
+from workloads.feeds import TRIPS_SQL, TRIP_SQL, ZONES_SQL
 from workloads.registry import register
 
 _TRIPS = f"with {TRIPS_SQL}, {TRIP_SQL}"

@@ -92,13 +92,8 @@ def s7(spark, sf):
 def s8(spark, sf):
     item = F.struct(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"), F.col("p_retailprice").alias("price"))
     path = scratch_path(spark, "s8")
-    (
-        feeds.table(spark, sf, "part").groupBy(F.floor(F.col("p_partkey") / 1000).alias("document"))
-        .agg(F.collect_list(item).alias("products"))
-        .select("document", F.to_json(F.struct("products")).alias("value"))
-        .write.partitionBy("document").text(path)
-    )
-    return sources.read_json_list(spark, f"{path}/*/*", field="products").select("id", "brand", "price")
+    feeds.table(spark, sf, "part").select(F.array(item).alias("products")).write.json(path)
+    return sources.read_json_list(spark, path, field="products", one_per_line=True).select("id", "brand", "price")
 
 
 @register("s9_paged_records", """
@@ -108,11 +103,11 @@ def s9(spark, sf):
     path = scratch_path(spark, "s9")
     rows = feeds.table(spark, sf, "events").select(
         F.col("ts").alias("trip_pickup_date_time"), F.col("value").alias("tip_amt"),
-        F.col("event_type").alias("payment_type"), "event_id",
+        F.col("event_type").alias("payment_type"),
         (F.floor(F.col("event_id") / 1000) + 1).alias("page"),
     )
     columns = ["trip_pickup_date_time", "tip_amt", "payment_type"]
-    sources.write_pages(rows, path, "page", "event_id", columns)
+    sources.write_pages(rows, path, "page", columns)
     schema = T.StructType([
         T.StructField(columns[0], T.TimestampNTZType()), T.StructField(columns[1], T.DoubleType()),
         T.StructField(columns[2], T.StringType()),

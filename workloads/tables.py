@@ -4,7 +4,6 @@ import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from farebox.functions import on_day, row_id
 from farebox.operators import layout
