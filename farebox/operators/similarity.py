@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# tasks receive this module's functions by value, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # A query set up to this many numbers travels to every task with the plan (8 MB); larger sets are joined in blocks.
 MAX_SHIPPED_NUMBERS = 1_000_000
 BLOCK_NUMBERS = 250_000

@@ -11,11 +11,11 @@ from farebox.sources.files import (
     read_parquet,
     read_units,
 )
-from farebox.sources.pages import read_pages, write_pages
+from farebox.sources.pages import land_pages, read_pages, write_pages
 from farebox.sources.seeds import load_seed
 
 __all__ = [
-    "bounded_counts", "external_view", "first_rows", "load_seed", "month_units", "parse_events", "profile",
+    "bounded_counts", "external_view", "first_rows", "land_pages", "load_seed", "month_units", "parse_events", "profile",
     "read_csv", "read_event_files", "read_event_topic", "read_json_list", "read_pages", "read_parquet",
     "read_units", "stream_event_files", "write_pages",
 ]

@@ -93,6 +93,16 @@ def test_later_pages_are_pruned(spark, tmp_path, plan_of):
     assert "PartitionFilters: [isnotnull(page" in plan
 
 
+@pytest.mark.parametrize("readers", [1, 3])
+def test_pages_are_fetched_in_parallel_up_to_the_empty_one(spark, tmp_path, readers):
+    """Page 4 is empty. Three readers also fetch page 5; the stop rule leaves it out."""
+    for page in range(1, 12):
+        (tmp_path / f"{page}.json").write_text(json.dumps([_trip(float(page))] * 2 if page < 4 or page == 5 else [], indent=1))
+    sources.land_pages(spark, f"file://{tmp_path}/{{page}}.json", f"file:{tmp_path}/landed", readers)
+    got = sources.read_pages(spark, f"file:{tmp_path}/landed", PAGED_TRIP).collect()
+    assert sorted((r.page, r.tip_amt) for r in got) == [(p, float(p)) for p in (1, 1, 2, 2, 3, 3)]
+
+
 def test_month_units():
     assert sources.month_units(["y", "g"], date(2024, 11, 30), date(2025, 1, 1)) == [
         ("y", date(2024, 11, 1)), ("g", date(2024, 11, 1)), ("y", date(2024, 12, 1)), ("g", date(2024, 12, 1))]
