@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from farebox.functions.columns import as_column
+
 MISSING = "N/A"
 
 
 def json_fields(document: Column | str, fields: list[str], missing: str = MISSING) -> list[Column]:
     """The listed fields of a JSON object as text: an absent field gives ``missing``, an explicit null stays NULL."""
-    doc = F.parse_json(F.col(document) if isinstance(document, str) else document)
+    doc = F.parse_json(as_column(document))
     out = []
     for name in fields:
         path = f'$["{name}"]'

@@ -5,21 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from farebox.functions.columns import as_column
+
 # Fixed value: the text that stands for NULL inside a surrogate key.
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 
 
-def _as_column(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
-
-
 def double_text(col: Column | str) -> Column:
     """Decimal text of a double without exponent and without a trailing '.0'.
 
     Spark writes 1.0E7 where databases write 10000000; ids have to agree, so the exponent range goes
     through a decimal.
     """
-    col = _as_column(col)
+    col = as_column(col)
     plain = col.cast("string")
     size = F.abs(col)
     wide = decimal_text(col.try_cast("decimal(38,12)"))
@@ -31,7 +29,7 @@ def double_text(col: Column | str) -> Column:
 
 def decimal_text(col: Column | str) -> Column:
     """Text of a decimal with at least one decimal place, trailing zeros removed."""
-    return F.rtrim(F.rtrim(_as_column(col).cast("string"), F.lit("0")), F.lit("."))
+    return F.rtrim(F.rtrim(as_column(col).cast("string"), F.lit("0")), F.lit("."))
 
 
 def row_id(*cols: Column | str, sep: str = "-", null_token: str = "", as_bytes: bool = False) -> Column:
@@ -40,7 +38,7 @@ def row_id(*cols: Column | str, sep: str = "-", null_token: str = "", as_bytes:
     ``sep=""`` gives the unseparated form, in which ("1", "23") and ("12", "3") share an id; keep it for
     tables that already carry such ids.
     """
-    parts = [F.coalesce(_as_column(c).cast("string"), F.lit(null_token)) for c in cols]
+    parts = [F.coalesce(as_column(c).cast("string"), F.lit(null_token)) for c in cols]
     digest = F.md5(F.concat_ws(sep, *parts))
     return F.unhex(digest) if as_bytes else digest
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from farebox.functions.columns import as_column
+
 # Vendor codes. A code outside the list has no name.
 VENDORS = {
     1: "Creative Mobile Technologies",
@@ -18,18 +20,14 @@ TIP_CLASSES = [(2, "0–2"), (5, "2–5"), (10, "5–10"), (20, "10–20")]
 TOP_TIP = "20+"
 
 
-def _col(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
-
-
 def vendor_name(col: Column | str) -> Column:
     """Name of a vendor code, NULL when the code is not listed."""
     pairs = [F.lit(x) for item in VENDORS.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), _col(col).cast("int"))
+    return F.try_element_at(F.create_map(*pairs), as_column(col).cast("int"))
 
 
 def _tip_ladder(col: Column | str, values: list) -> Column:
-    tip = _col(col)
+    tip = as_column(col)
     ladder = F.when(tip == 0, values[0])
     for (bound, _), value in zip(TIP_CLASSES, values[1:]):
         ladder = ladder.when(tip < bound, value)

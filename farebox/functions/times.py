@@ -10,11 +10,9 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
+from farebox.functions.columns import as_column
 
-def _col(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def _moment(value: str | date | datetime) -> Column:
@@ -32,36 +30,36 @@ def next_month(day: date) -> date:
 
 def minute_boundaries(start: Column | str, end: Column | str) -> Column:
     """Minute boundaries crossed between two moments: 10:00:59 to 10:01:01 is 1; negative when reversed."""
-    floor_start, floor_end = F.date_trunc("minute", _col(start)), F.date_trunc("minute", _col(end))
+    floor_start, floor_end = F.date_trunc("minute", as_column(start)), F.date_trunc("minute", as_column(end))
     return F.timestamp_diff("MINUTE", floor_start, floor_end)
 
 
 def hours_between(start: Column | str, end: Column | str) -> Column:
     """Difference in hours from whole epoch seconds."""
-    return (F.unix_timestamp(_col(end)) - F.unix_timestamp(_col(start))) / F.lit(3600)
+    return (F.unix_timestamp(as_column(end)) - F.unix_timestamp(as_column(start))) / F.lit(3600)
 
 
 def month_start(col: Column | str) -> Column:
-    return F.trunc(_col(col), "month")
+    return F.trunc(as_column(col), "month")
 
 
 def day_of(col: Column | str) -> Column:
-    return _col(col).cast("date")
+    return as_column(col).cast("date")
 
 
 def parse_event_time(col: Column | str, fmt: str = EVENT_TIME_FORMAT) -> Column:
     """Text to timestamp; text that does not fit becomes NULL instead of stopping a stream."""
-    return F.try_to_timestamp(_col(col), F.lit(fmt))
+    return F.try_to_timestamp(as_column(col), F.lit(fmt))
 
 
 def in_half_open(col: Column | str, start, end) -> Column:
     """start <= col < end."""
-    return (_col(col) >= _moment(start)) & (_col(col) < _moment(end))
+    return (as_column(col) >= _moment(start)) & (as_column(col) < _moment(end))
 
 
 def between_closed(col: Column | str, start, end) -> Column:
     """BETWEEN with date bounds: of the last day only midnight itself is inside."""
-    return _col(col).between(_moment(start), _moment(end))
+    return as_column(col).between(_moment(start), _moment(end))
 
 
 def in_range_of_days(col: Column | str, first_day, last_day) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from farebox.functions.columns import as_column
+
 
 def share_of_total(df: DataFrame, key: str, out: str = "pct") -> DataFrame:
     """Rows per key and their percentage of all rows, rounded to two decimals.
@@ -35,4 +37,4 @@ def load_report(df: DataFrame, unit: list[str]) -> DataFrame:
 
 def money(col: Column | str, dtype: str = "decimal(18,2)") -> Column:
     """Exact sum of an amount in cents, independent of row order."""
-    return F.sum((F.col(col) if isinstance(col, str) else col).cast(dtype))
+    return F.sum(as_column(col).cast(dtype))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farebox.functions.columns import as_column
 from farebox.schemas import INGEST_INTEGERS, INGEST_KEEP, INGEST_RENAMES, Field
 
 
@@ -31,7 +32,7 @@ def with_constants(df: DataFrame, **values: Column) -> DataFrame:
 
 def nullable_integer(col: Column | str, dtype: str = "int") -> Column:
     """Integer, with NaN and everything unreadable as NULL."""
-    return (F.col(col) if isinstance(col, str) else col).try_cast(dtype)
+    return as_column(col).try_cast(dtype)
 
 
 def drop_zone(df: DataFrame) -> DataFrame:

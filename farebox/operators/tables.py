@@ -35,6 +35,16 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def table_ddl(
+    name: str, schema: T.StructType, path: str | None = None, partition_by: list[str] | None = None
+) -> str:
+    """CREATE TABLE text for a schema."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    partitions = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    location = f" LOCATION '{path}'" if path else ""
+    return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitions}{location}"
+
+
 def create_if_missing(
     spark: SparkSession,
     name: str,
@@ -43,10 +53,7 @@ def create_if_missing(
     partition_by: list[str] | None = None,
 ) -> None:
     """An empty table with this schema, unless the table exists; without ``path`` Spark manages its files."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    location = f"LOCATION '{path}'" if path else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitions} {location}")
+    spark.sql(table_ddl(name, schema, path, partition_by))
 
 
 def append_rows(df: DataFrame, name: str) -> None:

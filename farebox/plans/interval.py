@@ -20,7 +20,7 @@ from farebox.operators.checks import (
 )
 from farebox.operators.conform import ingest_shape
 from farebox.operators.dedup import keep_one
-from farebox.operators.layout import DAY, with_day_range
+from farebox.operators.layout import DAY, by_day, with_day_range
 from farebox.operators.lookups import small_side
 from farebox.operators.tables import (
     LEDGER,
@@ -97,7 +97,7 @@ def load_months(
     end: date,
     taxi_types: Iterable[str] = ("yellow", "green"),
 ) -> list[tuple[str, date]]:
-    """Append the month files the ledger does not list; returns the units appended now.
+    """Append the month files the ledger does not list to a day-partitioned table; returns the units appended now.
 
     Months without a file are skipped and stay pending. A unit is recorded after its rows are stored, so a crash
     in between repeats rows, which staging's latest-wins dedup removes.
@@ -114,7 +114,8 @@ def load_months(
         for field in INGESTED_TRIP.fields:
             if field.name not in shaped.columns:
                 shaped = shaped.withColumn(field.name, F.lit(None))
-        append_rows(shaped.select(*[F.col(f.name).cast(f.dataType) for f in INGESTED_TRIP.fields]), table)
+        typed = shaped.select(*[F.col(f.name).cast(f.dataType) for f in INGESTED_TRIP.fields])
+        append_rows(by_day(typed, "pickup_datetime"), table)
         done = [u for u in wanted if u not in missing]
         record = spark.createDataFrame([(*u, None) for u in done], LEDGER)
         append_rows(record, ledger)
@@ -138,11 +139,12 @@ def run_interval(
     """
     names = {t: f"{database}.{t}" for t in ("ingested_trips", "load_ledger", "staged_trips", "trips_report")}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
-    create_if_missing(spark, names["ingested_trips"], INGESTED_TRIP)
+    _create_by_day(spark, names["ingested_trips"], INGESTED_TRIP)
     create_if_missing(spark, names["load_ledger"], LEDGER)
     load_months(spark, names["ingested_trips"], names["load_ledger"], path_of, start.date(), end.date(), taxi_types)
 
-    staged = staging_trips(spark.table(names["ingested_trips"]), payment_lookup, start, end)
+    ingested = with_day_range(spark.table(names["ingested_trips"]), "pickup_datetime", start, end).drop(DAY)
+    staged = staging_trips(ingested, payment_lookup, start, end)
     _create_by_day(spark, names["staged_trips"], staged.schema)
     overwrite_interval_in_table(spark, names["staged_trips"], staged, "pickup_datetime", start, end)
 

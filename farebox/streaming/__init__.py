@@ -1,6 +1,6 @@
 """Event-time aggregates over streams and the tables they maintain."""
 
-from farebox.streaming.producer import to_messages, write_messages
+from farebox.streaming.producer import send_messages, to_messages, write_messages
 from farebox.streaming.sinks import append_windows, upsert_windows
 from farebox.streaming.windows import (
     session_counts_stream,
@@ -11,6 +11,6 @@ from farebox.streaming.windows import (
 )
 
 __all__ = [
-    "append_windows", "session_counts_stream", "to_messages", "top_windows", "tumbling_counts", "tumbling_sums",
+    "append_windows", "send_messages", "session_counts_stream", "to_messages", "top_windows", "tumbling_counts", "tumbling_sums",
     "upsert_windows", "with_event_time", "write_messages",
 ]

@@ -31,3 +31,10 @@ def to_messages(trips: DataFrame, columns: list[str] = EVENT_COLUMNS) -> DataFra
 def write_messages(trips: DataFrame, path: str, columns: list[str] = EVENT_COLUMNS) -> None:
     """Messages as text files, one object per line, in the order of the input's files."""
     to_messages(trips, columns).write.mode("append").text(path)
+
+
+def send_messages(trips: DataFrame, servers: str, topic: str, columns: list[str] = EVENT_COLUMNS) -> None:
+    """Messages to a topic; needs the Kafka connector package on the session's class path."""
+    to_messages(trips, columns).write.format("kafka").options(
+        **{"kafka.bootstrap.servers": servers, "topic": topic}
+    ).save()

@@ -171,6 +171,25 @@ def test_lookup_is_broadcast_only_when_small(spark, plan_of):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hot_code_of_a_large_lookup_is_split(spark, plan_of):
+    """Two thirds of the trips carry one code and the lookup is too large to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        trips = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("k"))
+        lookup = spark.range(0, 60_000, 1, 8).select(F.col("id").alias("code"), F.lit("x").alias("label"))
+        joined = trips.join(small_side(lookup, max_rows=100), F.col("k") == F.col("code"), "left")
+        assert joined.where("label is null").count() == 0
+        assert "skew=true" in plan_of(joined, executed=True)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_mean_price_by_brand(spark):
     docs = ['{"brand": "A", "price": 1.0}', '{"brand": "A", "price": 2.0}', '{"price": 9}', '{"brand": null, "price": 4}', '{"brand": "B"}']
     df = spark.createDataFrame([(d,) for d in docs], "doc string")

@@ -1,5 +1,8 @@
 """Named questions (Q1-Q6, Q11-Q13, Q15-Q19; Q7-Q10 are with the models, Q14 with the streams)."""
 
+import uuid
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from farebox.operators.layout import day_partitioned, mean_file_size, with_day_range, write_in_files
@@ -103,12 +106,14 @@ def q11(spark, sf):
     return interval.staging_trips(feeds.ingested(spark, sf), feeds.payment_lookup(spark), _START, _END)
 
 
-@register("q12_daily_report_of_an_interval", f"""{_STAGED_SQL}
-    select taxi_type, cast(pickup_datetime as date) as pickup_date, coalesce(payment_type_name, 'unknown') as payment_type_name,
+_REPORT_SQL = f"""select taxi_type, cast(pickup_datetime as date) as pickup_date, coalesce(payment_type_name, 'unknown') as payment_type_name,
       count(*) as total_trips, cast(sum(passenger_count) as bigint) as total_passengers,
       round(avg(trip_distance), 6) as avg_trip_distance, {cents('sum(cast(fare_amount as decimal(18,2)))')} as total_fare,
       {cents('sum(cast(tip_amount as decimal(18,2)))')} as total_tips, {cents('sum(cast(total_amount as decimal(18,2)))')} as total_revenue
-    from staged group by 1, 2, 3""")
+    from staged group by 1, 2, 3"""
+
+
+@register("q12_daily_report_of_an_interval", f"{_STAGED_SQL} {_REPORT_SQL}")
 def q12(spark, sf):
     staged = interval.staging_trips(feeds.ingested(spark, sf), feeds.payment_lookup(spark), _START, _END)
     exact = staged.withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("fare_amount", "tip_amount", "total_amount")})
@@ -116,6 +121,29 @@ def q12(spark, sf):
     return report.withColumn("avg_trip_distance", F.round("avg_trip_distance", 6))
 
 
+_LOADED_SQL = _STAGED_SQL.replace("distance - 1 as", "distance as").replace(
+    "dropoff as extracted_at", "timestamp '2025-01-01' as extracted_at").replace(_END, "1996-03-01 00:00:00")
+
+
+@register("q12_interval_run", f"{_LOADED_SQL} {_REPORT_SQL}")
+def q12_run(spark, sf):
+    # month files, ledger, staging, checks and report, all as stored tables
+    root = scratch_path(spark, "q12")
+    for kind, raw, pickup in (("yellow", feeds.yellow_raw(spark, sf), "tpep_pickup_datetime"),
+                              ("green", feeds.green_raw(spark, sf), "lpep_pickup_datetime")):
+        (raw.withColumn("month", F.trunc(pickup, "month")).hint("rebalance", F.col("month"))
+         .write.partitionBy("month").parquet(f"{root}/in/{kind}"))
+    database = f"farebox_run_{uuid.uuid4().hex[:12]}"
+    interval.run_interval(
+        spark, database, f"{root}/tables", lambda kind, month: f"{root}/in/{kind}/month={month}",
+        feeds.payment_lookup(spark), datetime.fromisoformat(_START), datetime(1996, 3, 1))
+    report = spark.table(f"{database}.trips_report").drop("day")
+    amounts = {c: F.round(c, 2) for c in ("total_fare", "total_tips", "total_revenue")}
+    return report.withColumns({
+        **amounts, "avg_trip_distance": F.round("avg_trip_distance", 6),
+        "total_passengers": F.col("total_passengers").cast("long")})
+
+
 @register("q13_trips_on_a_day", "select count(*) as trips from events where cast(ts as date) = date '2024-01-15'")
 def q13_day(spark, sf):
     return analytics.trips_on_day(feeds.table(spark, sf, "events").withColumnRenamed("ts", "pickup_datetime"), "2024-01-15")
