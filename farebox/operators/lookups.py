@@ -12,11 +12,11 @@ MAX_LOOKUP_BYTES = 32 * 1024 * 1024
 def small_side(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS, max_bytes: int = MAX_LOOKUP_BYTES) -> DataFrame:
     """The lookup with a broadcast hint if it is measured to be small, else unchanged.
 
-    Pass a stored lookup: measuring reads it. The measurement stops after ``max_rows`` + 1 rows. A larger lookup is joined by shuffling, where adaptive
-    execution splits the partitions of codes that hold a large part of the rows.
+    The measurement is one aggregation over the lookup, so pass a stored one. A larger lookup is joined by shuffling,
+    where adaptive execution splits the partitions of codes that hold a large part of the rows.
     """
     text = F.concat_ws(",", *[F.col(f"`{c}`").cast("string") for c in df.columns])
-    size = df.limit(max_rows + 1).agg(
+    size = df.agg(
         F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes")
     ).first()
     return F.broadcast(df) if size["row_count"] <= max_rows and size["bytes"] <= max_bytes else df

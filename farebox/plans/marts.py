@@ -142,6 +142,14 @@ def trips_in_month(monthly: DataFrame, service: str, month: str) -> DataFrame:
 
 # ---- declared checks of the models ----
 
+def check_stg_trips(staged: DataFrame) -> DataFrame:
+    return run_checks(staged, [not_null("pickup_datetime")])
+
+
+def check_payment_types(lookup: DataFrame) -> DataFrame:
+    return run_checks(lookup, [unique("payment_type"), not_null("payment_type")])
+
+
 def check_int_trips(trips: DataFrame) -> DataFrame:
     return run_checks(trips, [
         not_null("trip_id"), not_null("service_type"), accepted_values("service_type", SERVICES),

@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 
 from farebox.operators import checks as k
 from farebox.operators.tables import stored
-from farebox.plans import marts
+from farebox.plans import marts, staging
 from farebox.session import scratch_path
 from workloads import feeds
-from workloads.feeds import INT_TRIPS_SQL, MONTHLY_SQL, TRIPS_SQL, TRIP_SQL, ZONES_SQL
+from workloads.feeds import FACT_SQL, INT_TRIPS_SQL, MONTHLY_SQL, STAGED_SQL, TRIPS_SQL, TRIP_SQL, ZONES_SQL
 from workloads.registry import register
 
 _TRIPS = f"with {TRIPS_SQL}, {TRIP_SQL}"
@@ -107,3 +107,21 @@ def k10(spark, sf):
               ('accepted_values', 'service_type', "service_type not in ('Green', 'Yellow')"))}""")
 def k_int_trips(spark, sf):
     return marts.check_int_trips(feeds.int_trips(spark, sf))
+
+
+@register("k1_model_checks_of_staging", f"""with {STAGED_SQL}
+    {rows_sql('stg_green', ('not_null', 'pickup_datetime', 'pickup_datetime is null'))} union all
+    {rows_sql('stg_yellow', ('not_null', 'pickup_datetime', 'pickup_datetime is null'))}""")
+def k_staging(spark, sf):
+    return marts.check_stg_trips(staging.stg_green_tripdata(feeds.green_raw(spark, sf))).unionByName(
+        marts.check_stg_trips(staging.stg_yellow_tripdata(feeds.yellow_raw(spark, sf))))
+
+
+@register("k4_model_checks_of_fact", f"""with {FACT_SQL}
+    {rows_sql('fact', *[('not_null', c, f'{c} is null') for c in ('trip_id', 'service_type', 'pickup_datetime', 'total_amount')],
+              ('accepted_values', 'service_type', "service_type not in ('Green', 'Yellow')"))} union all
+    {rows_sql('fact', ('relationships', 'pickup_location_id', 'pickup_zone is null'),
+              ('relationships', 'dropoff_location_id', 'dropoff_zone is null'))}""")
+def k_fact(spark, sf):
+    fact = stored(feeds.fact(spark, sf), scratch_path(spark, "k4"))
+    return marts.check_fct_trips(fact, feeds.zones(spark, sf))
