@@ -7,6 +7,8 @@ afterwards) and as a write that touches only the files it has to. One writer per
 from __future__ import annotations
 
 from datetime import datetime, time, timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ from farebox.operators.layout import DAY
 
 def replace_table(df: DataFrame, name: str, path: str | None = None, partition_by: list[str] | None = None) -> None:
     """Store the frame under a name, replacing what was there (also the full-refresh path of every build)."""
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format("parquet")
     if path:
         writer = writer.option("path", path)
     if partition_by:
@@ -156,12 +158,15 @@ def overwrite_interval_in_table(
 # ---- keyed upsert ----
 
 def upsert_by_key(target: DataFrame, batch: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """The target with the batch's rows put in by key; of several batch rows per key the latest wins."""
+    """The target with the batch's rows put in by key; NULL is a key like any other.
+
+    With ``order`` the latest of several batch rows per key wins; without it the batch has to hold a key once.
+    """
     if order:
         batch = keep_latest(batch, keys, order)
-    return target.join(batch.select(*keys), keys, "left_anti").select(*target.columns).unionByName(
-        batch.select(*target.columns)
-    )
+    replaced = batch.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    return target.join(replaced, same, "left_anti").unionByName(batch.select(*target.columns))
 
 
 def upsert_into_table(
@@ -187,7 +192,6 @@ def upsert_into_table(
 LEDGER = T.StructType([
     T.StructField("taxi_type", T.StringType()),
     T.StructField("month", T.DateType()),
-    T.StructField("row_count", T.LongType()),
 ])
 
 

@@ -117,8 +117,7 @@ def load_months(
         typed = shaped.select(*[F.col(f.name).cast(f.dataType) for f in INGESTED_TRIP.fields])
         append_rows(by_day(typed, "pickup_datetime"), table)
         done = [u for u in wanted if u not in missing]
-        record = spark.createDataFrame([(*u, None) for u in done], LEDGER)
-        append_rows(record, ledger)
+        append_rows(spark.createDataFrame(done, LEDGER), ledger)
         loaded += done
     return loaded
 

@@ -73,6 +73,8 @@ def test_upsert(spark, database):
     target = spark.createDataFrame([("k1", 1), ("k2", 2)], "k string, v int")
     batch = spark.createDataFrame([("k2", 5, 1), ("k2", 6, 2), ("k3", 7, 1)], "k string, v int, at int")
     assert rows(tables.upsert_by_key(target, batch, ["k"], order="at")) == [("k1", 1), ("k2", 6), ("k3", 7)]
+    nulls = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    assert rows(tables.upsert_by_key(nulls, spark.createDataFrame([(None, 9)], "k string, v int"), ["k"])) == [("a", 2), (None, 9)]
     name = f"{database}.windows"
     stored = spark.sql("select 1 as k, 1 as v, date '2024-01-01' as day union all select 2, 2, date '2024-01-02'")
     stored.write.partitionBy("day").saveAsTable(name)
@@ -94,6 +96,14 @@ def test_replace_create_append(spark, database):
     assert spark.table(name).count() == 0
 
 
+@pytest.mark.parametrize("own_path", [True, False])
+def test_replacing_a_partitioned_table_leaves_no_old_folder(spark, database, tmp_path, own_path):
+    name, path = f"{database}.p", f"file:{tmp_path}/p" if own_path else None
+    for day in ("2024-01-01", "2024-01-02"):
+        tables.replace_table(spark.sql(f"select 1 as v, date '{day}' as day"), name, path, ["day"])
+    assert rows(spark.table(name)) == [(1, date(2024, 1, 2))]
+
+
 def test_day_layout_prunes_and_clusters(spark, tmp_path, plan_of):
     events = spark.range(20_000).select(
         (F.col("id") % 7).alias("vendor_id"), F.timestamp_seconds(1_704_067_200 + F.col("id") * 30).cast("timestamp_ntz").alias("ts"))
