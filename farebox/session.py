@@ -31,8 +31,9 @@ def build_session(
 ) -> SparkSession:
     """Create or fetch a session with the settings above.
 
-    On a cluster pass ``shuffle_partitions`` as input bytes / 128 MB (100 TB is about 800,000 for a full
-    reshuffle); adaptive execution merges what turns out to be too small.
+    On a cluster pass ``shuffle_partitions`` as shuffled bytes / 128 MB; adaptive execution merges what turns out to
+    be too small. Long-lived streams with much state are better off with the RocksDB state store (``extra`` takes
+    ``spark.sql.streaming.stateStore.providerClass``).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:

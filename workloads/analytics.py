@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from farebox.operators.layout import day_partitioned, mean_file_size, with_day_range, write_in_files
 from farebox.operators.similarity import top_k_similar
-from farebox.operators.tables import insert_only_merge
+from farebox.operators.tables import insert_only_merge, stored
 from farebox.plans import analytics, interval
 from farebox.operators.aggregates import share_of_total
 from farebox.session import scratch_path
@@ -224,7 +224,8 @@ def q17(spark, sf):
     select * from target union all select * from source where unique_row_id not in (select unique_row_id from target)""")
 def q18(spark, sf):
     columns = ["vendorid", "pickup", "dropoff", "pu", "do", "fare", "distance", "service"]
-    source = feeds.feed(spark, sf, columns).select(flow_row_id().alias("unique_row_id"), "distance", "fare", "service")
+    hashed = feeds.feed(spark, sf, columns).select(flow_row_id().alias("unique_row_id"), "distance", "fare", "service")
+    source = stored(hashed, scratch_path(spark, "q18"))
     return insert_only_merge(source.where("service = 'green'"), source, "unique_row_id")
 
 
