@@ -169,3 +169,12 @@ def test_ingest_shape(spark):
     assert got == {
         "vendor_id": 1, "pickup_datetime": datetime(2024, 1, 1, 10), "dropoff_datetime": datetime(2024, 1, 1, 10, 5),
         "pu_location_id": 3, "payment_type": None, "taxi_type": "green", "extracted_at": datetime(2025, 1, 1)}
+
+
+def test_topic_without_connector_says_so(spark):
+    from pyspark.errors import AnalysisException
+    from farebox.streaming import send_messages
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        sources.read_event_topic(spark, "localhost:1", "green-trips")
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        send_messages(spark.sql("select 1 as a"), "localhost:1", "green-trips", ["a"])
