@@ -44,7 +44,7 @@ def drop_zone(df: DataFrame) -> DataFrame:
 def ingest_shape(df: DataFrame, taxi_type: str, extracted_at: Column) -> DataFrame:
     """Raw month rows to the columns of the ingestion table.
 
-    Pickup and drop-off are named differently per taxi type; only listed columns that exist are kept.
+    Pickup and drop-off are named differently per taxi type; only listed columns that exist are kept. NaN is NULL.
     """
     prefix = "tpep" if taxi_type == "yellow" else "lpep"
     df = df.withColumnsRenamed({
@@ -53,4 +53,6 @@ def ingest_shape(df: DataFrame, taxi_type: str, extracted_at: Column) -> DataFra
     })
     df = drop_zone(keep_existing(df, INGEST_KEEP)).withColumnsRenamed(INGEST_RENAMES)
     df = df.withColumns({c: nullable_integer(c) for c in INGEST_INTEGERS if c in df.columns})
+    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
+    df = df.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in doubles})
     return with_constants(df, taxi_type=F.lit(taxi_type), extracted_at=extracted_at)

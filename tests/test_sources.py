@@ -164,11 +164,11 @@ def test_messages(spark):
 
 def test_ingest_shape(spark):
     raw = spark.sql("""select 1.0D as VendorID, timestamp '2024-01-01 10:00:00' as lpep_pickup_datetime,
-        timestamp '2024-01-01 10:05:00' as lpep_dropoff_datetime, double('NaN') as payment_type, 3 as PULocationID, 'drop me' as other""")
+        timestamp '2024-01-01 10:05:00' as lpep_dropoff_datetime, double('NaN') as payment_type, double('NaN') as trip_distance, 3 as PULocationID, 'drop me' as other""")
     got = ingest_shape(raw, "green", F.lit("2025-01-01").cast("timestamp_ntz")).first().asDict()
     assert got == {
         "vendor_id": 1, "pickup_datetime": datetime(2024, 1, 1, 10), "dropoff_datetime": datetime(2024, 1, 1, 10, 5),
-        "pu_location_id": 3, "payment_type": None, "taxi_type": "green", "extracted_at": datetime(2025, 1, 1)}
+        "pu_location_id": 3, "payment_type": None, "trip_distance": None, "taxi_type": "green", "extracted_at": datetime(2025, 1, 1)}
 
 
 def test_topic_without_connector_says_so(spark):

@@ -168,7 +168,7 @@ def test_staging_keeps_the_latest_extraction_and_drops_bad_rows(spark, lookup):
         spark, dict(passenger_count=1.0), dict(passenger_count=2.0, extracted_at=datetime(2025, 2, 1)),
         dict(trip_distance=-1.0, pu_location_id=7), dict(total_amount=-5.0, pu_location_id=8), dict(pickup_datetime=None),
         dict(pickup_datetime=datetime(2024, 2, 1), pu_location_id=9), dict(vendor_id=None, payment_type=6),
-        dict(trip_distance=None, pu_location_id=10))
+        dict(trip_distance=None, pu_location_id=10), dict(trip_distance=float("nan"), pu_location_id=11))
     staged = interval.staging_trips(trips, lookup, "2024-01-01", "2024-02-01")
     assert rows(staged.select("vendor_id", "passenger_count", "payment_type_name")) == [(1, 2.0, "card"), (None, 1.0, None)]
     report = interval.trips_report(staged, "2024-01-01", "2024-02-01")
