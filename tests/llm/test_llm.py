@@ -1,0 +1,651 @@
+"""Operators of the llm subpackage against brute force, other implementations and hand-made edge cases."""
+
+import base64
+import hashlib
+import io
+import json
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow.fs
+import pytest
+import tiktoken
+import xxhash
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from farebox.llm import bpe, chat, components, decontaminate, neighbours, pii, queries, secrets, simhash, toxicity, urls, warc
+
+SF = "/root/testdata/sf0.001"
+TABLES = "documents embeddings pages benchmark labels conversations"
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def sql():
+    con = duckdb.connect()
+    for name in TABLES.split():
+        con.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
+    return con
+
+
+@pytest.fixture(scope="module")
+def texts(sql):
+    return dict(sql.execute("select doc_id, text from documents").fetchall())
+
+
+@pytest.fixture(scope="module")
+def tokens():
+    return bpe.read_ranks(queries.RANK_FILE)
+
+
+@pytest.fixture(scope="module")
+def tokenizer(tokens):
+    return bpe.Tokenizer(bpe.Vocabulary(tokens), queries.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def library(tokens):
+    ranks = {t: i for i, t in enumerate(tokens)}
+    return tiktoken.Encoding("own", pat_str=queries.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def collected(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def with_edge_rows(spark):
+    """NULLs, empty and long texts, repeated rows, and a column whose name clashes with results."""
+    rows = [
+        (None, None, "en", "a", 0), (1, None, None, None, None), (2, "", "en", "a", 0), (3, "Same text here.", "en", "a", 1),
+        (3, "Same text here.", "en", "a", 1), (4, "Same text here.", "en", "b", 2), (None, "Same text here.", "en", "b", 2),
+        (3, "Other text, same id.", "en", "b", 2), (5, "word " * 60_000, "en", "b", 9), (6, "x" * 90_000, "en", "b", 9),
+    ]
+    return spark.createDataFrame(rows, DOCUMENTS)
+
+
+# ---- registered queries ----
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_against_sql(spark, sql, name):
+    df = queries.QUERIES[name](spark, SF)
+    cursor = sql.execute(queries.ORACLES[name])
+    columns = [c[0] for c in cursor.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert sorted(map(repr, cursor.fetchall())) == sorted(repr(tuple(r[c] for c in columns)) for r in df.collect())
+
+
+def test_contract():
+    names = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
+    assert names == {f"op{i}" for i in range(1, 11)} and "pipeline" in entry.queries()
+
+
+# ---- 1 byte-level BPE ----
+
+def test_bpe_query(spark, texts, library):
+    for row in queries.QUERIES["op1_byte_level_bpe"](spark, SF).collect():
+        ids = library.encode_ordinary(texts[row.doc_id])
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+
+
+def test_bpe_random_texts(tokenizer, library):
+    rng = random.Random(5)
+    parts = [" ", "  ", "\n", "\t", "a", "The", "é", "1", "23", "'s", "'", "\xa0", "\x1c", "\x85", "漢字", "😀", ".", "   ", "xxxxx", "Donaudampfschiff", ","]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        ids = tokenizer.encode(text)
+        assert ids == library.encode_ordinary(text) and tokenizer.decode(ids) == text.encode()
+
+
+def test_bpe_appends_and_edits(tokenizer, library):
+    rng = random.Random(6)
+    letters = "abcdeinrst '.\n1é"
+    piece = bpe.PieceEncoding(tokenizer.vocabulary)
+    whole = b""
+    for _ in range(60):
+        more = "".join(rng.choice("aeinrst") for _ in range(rng.randint(1, 4))).encode()
+        piece.append(more)
+        whole += more
+        assert piece.ids() == library._encode_single_piece(whole)
+    piece.edit(10, 14, b"XY")
+    assert piece.ids() == library._encode_single_piece(whole[:10] + b"XY" + whole[14:])
+    edited = bpe.TextEncoding(tokenizer, "start of it")
+    for _ in range(400):
+        start = rng.randint(0, len(edited.text))
+        stop = min(len(edited.text), start + rng.randint(0, 5))
+        new = "".join(rng.choice(letters) for _ in range(rng.randint(0, 6)))
+        expected = edited.text[:start] + new + edited.text[stop:]
+        edited.edit(start, stop, new)
+        assert edited.text == expected and edited.ids() == library.encode_ordinary(expected)
+
+
+def test_bpe_edge_rows(spark, library):
+    docs = with_edge_rows(spark).withColumn("N_tokens", F.lit("clash"))
+    out = bpe.encode_texts(docs, queries.RANK_FILE, queries.PATTERN)
+    assert [c.lower() for c in out.columns].count("n_tokens") == 1
+    for row in out.collect():
+        assert row.token_ids == library.encode_ordinary(row.text or "") and row.n_tokens == len(row.token_ids)
+    back = bpe.decode_ids(out, queries.RANK_FILE)
+    assert all(bytes(r.text_bytes) == (r.text or "").encode() for r in back.select("text", "text_bytes").collect())
+    assert bpe.encode_texts(docs.limit(0), queries.RANK_FILE, queries.PATTERN).count() == 0
+
+
+# ---- 2 decontamination ----
+
+def plain_contamination(documents, items, window):
+    import re
+    def words(text):
+        text = (text or "").translate({c: c + 32 for c in range(65, 91)})
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+    known = {}
+    for item, text in items:
+        w = words(text)
+        k = min(window, len(w))
+        for i in range(len(w) - k + 1 if k else 0):
+            known.setdefault(tuple(w[i:i + k]), set()).add(str(item) if item is not None else "")
+    out = []
+    for doc, text in documents:
+        w, hit, found = words(text), set(), set()
+        for k in {len(x) for x in known}:
+            for i in range(len(w) - k + 1):
+                if tuple(w[i:i + k]) in known:
+                    hit |= set(range(i, i + k))
+                    found |= known[tuple(w[i:i + k])]
+        out.append((doc, len(w), len(hit), sorted(found)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 4, 7, 10])
+def test_contamination_brute_force(spark, window):
+    rng = random.Random(window)
+    items = [(i, " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 14)))) for i in range(12)]
+    items += [(None, "b a d"), (3, items[3][1]), (90, None), (91, ""), (92, "..."), (93, "Ünï c")]
+    documents = [(i, rng.choice(["", " ", "."]).join(rng.choice(["a", "b ", "C,", "d\n", "é "]) for _ in range(rng.randint(0, 90)))) for i in range(60)]
+    documents += [(None, None), (None, "a b c d a b c d"), (7, "a b c d a"), (7, "a b c d a"), (8, None), (9, "")]
+    found = decontaminate.find_contamination(
+        spark.createDataFrame(documents, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), window)
+    got = collected(found.select("doc_id", "n_words", "n_hit", "items"))
+    assert [tuple(r) for r in got] == plain_contamination(documents, items, window)
+
+
+def test_contamination_edges(spark):
+    docs = with_edge_rows(spark).withColumn("n_words", F.lit(1)).withColumn("place", F.lit(2))
+    items = spark.createDataFrame([(1, "same TEXT here"), (2, "word " * 12)], "item_id long, text string").withColumn("words", F.lit(0))
+    got = {(r.doc_id, r.n_words): r.n_hit for r in decontaminate.find_contamination(docs, items).collect()}
+    assert got[5, 60_000] == 60_000 and got[3, 3] == 3 and got[3, 4] == 0 and got[None, 0] == 0
+    assert decontaminate.find_contamination(docs, items.limit(0)).where("n_hit > 0").count() == 0
+    assert decontaminate.find_contamination(docs.limit(0), items).count() == 0
+    kept = decontaminate.remove_contaminated(docs, items)
+    assert kept.columns == docs.columns and kept.count() == 5
+    cut = {r.text: r.n_removed for r in decontaminate.remove_spans(docs, items).collect()}
+    assert cut["  ."] == 3 and cut[None] == 0 and cut["Other text, same id."] == 0
+    plan = decontaminate.find_contamination(docs, items)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+# ---- 3 url filter ----
+
+def plain_verdict(url):
+    import re
+    rest = url.split("://", 1)[1] if url and "://" in url else None
+    host = re.split(r"[/?#]", rest)[0].translate({c: c + 32 for c in range(65, 91)}) if rest is not None else ""
+    path = re.split(r"[?#]", rest[len(host):])[0] if rest is not None else ""
+    fits = [r for r in queries.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fits, key=lambda r: len(r.host + r.path), default=None)
+    parts = re.split(r"[\W_]+", (url or "").lower())
+    bad = set(parts) & set(urls.STRICT_TERMS) or len(set(parts) & set(urls.SOFT_TERMS)) >= 2
+    return host, path, best and best.host + best.path, best.action if best else "block" if bad else "allow"
+
+
+def test_url_query(spark, sql):
+    pages = dict(sql.execute("select page_id, url from pages").fetchall())
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in queries.QUERIES["op3_url_filter"](spark, SF).collect()}
+    assert got == {p: plain_verdict(u) for p, u in pages.items()}
+
+
+@pytest.mark.parametrize(("url", "rule", "verdict"), [
+    (None, None, "allow"), ("", None, "allow"), ("no scheme/porn", None, "block"), ("http://A.Example.ORG/es/1", "example.org/es/", "block"),
+    ("http://example.org/en/12", "example.org/en/1", "block"), ("http://example.org/en/2", "org/", "allow"),
+    ("http://notexample.org/es/", "org/", "allow"), ("http://x.org", None, "allow"), ("http://x.com/fr/porn", "com/fr/", "allow"),
+    ("http://x.net/sussex", None, "allow"), ("http://x.net/free-BETS", None, "block"), ("http://x.net/free-free", None, "allow"),
+    ("http://x.net?u=http://a/xxx", None, "block"), ("http://x.org:80/", None, "allow"), ("http://x.net/" + "a-" * 50_000 + "xxx", None, "block"),
+])
+def test_url_cases(spark, url, rule, verdict):
+    row = urls.judge_urls(spark.createDataFrame([(url, 1)], "url string, rule int"), queries.RULES).first()
+    assert (row.rule, row.verdict) == (rule, verdict)
+
+
+def test_urls_empty(spark):
+    assert urls.judge_urls(spark.createDataFrame([], "url string")).count() == 0
+
+
+# ---- 4 toxicity ----
+
+def test_toxicity_held_out(spark):
+    big = "/root/testdata/sf0.01"
+    scored = queries.QUERIES["op4_toxicity"](spark, big).join(spark.read.parquet(f"{big}/labels.parquet"), "doc_id").collect()
+    out = [r for r in scored if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in scored)
+    right = sum(r.predicted == r.toxic for r in out)
+    assert right / len(out) >= 0.93
+    scores = [np.array([r.score for r in out if r.toxic == c]) for c in (0, 1)]
+    better = (scores[1][:, None] > scores[0]).mean() + (scores[1][:, None] == scores[0]).mean() / 2
+    assert better >= 0.8
+
+
+def test_label_model_recovers_voters():
+    rng = np.random.default_rng(3)
+    truth = rng.random(4000) < 0.2
+    accuracy = [(0.8, 0.05), (0.7, 0.1), (0.6, 0.02), (0.3, 0.3)]
+    votes = np.array([np.where(truth, rng.random(4000) < a, rng.random(4000) < b) for a, b in accuracy]).T.astype(float)
+    votes = np.column_stack([votes, votes[:, 1]])  # a voter that repeats another
+    noisy = np.where(rng.random(4000) < 0.05, ~truth, truth).astype(int)
+    post = toxicity.label_model(votes, noisy, np.ones(4000))
+    assert ((post > 0.5) == truth).mean() > 0.97
+
+
+def test_toxicity_edges(spark):
+    docs = with_edge_rows(spark).withColumn("score", F.lit("clash"))
+    labels = spark.createDataFrame([(3, 0, 1), (4, 0, 1), (None, 0, 1), (5, 0, None), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    rows = toxicity.score_texts(docs, model).collect()
+    assert len(rows) == 10 and all(0 <= r.score <= 1 for r in rows)
+    nothing = toxicity.fit(docs, labels.limit(0))
+    assert toxicity.drop_toxic(docs.drop("score"), labels.limit(0)).count() == 10 and nothing["lexicon"] == []
+    assert toxicity.score_texts(docs.limit(0), model).count() == 0
+
+
+# ---- 5 personal data ----
+
+def plain_base(text):
+    import re
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m.group().split("."))]
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (2 if i % 2 else 1), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = re.sub("[^0-9]", "", m.group())
+        if 13 <= len(d) <= 19 and luhn(d):
+            out.append(("card", *m.span()))
+    out += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(re.sub("[^0-9]", "", m.group())) <= 15]
+    return out
+
+
+def digest(found):
+    return hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in found).encode()).hexdigest()
+
+
+def test_pii_query(spark, texts):
+    for r in queries.QUERIES["op5_personal_data"](spark, SF).collect():
+        base = plain_base(texts[r.doc_id])
+        assert r.base_sha256 == digest(base)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for x, *_ in base) for k in pii.BASE_KINDS]
+
+
+def test_pii_random_texts():
+    rng = random.Random(4)
+    parts = ["a", "b.c", "@", ".", "_", "%", "1", "25", "256", "00", "+1", "4111111111111111", " ", "-", "(", ")", "é", "+", "x@y.z", "1.2.3.4", "😀"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 25)))
+        assert pii.base_spans(text) == plain_base(text), text
+
+
+def test_pii_added_kinds():
+    def kinds(text):
+        return [(k, text[a:b]) for k, a, b, _, base in pii.find_spans(text) if not base]
+    assert kinds("pay to DE89 3704 0044 0532 0130 00 now") == [("iban", "DE89 3704 0044 0532 0130 00")]
+    assert kinds("pay to DE88 3704 0044 0532 0130 00 now") == []
+    assert kinds("my ssn is 123-45-6789.") == [("ssn", "123-45-6789")] and kinds("part 123-45-6789.") == []
+    assert kinds("call (555) 123-4567 today") == [("local_phone", "(555) 123-4567")] and kinds("no 555 123 4567") == []
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112") and pii.mod_97("GB82WEST12345698765432")
+
+
+def test_pii_edges(spark):
+    docs = with_edge_rows(spark).withColumn("pii_spans", F.lit(1))
+    assert all(r.pii_spans == [] for r in pii.find_personal_data(docs).collect())
+    assert pii.find_personal_data(docs.limit(0)).count() == 0
+    long = "9" * 200_000 + " " + "a" * 200_000 + "@" * 5 + "-1" * 50_000 + "+1" + " " * 100_000
+    assert pii.find_spans(long) == []
+    one = spark.createDataFrame([("mail me: a@b.co!",), (None,)], "text string")
+    assert [r.text for r in pii.redact_personal_data(one).collect()] == ["mail me: [EMAIL]!", None]
+
+
+# ---- 6 nearest neighbours ----
+
+def exact_neighbours(rows, k, is_query):
+    usable = [(i, np.array(v, float)) for i, v in rows if i is not None and v is not None and len(v) and None not in v and np.isfinite(v).all() and np.any(v)]
+    out = {}
+    for q, a in usable:
+        if is_query(q):
+            scored = sorted((-(a @ b) / np.sqrt((a @ a) * (b @ b)), i) for i, b in usable if i != q)
+            out[q] = [(i, -s) for s, i in scored[:k]]
+    return out
+
+
+def test_neighbour_recall(spark, sql):
+    big = "/root/testdata/sf0.1"
+    rows = duckdb.sql(f"select vec_id, embedding from '{big}/embeddings.parquet'").fetchnumpy()
+    matrix = np.stack(rows["embedding"]).astype(float)
+    unit = matrix / np.linalg.norm(matrix, axis=1)[:, None]
+    order = {int(v): i for i, v in enumerate(rows["vec_id"])}
+    found = {}
+    for r in queries.QUERIES["op6_nearest_neighbours"](spark, big).collect():
+        found.setdefault(r.query_id, []).append(r)
+    hits = 0
+    for q, got in found.items():
+        cosines = unit @ unit[order[q]]
+        cosines[order[q]] = -2
+        best = set(rows["vec_id"][np.argsort(-cosines)[:5]].tolist())
+        got.sort(key=lambda r: r["rank"])
+        assert [r["rank"] for r in got] == [1, 2, 3, 4, 5] and q not in {r.vec_id for r in got}
+        assert all(abs(r.score - cosines[order[r.vec_id]]) < 1e-12 for r in got)
+        hits += len(best & {r.vec_id for r in got})
+    assert len(found) == sum(i % 50 == 0 for i in order) and hits / (5 * len(found)) >= 0.93
+
+
+def test_neighbours_edges(spark):
+    nan = float("nan")
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 1.0]), (4, [0.0, 0.0]), (5, None), (6, [nan, 1.0]), (7, [1.0, None]),
+            (8, []), (9, [1.0]), (None, [1.0, 1.0]), (50, [1.0, 0.0]), (50, [1.0, 0.0])]
+    rows += [(100 + i, [1.0, 0.0]) for i in range(30)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(0))
+    got = {}
+    for r in neighbours.nearest(frame, F.col("vec_id") % 50 == 0, 5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got[0] == [1, 2, 9, 50, 100] and got[50] == [0, 1, 2, 9, 100] and set(got) == {0, 50, 100}
+    assert neighbours.nearest(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+    two = frame.where("vec_id in (0, 3)")
+    assert collected(neighbours.nearest(two, F.col("vec_id") == 0)) == [(0, 1, 3, 0.0)]
+
+
+# ---- 7 SimHash ----
+
+def plain_fingerprint(text):
+    import re
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(values):
+    """Class representative by position, from all pairs."""
+    parent = list(range(len(values)))
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for i in range(len(values)):
+        for j in range(i):
+            if (values[i] ^ values[j]).bit_count() <= 3:
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(len(values))]
+
+
+def test_simhash_query(spark, texts):
+    ids = sorted(texts)
+    values = [plain_fingerprint(texts[i]) for i in ids]
+    roots = plain_components(values)
+    expected = [(i, f"{v:016x}", ids[r]) for i, v, r in zip(ids, values, roots)]
+    assert collected(queries.QUERIES["op7_simhash_near_duplicates"](spark, SF)) == sorted(expected, key=repr)
+
+
+def near(rng, value, most):
+    for b in rng.sample(range(64), rng.randint(0, most)):
+        value ^= 1 << b
+    return value
+
+
+@pytest.mark.parametrize("centres", [1, 5, 200])
+def test_links_keep_components(spark, centres, monkeypatch):
+    rng = random.Random(centres)
+    middles = [rng.getrandbits(64) for _ in range(centres)]
+    values = list({near(rng, rng.choice(middles), 5) for _ in range(900)})
+    expected = plain_components(values)
+    signed = np.array(values, np.uint64).view(np.int64).tolist()
+    for tile in (8192, 60):
+        monkeypatch.setattr(simhash, "TILE", tile)
+        links = simhash.near_links(spark.createDataFrame([(v,) for v in signed], "bits long"))
+        at = {v: i for i, v in enumerate(signed)}
+        found = [(at[r.node], at[r.to]) for r in links.collect()]
+        assert all((values[i] ^ values[j]).bit_count() <= 3 for i, j in found)
+        parts = components.connected_components(spark.createDataFrame(found or [(0, 0)], "a long, b long"), "a", "b")
+        roots = {r.node: r.root for r in parts.collect()}
+        assert [roots.get(i, i) for i in range(len(values))] == expected
+
+
+def test_spanning_links_of_blocks():
+    rng = random.Random(9)
+    values = np.array([near(rng, 12345, 6) for _ in range(300)], np.uint64)
+    links = simhash.spanning_links(values, np.zeros(300, np.int64), np.arange(300))
+    assert len(links) < 300 and all(int(values[i] ^ values[j]).bit_count() <= 3 for i, j in links)
+
+
+def test_components_of_a_chain(spark):
+    chain = [(i, i + 1) for i in range(200)] + [(500, 501), (501, 500), (7, 7), (None, 3), (600, 600)]
+    found = components.connected_components(spark.createDataFrame(chain, "a long, b long"), "a", "b")
+    assert {r.node: r.root for r in found.collect()} == {**{i: 0 for i in range(1, 201)}, 501: 500}
+    assert components.connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_simhash_edges(spark):
+    docs = with_edge_rows(spark).withColumn("fingerprint_bits", F.lit("clash")).withColumn("root", F.lit(1))
+    got = {(r.doc_id, r.fingerprint_bits): r.component_id for r in simhash.near_duplicate_components(docs).collect()}
+    assert got[None, 0] == 1 and got[2, 0] == 1 and len(got) == 9 and got[4, simhash_of("Same text here.")] == 3
+    kept = collected(simhash.keep_one_of_each(docs).select("doc_id"))
+    assert kept == [(1,), (3,), (3,), (5,), (6,)]
+    assert simhash.keep_one_of_each(docs.limit(0)).count() == 0
+
+
+def simhash_of(text):
+    return int(np.uint64(plain_fingerprint(text)).view(np.int64))
+
+
+# ---- 8 secrets ----
+
+def plain_secrets(text):
+    import re
+    order = {k: i for i, k in enumerate(secrets.BASE_KINDS)}
+    keyword = r"(password|passwd|secret|token|api_?key)"
+    keyword = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in keyword)
+    out = [("assign", *m.span()) for m in re.finditer(keyword + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m.group(2)) >= 8]
+    out += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m.group()) >= 16]
+    out += [("hex", *m.span()) for m in re.finditer(r"[0-9a-f]+", text) if len(m.group()) >= 32]
+    return sorted(out, key=lambda s: (s[1], order[s[0]]))
+
+
+def test_secret_query(spark, texts):
+    for r in queries.QUERIES["op8_secret_scan"](spark, SF).collect():
+        base = plain_secrets(texts[r.doc_id])
+        assert r.base_sha256 == digest(base)
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == x for x, *_ in base) for k in secrets.BASE_KINDS]
+
+
+def test_secret_random_texts():
+    rng = random.Random(8)
+    parts = ["password", "Token", "SECRET", "api_key", "apikey", "ſecret", "toKen", "=", ":", " ", '"', "'", "abcdef12", "0123456789abcdef" * 2, "AKIA", "ABCD1234EFGH", "é", "\n", "F", "g"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 18)))
+        assert [s[:3] for s in secrets.find_spans(text) if s[4]] == plain_secrets(text), text
+
+
+def der(tag, *parts):
+    body = b"".join(parts)
+    size = len(body)
+    length = bytes([size]) if size < 128 else bytes([0x81, size]) if size < 256 else bytes([0x82, size >> 8, size & 255])
+    return bytes([tag]) + length + body
+
+
+def test_secret_structures():
+    key = der(0x30, der(2, b"\0"), der(2, b"\1" * 64), der(2, b"\1\0\1"))
+    ssh = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-ed25519", b"\5" * 32))
+    header = base64.urlsafe_b64encode(json.dumps({"alg": "HS256", "typ": "JWT"}).encode()).decode().rstrip("=")
+    def kinds(text):
+        return [(k, text[a:b]) for k, a, b, _, base in secrets.find_spans(text) if not base]
+    for data, kind in ((key, "der"), (ssh, "ssh")):
+        for run in (base64.b64encode(data).decode(), data.hex().upper()):
+            assert kinds(f"see {run} here") == [(kind, run)]
+        assert kinds(base64.b64encode(data[:-1] + b"").decode()) == []
+        assert kinds(base64.b64encode(data + b"\0").decode()) == []
+    token = f"{header}.eyJzdWIiOiIxIn0.c2lnbmF0dXJl"
+    assert kinds(f"bearer {token} end") == [("token", token)]
+    assert kinds("bearer " + token[4:] + " end") == []
+    block = "-----BEGIN PRIVATE KEY-----\n" + base64.encodebytes(key).decode() + "-----END PRIVATE KEY-----"
+    assert kinds(f"x {block} y") == [("pem", block)]
+    assert kinds(block.replace("-----END", "-----END NO")) == [] or kinds(block.replace("-----END", "-----END NO"))[0][0] != "pem"
+    assert kinds("A" * 100_000) == [] and kinds("-----BEGIN A-----" * 2000) == []
+
+
+def test_secret_edges(spark):
+    docs = with_edge_rows(spark).withColumn("secret_spans", F.lit(1))
+    assert all(r.secret_spans == [] for r in secrets.find_secrets(docs).collect())
+    assert secrets.find_secrets(docs.limit(0)).count() == 0
+    one = spark.createDataFrame([(1, 'x token = "0123456789abcdef" y', "en", "s", 30), (2, None, "en", "s", None)], DOCUMENTS)
+    got = secrets.redact_secrets(one).collect()
+    assert got[0].text == 'x [ASSIGN]" y' and got[0].n_chars == len(got[0].text) and got[1].text is None and got[1].n_chars is None
+
+
+# ---- 9 chat ----
+
+def test_chat_query(spark, sql):
+    rows = sql.execute("select conv_id, role, coalesce(text, '') from conversations order by conv_id, turn").fetchall()
+    rows += [(-1, r, "</s>[INST] ok [/INST]") for r in ("user", "assistant")]
+    expected = {}
+    for conv, role, text in rows:
+        turns, said = expected.setdefault(conv, ([], []))
+        turns.append(f"{role}\n{text}\n")
+        said += [text] if role == "assistant" else []
+    got = {r.conv_id: r for r in queries.QUERIES["op9_chat_windows"](spark, SF).collect()}
+    assert set(got) == set(expected)
+    for conv, (turns, said) in expected.items():
+        r, said = got[conv], "".join(said)
+        assert (r.n_turns, r.turns_sha256) == (len(turns), hashlib.sha256("".join(turns).encode()).hexdigest())
+        assert (r.loss_chars, r.loss_sha256) == (len(said), hashlib.sha256(said.encode()).hexdigest())
+        assert r.formatted_chars >= sum(map(len, turns))
+
+
+def test_chat_escapes():
+    rng = random.Random(2)
+    parts = ["<", "|", "<|end|>", "<|turn|>", "\\", "</s>", "<s>", "[INST]", "[/INST]", "\n", "a", "é", "\\n", ">", "[", "I"]
+    for _ in range(3000):
+        text, role = ("".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(2))
+        window = chat.Window(0, [], 0)
+        window.turns = [(role, text), ("assistant", text)]
+        formatted, mask = window.formatted()
+        assert chat.read_back(formatted) == window.turns
+        assert [chat.unescape(formatted[a:b]) for a, b in mask] == [t for t in (text,) if t] + ([text] if role == "assistant" and text else [])
+        assert not {"</s>", "<s>", "[INST]", "[/INST]", "<|"} & {p for p in parts if p in chat.escape(text)}
+
+
+def test_chat_windows():
+    turns = [("system", "s" * 10)] + [("user" if i % 2 else "assistant", "x" * (i % 7 * 5)) for i in range(40)] + [("user", "y" * 300)]
+    made = list(chat.windows_of(turns, len, budget=150, history=60))
+    assert [t for w in made for t in w.turns[w.n_repeated:]] == turns
+    for w in made[1:]:
+        assert w.turns[0] == turns[0] and w.n_repeated >= 1
+        assert w.tokens <= 150 or len(w.turns) - w.n_repeated == 1
+        assert sum(len(r) + len(t) + 4 for r, t in w.turns) == w.tokens
+        before = [t for v in made[:w.number] for t in v.turns[v.n_repeated:]]
+        repeated = w.turns[1:w.n_repeated]
+        assert repeated == before[len(before) - len(repeated):]
+
+
+def test_chat_edges(spark):
+    rows = [(None, 0, "user", "a"), (1, None, None, None), (1, 2, "assistant", "b"), (1, 2, "assistant", "b"), (2, 0, "assistant", "z" * 200_000)]
+    rows += [(3, i, "user" if i % 2 else "assistant", "word " * 30) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("window", F.lit(0))
+    windows = chat.format_conversations(frame, queries.RANK_FILE, queries.PATTERN)
+    got = {r.conv_id: r for r in chat.read_conversations(windows).collect()}
+    assert [got[c].n_turns for c in (None, 1, 2, 3)] == [1, 3, 1, 3000] and got[1].loss_chars == 2 and got[3].loss_chars == 1500 * 150
+    assert windows.where("conv_id = 3").agg(F.max("n_tokens")).first()[0] <= chat.BUDGET
+    assert chat.read_conversations(chat.format_conversations(frame.limit(0), queries.RANK_FILE, queries.PATTERN)).count() == 0
+
+
+# ---- 10 WARC ----
+
+def test_warc_shares_payloads(spark):
+    same = "p" * 200
+    rows = [(5, "http://a", same), (3, "u", same), (9, None, same), (None, "u", same), (3, "v", same), (1, "u", "short"), (2, "u", "short"), (4, "u", None), (6, "u", ""), (7, "ü", "é" * 50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit(1))
+    records = warc.read_archives(warc.archive_pages(pages), with_html=True)
+    got = {(r.page_id, r.url): r for r in records.collect()}
+    assert len(got) == 10 and all(r.valid for r in got.values())
+    assert {k[0]: r.refers_to for k, r in got.items() if r.record_type == "revisit"} == {5: 3, 9: 3, None: 3}
+    assert got[7, "ü"].html == "é" * 50 and got[7, "ü"].payload_bytes == 100 and got[9, ""].payload_bytes == 200
+    assert got[9, ""].payload_digest == hashlib.sha256(same.encode()).hexdigest()
+    assert warc.read_archives(warc.archive_pages(pages.limit(0))).count() == 0
+
+
+def salvage(data):
+    archive = warc.Salvage(io.BytesIO(data))
+    return [r.block for r in archive], archive.gaps
+
+
+def test_warc_salvage():
+    rng = random.Random(1)
+    blocks = [bytes(rng.randrange(256) for _ in range(rng.randint(0, 3000))) for _ in range(60)]
+    for pack in (warc.member, lambda x: x):
+        parts = [pack(warc.record([("WARC-Type", "response")], b)) for b in blocks]
+        starts = np.cumsum([0, *map(len, parts)])
+        assert salvage(b"".join(parts)) == (blocks, [])
+        broken = [p[:len(p) // 2] if i == 7 else p for i, p in enumerate(parts)]
+        found, gaps = salvage(b"".join(broken))
+        assert found == blocks[:7] + blocks[8:] and gaps == [(starts[7], starts[7] + len(parts[7]) // 2)]
+        noise = b"\x1f\x8b\x08noise WARC/1.1 more"
+        found, gaps = salvage(noise + b"".join(parts[:5]) + noise + b"".join(parts[5:]) + parts[0][:-3])
+        assert found[:60] == blocks and gaps[0] == (0, len(noise)) and gaps[1] == (len(noise) + starts[5], 2 * len(noise) + starts[5])
+        assert gaps[-1][1] == 2 * len(noise) + starts[-1] + len(parts[0]) - 3
+    changed = bytearray(b"".join(warc.member(warc.record([], b)) for b in blocks))
+    changed[len(warc.member(warc.record([], blocks[0]))) + 40] ^= 0xFF
+    found, gaps = salvage(bytes(changed))
+    assert found == blocks[:1] + blocks[2:] and len(gaps) == 1
+    assert salvage(b"") == ([], []) and salvage(b"\0" * (6 << 20)) == ([], [(0, 6 << 20)])
+
+
+def test_warc_gap_rows(spark, tmp_path):
+    data = warc.member(warc.record([("WARC-Type", "response"), ("X-Page-ID", "4")], b"x" * 500))
+    (tmp_path / "a.warc.gz").write_bytes(data + data[:60] + data)
+    rows = warc.read_archives(spark.createDataFrame([(f"file:{tmp_path}/a.warc.gz",)], "uri string")).collect()
+    assert [r.record_type for r in rows] == ["response", "response", "gap"] and (rows[2].gap_start, rows[2].gap_stop) == (len(data), len(data) + 60)
+    assert not rows[0].valid  # its headers state no digest
+
+
+# ---- pipeline ----
+
+def test_pipeline(spark, texts, library):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    after = {}
+    for name, stage in corpus_pipeline.STAGES:
+        result = stage(spark, docs, SF)
+        after[name] = {r.doc_id: r for r in result.collect()}
+        if name != "encoding":
+            assert sorted(result.columns) == sorted(docs.columns)
+            docs = corpus_pipeline.stored(result, name)
+    toxic = toxicity.score_texts(spark.read.parquet(f"{SF}/documents.parquet"), toxicity.fit(
+        spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))).where("score >= 0.3")
+    assert set(after["toxicity"]) == set(texts) - {r.doc_id for r in toxic.collect()}
+    left = sorted(after["toxicity"])
+    roots = plain_components([plain_fingerprint(texts[i]) for i in left])
+    assert set(after["near_duplicates"]) == {left[r] for r in roots}
+    items = duckdb.sql(f"select item_id, text from '{SF}/benchmark.parquet'").fetchall()
+    clean = plain_contamination([(i, texts[i]) for i in after["near_duplicates"]], items, 10)
+    assert set(after["decontamination"]) == {d for d, _, n, _ in clean if n == 0}
+    assert set(after["secrets"]) == set(after["decontamination"])
+    for i, r in after["secrets"].items():
+        assert plain_secrets(r.text) == [] and (r.text == texts[i]) == (secrets.find_spans(texts[i]) == [])
+    assert {i: r.token_ids for i, r in after["encoding"].items()} == {i: library.encode_ordinary(r.text) for i, r in after["secrets"].items()}
+
+
+def test_stages_take_edge_rows(spark):
+    for docs in (with_edge_rows(spark), with_edge_rows(spark).limit(0)):
+        for _, stage in corpus_pipeline.STAGES:
+            stage(spark, docs, SF).collect()
