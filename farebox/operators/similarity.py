@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 # tasks receive this module's functions by value, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A query set up to this many numbers travels to every task with the plan (8 MB); larger sets are joined in blocks.
-MAX_SHIPPED_NUMBERS = 1_000_000
+# Numbers in a block of queries, and cells of the score matrix held at once (8 bytes each).
 BLOCK_NUMBERS = 250_000
+CELLS = 1_000_000
 SLICES = 256
 RESULT = "query_id long, vec_id long, score double"
 
@@ -26,98 +26,97 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Arrow lists of equal length as a matrix of unit rows."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return _unit_rows(flat.reshape(len(column), -1))
+def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
+    """Arrow lists as a matrix of unit rows; every list must hold ``width`` numbers."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    flat = column.flatten()
+    if flat.null_count or (np.diff(column.offsets.to_numpy()) != width).any():
+        raise ValueError(f"embeddings must hold {width} numbers each, like the queries")
+    return _unit_rows(flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width))
 
 
-def _best(query_ids: np.ndarray, vec_ids: np.ndarray, scores: np.ndarray, k: int) -> pa.RecordBatch:
-    """The k best vectors of a (query x vector) score matrix per query; ties go to the smaller id."""
-    order = np.lexsort((np.broadcast_to(vec_ids, scores.shape), -scores), axis=1)[:, :k]
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.repeat(query_ids, order.shape[1])), pa.array(vec_ids[order].ravel()),
-        pa.array(np.take_along_axis(scores, order, axis=1).ravel()),
-    ], names=["query_id", "vec_id", "score"])
+class _Best:
+    """The k best vectors per query of one block so far; ties go to the smaller id."""
+
+    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
+        self.query_ids, self.queries, self.k = query_ids, queries, k
+        self.ids, self.scores = np.zeros((len(query_ids), 0), np.int64), np.zeros((len(query_ids), 0))
+
+    def add(self, vec_ids: np.ndarray, vectors: np.ndarray) -> None:
+        step = max(1, CELLS // len(self.query_ids))
+        for i in range(0, len(vec_ids), step):
+            scores = np.round(self.queries @ vectors[i:i + step].T, 9)
+            ids = np.broadcast_to(vec_ids[i:i + step], scores.shape)
+            scores, ids = np.concatenate([self.scores, scores], axis=1), np.concatenate([self.ids, ids], axis=1)
+            order = np.lexsort((ids, -scores), axis=1)[:, :self.k]
+            self.scores, self.ids = np.take_along_axis(scores, order, axis=1), np.take_along_axis(ids, order, axis=1)
+
+    def batch(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.repeat(self.query_ids, self.ids.shape[1])), pa.array(self.ids.ravel()), pa.array(self.scores.ravel()),
+        ], names=["query_id", "vec_id", "score"])
 
 
 def _keep_best(candidates: DataFrame, k: int) -> DataFrame:
-    """Two rounds: within slices of the vectors, then over the slices' winners.
+    """Two rounds: within slices of the tasks, then over the slices' winners.
 
     Tasks hand over k rows per query each, so one round alone would bring rows of all tasks to one place per query.
     """
     order = [F.col("score").desc(), F.col("vec_id")]
-    sliced = candidates.withColumn("slice", F.pmod(F.xxhash64("vec_id"), F.lit(SLICES)))
+    sliced = candidates.withColumn("slice", F.spark_partition_id() % SLICES)
     for keys in (["query_id", "slice"], ["query_id"]):
         window = Window.partitionBy(*keys).orderBy(*order)
         sliced = sliced.withColumn("position", F.row_number().over(window)).where(F.col("position") <= k)
     return sliced.drop("slice")
 
 
-def _against_shipped(vectors: DataFrame, rows: list, k: int) -> DataFrame:
-    query_ids = np.array([r["query_id"] for r in rows], dtype=np.int64)
-    queries = _unit_rows(np.array([r["embedding"] for r in rows], dtype=np.float64))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                scores = np.round(queries @ _matrix(batch.column("embedding")).T, 9)
-                yield _best(query_ids, batch.column("vec_id").to_numpy(), scores, k)
-
-    return vectors.mapInArrow(score, RESULT)
-
+def top_k_similar(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score, position) of the k most similar vectors per query; exact.
 
-def _against_blocks(vectors: DataFrame, queries: DataFrame, n_queries: int, width: int, k: int) -> DataFrame:
-    """Query sets beyond the limit: vector packs meet query blocks, each pair gives at most k rows per query."""
-    n_blocks = -(-n_queries * width // BLOCK_NUMBERS)
-    query_blocks = queries.select(
-        F.pmod(F.xxhash64("query_id"), F.lit(n_blocks).cast("long")).alias("block"), "query_id", "embedding"
-    )
+    ``vectors`` has (vec_id, embedding), ``queries`` (query_id, embedding); all embeddings hold as many numbers, none
+    of them NULL, else the query fails. Packs of vectors meet blocks of queries; a task carries the k best per query
+    through all its packs and hands them over once. A single block, the usual case, leaves the vectors where they are
+    if Spark broadcasts it. Scores are rounded to 9 decimals so that the order does not depend on how the product is
+    summed.
+    """
+    vectors = vectors.where(F.col("embedding").isNotNull()).select(F.col("vec_id").cast("long"), "embedding")
+    queries = queries.where(F.col("embedding").isNotNull()).select(F.col("query_id").cast("long"), "embedding")
+    size = queries.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("query_id").alias("ids"),
+        F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("width"),
+    ).first()
+    if size["ids"] != size["n"]:
+        raise ValueError("query ids must be unique")
+    width = size["width"]
+    n_blocks = max(1, -(-size["n"] * width // BLOCK_NUMBERS))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                flat = _matrix(batch.column("embedding")).ravel()
+                flat = _matrix(batch.column("embedding"), width).ravel()
                 ids = batch.column("vec_id").to_numpy()
                 yield pa.RecordBatch.from_arrays([pa.array([ids]), pa.array([flat])], names=["vec_ids", "flat"])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, _Best] = {}
         for batch in batches:
             for row in range(batch.num_rows):
-                vec_ids, flat, query_ids = (
-                    batch.column(name)[row].values.to_numpy() for name in ("vec_ids", "flat", "query_ids")
-                )
-                queries = _matrix(batch.column("embeddings")[row].values)
-                yield _best(query_ids, vec_ids, np.round(queries @ flat.reshape(len(vec_ids), -1).T, 9), k)
-
-    packed_queries = query_blocks.groupBy("block").agg(
-        F.collect_list(F.struct("query_id", "embedding")).alias("items")
-    ).select("block", F.col("items.query_id").alias("query_ids"), F.col("items.embedding").alias("embeddings"))
+                block = batch.column("block")[row].as_py()
+                if block not in best:
+                    query_ids = batch.column("query_ids")[row].values.to_numpy()
+                    best[block] = _Best(query_ids, _matrix(batch.column("embeddings")[row].values, width), k)
+                vec_ids, flat = (batch.column(name)[row].values.to_numpy() for name in ("vec_ids", "flat"))
+                best[block].add(vec_ids, flat.reshape(len(vec_ids), width))
+        for one in best.values():
+            yield one.batch()
+
+    packed_queries = queries.groupBy(
+        F.pmod(F.xxhash64("query_id"), F.lit(n_blocks).cast("long")).alias("block")
+    ).agg(F.collect_list(F.struct("query_id", "embedding")).alias("items")).select(
+        "block", F.col("items.query_id").alias("query_ids"), F.col("items.embedding").alias("embeddings"))
     packs = vectors.mapInArrow(pack, "vec_ids array<long>, flat array<double>").withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))
     )
-    joined = packs.join(packed_queries, "block").select("vec_ids", "flat", "query_ids", "embeddings")
-    return joined.mapInArrow(score, RESULT)
-
-
-def top_k_similar(vectors: DataFrame, queries: DataFrame, k: int, max_numbers: int = MAX_SHIPPED_NUMBERS) -> DataFrame:
-    """(query_id, vec_id, score, position) of the k most similar vectors per query; exact.
-
-    ``vectors`` has (vec_id, embedding), ``queries`` (query_id, embedding). The vectors are read once, without a
-    shuffle: each task scores its rows against all queries by matrix product and passes on k rows per query. The
-    query set's size is measured first; beyond the limit, vector packs are joined to query blocks instead.
-    Scores are rounded to 9 decimals so that the order does not depend on how the product is summed.
-    """
-    vectors = vectors.where(F.col("embedding").isNotNull()).select(F.col("vec_id").cast("long"), "embedding")
-    queries = queries.where(F.col("embedding").isNotNull()).select(F.col("query_id").cast("long"), "embedding")
-    size = queries.agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("query_id").alias("ids"),
-        F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("width"),
-    ).first()
-    if size["ids"] != size["n"]:
-        raise ValueError("query ids must be unique")
-    if size["n"] * size["width"] <= max_numbers:
-        candidates = _against_shipped(vectors, queries.collect(), k) if size["n"] else vectors.sparkSession.createDataFrame([], RESULT)
-    else:
-        candidates = _against_blocks(vectors, queries, size["n"], size["width"], k)
-    return _keep_best(candidates, k)
+    joined = packs.join(packed_queries, "block").select("block", "vec_ids", "flat", "query_ids", "embeddings")
+    return _keep_best(joined.mapInArrow(score, RESULT), k)

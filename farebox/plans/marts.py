@@ -123,6 +123,26 @@ def fct_monthly_zone_revenue(fact: DataFrame) -> DataFrame:
     )
 
 
+def monthly_zone_revenue(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """The rows of ``fct_monthly_zone_revenue(fct_trips(trips, zones))`` without a join per trip.
+
+    Trips are summed per pickup location first; the zone's name is looked up for those sums, which are then added up by
+    the shown name. Location ids of the zones must be unique, as ``check_dim_zones`` demands.
+    """
+    column = {"fare": "fare_amount"}
+    means = ("passenger_count", "trip_distance")
+    by_location = trips.groupBy("pickup_location_id", month_start("pickup_datetime").alias("revenue_month"), "service_type").agg(
+        *[F.sum(column.get(part, part)).alias(part) for part in REVENUE_PARTS], F.count("trip_id").alias("trips"),
+        *[f(c).alias(f"{f.__name__}_{c}") for c in means for f in (F.sum, F.count)])
+    names = zones.select(F.col("location_id").alias("_location"), F.coalesce("zone", F.lit(UNKNOWN_ZONE)).alias("_zone"))
+    named = by_location.join(names, F.col("pickup_location_id") == F.col("_location"), "left")
+    return named.groupBy(F.coalesce("_zone", F.lit(UNKNOWN_ZONE)).alias("pickup_zone"), "revenue_month", "service_type").agg(
+        *[F.sum(part).alias(f"revenue_monthly_{part}") for part in REVENUE_PARTS],
+        F.sum("trips").alias("total_monthly_trips"),
+        *[(F.sum(f"sum_{c}") / F.nullif(F.sum(f"count_{c}"), F.lit(0))).alias(f"avg_monthly_{c}") for c in means],
+    )
+
+
 def best_zones(monthly: DataFrame, service: str, year: int) -> DataFrame:
     """Zones of a service by revenue of a year, largest first; answered from the monthly table."""
     in_year = F.col("revenue_month").between(F.lit(f"{year}-01-01").cast("date"), F.lit(f"{year}-12-31").cast("date"))

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import re
+import sys
 from collections.abc import Callable, Iterable
 from datetime import date
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.functions.times import next_month
 
+# tasks receive this module's functions by value, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def read_parquet(spark: SparkSession, *paths: str, columns: list[str] | None = None) -> DataFrame:
     """Parquet files, directories or globs; ``columns`` limits what the scan reads."""
@@ -76,28 +82,62 @@ def read_units(
 ) -> tuple[DataFrame | None, list[tuple[str, date]]]:
     """Read the files of all units at once; returns the rows and the units that had no file.
 
-    Only footers are looked at here. Files that share a schema become one multi-path scan, so the plan has one
-    branch per distinct schema (a handful) and not one per file. Columns missing from a branch are NULL and a
-    column that is integer in one branch and double in another widens to double.
+    Files are grouped by the schema in their footers, which one distributed job reads, so a column that only some
+    files of a folder have is kept. Files that share a schema become one multi-path scan, so the plan has one branch
+    per distinct schema (a handful) and not one per file. Columns missing from a branch are NULL and a column that is
+    integer in one branch and double in another widens to double.
     """
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    missing = []
+    present, missing = [], []
     for unit in units:
         path = path_of(*unit)
-        try:
-            schema = spark.read.parquet(path).schema
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if _exists(spark, path):
+            present.append(path)
+        else:
             missing.append(unit)
-            continue
-        groups.setdefault(schema.json(), (schema, []))[1].append(path)
-    frames = [spark.read.schema(schema).parquet(*paths) for schema, paths in groups.values()]
+    if not present:
+        return None, missing
+    groups: dict[str, list[str]] = {}
+    for row in _footers(spark, present).collect():  # a row per file, as the scan's own file listing has
+        groups.setdefault(row["footer"], []).append(row["path"])
+    frames = []
+    for footer in sorted(groups):
+        paths = sorted(groups[footer])
+        schema = spark.read.parquet(paths[0]).schema
+        frames.append(spark.read.schema(schema).parquet(*paths))
     if not frames:
         return None, missing
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), missing
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file, folder or glob is there; asks the file system alone and starts no job."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place))
+
+
+def _footers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path`` and ``footer`` (the Parquet schema as text) of every data file below the paths."""
+    # the path column alone is wanted, so this lists files and reads none
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths).select("path")
+
+    def read(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            found = batch.column(0).to_pylist()
+            texts = []
+            for path in found:
+                local = path.startswith("file:")
+                system, place = (fs.LocalFileSystem(), unquote(path[5:])) if local else fs.FileSystem.from_uri(path)
+                with system.open_input_file(re.sub("^//+", "/", place)) as file:
+                    texts.append(str(pq.ParquetFile(file).schema))
+            yield pa.RecordBatch.from_pydict({"path": found, "footer": texts})
+
+    return files.mapInArrow(read, "path string, footer string")
+
+
 def first_rows(df: DataFrame, n: int | None = None) -> DataFrame:
     """At most ``n`` rows for looking at a feed while developing; everything by default."""
     return df if n is None else df.limit(n)

@@ -70,11 +70,13 @@ def test_fact_keeps_unknown_zones_and_counts_minute_boundaries(build):
 def test_monthly_groups_by_the_shown_zone(build):
     """A trip without zone and a trip of a zone literally called 'Unknown Zone' are one group."""
     zones = ((74, "X", "Unknown Zone", "Boro Zone"),)
-    *_, fact = build([_green(pu=74), _green(pu=500, total=5.0)], [], zones)
+    _, trips, *_, fact = build([_green(pu=74), _green(pu=500, total=5.0)], [], zones)
     monthly = marts.fct_monthly_zone_revenue(fact).collect()
     assert [(r.pickup_zone, r.revenue_month, r.total_monthly_trips, r.revenue_monthly_total_amount) for r in monthly] == [
         ("Unknown Zone", date(2024, 3, 1), 2, Decimal("15.000000000"))]
     assert monthly[0].revenue_monthly_ehail_fee is None
+    dimension = trips.sparkSession.createDataFrame([z[:3] for z in zones], "location_id int, borough string, zone string")
+    assert [tuple(r) for r in marts.monthly_zone_revenue(trips, dimension).collect()] == [tuple(r) for r in monthly]
 
 
 def test_questions_over_the_monthly_table(build):

@@ -92,6 +92,14 @@ def test_zones_are_broadcast_and_trips_shuffled_once(spark, plan_of):
     assert tree.count("+- Exchange") == 1  # the dedup
 
 
+def test_revenue_is_summed_before_the_zone_is_joined(spark, plan_of):
+    plan = _plan(spark, plan_of, "a8_monthly_zone_revenue")
+    tree = plan[:plan.index("(1)")]
+    joins = [i for i, line in enumerate(tree.splitlines()) if "Join" in line]
+    sums = [i for i, line in enumerate(tree.splitlines()) if "HashAggregate" in line]
+    assert sum(i < max(sums) for i in joins) == 1  # above the first sum; what the trips themselves need lies below
+
+
 def test_top_k_is_taken_per_task(spark, plan_of):
     assert "TakeOrderedAndProject" in _plan(spark, plan_of, "o3_top_windows")
 

@@ -1,4 +1,4 @@
-"""Top-k retrieval against brute force, on both ways of meeting the queries."""
+"""Top-k retrieval against brute force, over one and many blocks of queries."""
 
 import numpy as np
 import pytest
@@ -20,14 +20,23 @@ def _brute_force(vectors, queries, k):
     return {(q, int(v), p + 1) for q, row in enumerate(scores) for p, v in enumerate(sorted(range(len(row)), key=lambda i: (-row[i], i))[:k])}
 
 
-@pytest.mark.parametrize("max_numbers", [similarity.MAX_SHIPPED_NUMBERS, 1])
-def test_equals_brute_force(data, monkeypatch, max_numbers):
-    monkeypatch.setattr(similarity, "BLOCK_NUMBERS", 24)
+@pytest.mark.parametrize("block_numbers", [similarity.BLOCK_NUMBERS, 24])
+def test_equals_brute_force(data, monkeypatch, block_numbers):
+    monkeypatch.setattr(similarity, "BLOCK_NUMBERS", block_numbers)
+    monkeypatch.setattr(similarity, "CELLS", 50)
     vectors, queries, vector_df, query_df = data
-    got = similarity.top_k_similar(vector_df, query_df, 5, max_numbers)
+    got = similarity.top_k_similar(vector_df, query_df, 5)
     assert {(r.query_id, r.vec_id, r.position) for r in got.collect()} == _brute_force(vectors, queries, 5)
 
 
+def test_lengths_must_agree(spark):
+    query = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0])], "query_id long, embedding array<double>")
+    for wrong in ([1.0] * 3, [1.0, None, 0.0, 0.0]):
+        vectors = spark.createDataFrame([(1, wrong), (2, [1.0] * 5)], "vec_id long, embedding array<double>").coalesce(1)
+        with pytest.raises(Exception, match="must hold 4 numbers"):
+            similarity.top_k_similar(vectors, query, 3).collect()
+
+
 def test_no_queries_and_zero_vector(data, spark):
     *_, vector_df, query_df = data
     assert similarity.top_k_similar(vector_df, query_df.limit(0), 3).count() == 0

@@ -123,6 +123,15 @@ def test_month_files_with_drift_and_gap(spark, tmp_path):
     assert rows(got) == [(1, 2.0, None), (2, 1.25, None), (3, 4.5, "n")]
 
 
+@pytest.mark.parametrize("trial", range(10))
+def test_two_schemas_in_one_folder(spark, tmp_path, trial):
+    """A column that only one file of a month has is kept, whichever file is looked at first."""
+    spark.sql("select 1 as id").write.parquet(f"file:{tmp_path}/y")
+    spark.sql("select 2 as id, 0.5D as fee").write.mode("append").parquet(f"file:{tmp_path}/y")
+    got, missing = sources.read_units(spark, [("y", date(2024, 1, 1))], lambda kind, m: f"file:{tmp_path}/{kind}")
+    assert missing == [] and rows(got.select("id", "fee")) == [(1, None), (2, 0.5)]
+
+
 def test_all_months_missing(spark, tmp_path):
     got, missing = sources.read_units(spark, [("y", date(2024, 1, 1))], lambda kind, m: f"file:{tmp_path}/none")
     assert got is None and len(missing) == 1

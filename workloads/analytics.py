@@ -229,7 +229,6 @@ def q18(spark, sf):
     return insert_only_merge(source.where("service = 'green'"), source, "unique_row_id")
 
 
-_WIDTH = 64
 _CENTROIDS = """centroids as (select label, list(mean order by position) as embedding from (
     select label, position, avg(v) as mean from (select label, unnest(cast(embedding as double[])) as v,
       generate_subscripts(embedding, 1) as position from embeddings) group by 1, 2) group by 1)"""
@@ -245,6 +244,8 @@ _CENTROIDS = """centroids as (select label, list(mean order by position) as embe
     select query_id, vec_id, round(score, 6) as score, position from placed where position <= 10""")
 def q19(spark, sf):
     vectors = feeds.table(spark, sf, "embeddings")
-    means = F.array(*[F.avg(F.get("embedding", F.lit(i)).cast("double")) for i in range(_WIDTH)])
-    queries = vectors.groupBy(F.col("label").alias("query_id")).agg(means.alias("embedding"))
+    numbers = vectors.select(F.col("label").alias("query_id"), F.posexplode("embedding").alias("place", "number"))
+    means = numbers.groupBy("query_id", "place").agg(F.avg(F.col("number").cast("double")).alias("mean"))
+    in_order = F.sort_array(F.collect_list(F.struct("place", "mean")))
+    queries = means.groupBy("query_id").agg(in_order.getField("mean").alias("embedding"))
     return top_k_similar(vectors, queries, 10).withColumn("score", F.round("score", 6))

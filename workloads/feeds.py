@@ -230,7 +230,7 @@ def fact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def monthly(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.fct_monthly_zone_revenue(fact(spark, sf))
+    return marts.monthly_zone_revenue(int_trips(spark, sf), zones(spark, sf))
 
 
 # ---- events as a trip stream and as paged trips ----
