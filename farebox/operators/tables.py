@@ -140,7 +140,7 @@ def overwrite_interval_in_table(
 
     Days that only partly fall into the interval keep their other rows. Days of the interval that got no new row
     are dropped, which a partition overwrite alone would leave as they were; for a table whose files Spark manages
-    that deletes them too. Repeating a failed run repairs it.
+    that deletes them too. A crash between removal and renaming of a day folder loses its other rows.
     """
     last = end - timedelta(microseconds=1)
     edges = {m.date() for m, whole in ((start, start.time() == time.min), (last, end.time() == time.min)) if not whole}
