@@ -12,10 +12,11 @@ SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 
 
 def double_text(col: Column | str) -> Column:
-    """Decimal text of a double without exponent and without a trailing '.0'.
+    """Decimal text of a double without exponent and without a trailing '.0'; different numbers have different texts.
 
     Spark writes 1.0E7 where databases write 10000000; ids have to agree, so the exponent range goes
-    through a decimal.
+    through a decimal. Numbers that 26 digits before and 12 behind the point can't hold keep Spark's text, as do NaN and
+    the infinities.
     """
     col = as_column(col)
     plain = col.cast("string")
@@ -24,7 +25,7 @@ def double_text(col: Column | str) -> Column:
     return F.when(
         (col == 0) | ((size >= 1e-3) & (size < 1e7)),
         F.when(plain.endswith(".0"), F.substring_index(plain, ".", 1)).otherwise(plain),
-    ).otherwise(wide)
+    ).otherwise(F.when(wide.try_cast("double") == col, wide).otherwise(plain))
 
 
 def decimal_text(col: Column | str) -> Column:

@@ -111,3 +111,12 @@ def test_json_fields_tell_missing_from_null(spark):
 def test_message_keeps_null_fields(spark):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert df.select(message_text("a", "b")).first()[0] == '{"a":1,"b":null}'
+
+
+def test_ids_differ_at_the_extremes(spark):
+    numbers = [1e27, 2e27, float("nan"), float("inf"), float("-inf"), 1e-13, 2e-13, 1.23456789012345e-5, 1.23456789012346e-5, 1e7, 12345678.5, 0.0, 1e-3]
+    df = spark.createDataFrame([(n,) for n in numbers] + [(None,)], "n double")
+    texts = [r[0] for r in df.select(double_text("n")).collect()]
+    assert len({*texts}) == len(numbers) + 1 and texts[-1] is None
+    assert texts[9:13] == ["10000000", "12345678.5", "0", "0.001"]
+    assert df.select(row_id(double_text("n"))).distinct().count() == len(numbers) + 1
