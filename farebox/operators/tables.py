@@ -6,6 +6,7 @@ afterwards) and as a write that touches only the files it has to. One writer per
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, time, timedelta
 from functools import reduce
 from operator import and_
@@ -77,6 +78,12 @@ def with_lineage(
 
 # ---- insert-only merge ----
 
+def _value_of(column: str, df: DataFrame) -> Column:
+    """Condition: the column holds one of the frame's values of it, or NULL. As a scalar subquery it prunes folders."""
+    values = df.agg(F.collect_set(column).alias("all")).scalar()
+    return F.array_contains(values, F.col(column)) | F.col(column).isNull()
+
+
 def rows_to_insert(
     target: DataFrame,
     source: DataFrame,
@@ -87,18 +94,15 @@ def rows_to_insert(
 ) -> DataFrame:
     """Source rows whose id the target does not hold.
 
-    Duplicates inside the source are all inserted unless ``dedup_source``. ``within`` names a column both sides
-    share and the id is derived from (the day): only the target's range of the source's values is then read,
-    which prunes folders when the target is partitioned by it. Of the target only the id is read.
+    Duplicates inside the source are all inserted unless ``dedup_source``. ``within`` names a column of few values that
+    both sides share and the id is derived from (the day): of the target only the source's values are then read, not
+    the days between them, which prunes folders when the target is partitioned by it. Of the target only the id is
+    read. The source is read once more for its values; pass a stored one when it is costly.
     """
     if dedup_source:
         source = keep_one(source, [id_col], [F.col(order).asc_nulls_last()] if order else [])
     if within:
-        bounds = source.agg(F.min(within).alias("low"), F.max(within).alias("high"))
-        target = target.where(
-            F.col(within).between(bounds.select("low").scalar(), bounds.select("high").scalar())
-            | F.col(within).isNull()
-        )
+        target = target.where(_value_of(within, source))
     return source.join(target.select(id_col), id_col, "left_anti").select(*source.columns)
 
 
@@ -120,17 +124,81 @@ def interval_overwrite(target: DataFrame, new: DataFrame, key: str, start, end)
     return target.where(outside).unionByName(new.select(*target.columns))
 
 
-def _overwrite_days(df: DataFrame, name: str, day: str) -> list[str]:
-    """Replace the day folders the frame has rows for; returns those days."""
+VERSIONS = "_versions"
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return about.first()["data_type"].rstrip("/")
+
+
+def _partition(day: str, value: str | None) -> str:
+    return f"PARTITION ({day} = {'null' if value is None else repr(value)})"
+
+
+def _partition_location(spark: SparkSession, name: str, partition: str) -> str:
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {partition}")
+    # the partition's own location stands before that of the table
+    return next(r["data_type"] for r in about.collect() if r["col_name"] == "Location").rstrip("/")
+
+
+def _folder(day: str, value: str | None) -> str:
+    return f"{day}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def _delete_folders(spark: SparkSession, pattern: str, keep: set[str]) -> None:
+    """Delete the folders of a pattern but those to keep, and their parents below ``VERSIONS`` when those end empty."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path_of(pattern).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    kept = {files.makeQualified(path_of(k)).toString() for k in keep}
+    for found in files.globStatus(path_of(pattern)) or []:
+        path = found.getPath()
+        if path.toString() not in kept:
+            files.delete(path, True)
+            parent = path.getParent()
+            if parent.getParent().getName() == VERSIONS and not any(f.isDirectory() for f in files.listStatus(parent)):
+                files.delete(parent, True)
+
+
+def _write_version(df: DataFrame, name: str, day: str) -> tuple[str, list[str | None]]:
+    """Write the frame's days to a fresh folder that no reader looks at; returns the folder and those days."""
     spark = df.sparkSession
-    # stays set: without it the insert would replace the whole table, and another thread may be inserting too
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    folder = f"{_location(spark, name)}/{VERSIONS}/{uuid.uuid4().hex}"
     seen = Observation()
-    columns = spark.table(name).columns
-    balanced = df.select(*columns).hint("rebalance", F.col(day))
-    observed = balanced.observe(seen, F.collect_set(F.col(day).cast("string")).alias("days"))
-    observed.write.mode("overwrite").insertInto(name)
-    return list(seen.get["days"])
+    of_day = F.col(day).cast("string")
+    observed = df.select(*spark.table(name).columns).hint("rebalance", F.col(day)).observe(
+        seen, F.collect_set(of_day).alias("days"), F.count_if(of_day.isNull()).alias("undated"))
+    observed.write.partitionBy(day).parquet(folder)
+    return folder, sorted(seen.get["days"]) + [None] * (seen.get["undated"] > 0)
+
+
+def _switch_days(spark: SparkSession, name: str, day: str, folder: str, days: list[str | None]) -> None:
+    """Let the catalog's day partitions point to the folders of a version, day by day.
+
+    A day is either the old or the new one whenever this stops. The folder a day pointed to until now stays for readers
+    that have begun; what earlier replacements of the same days, or attempts that failed, left is deleted.
+    """
+    root = _location(spark, name)
+    stored = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    for value in days:
+        partition, own = _partition(day, value), _folder(day, value)
+        new = f"{folder}/{own}"
+        keep = {new}
+        if stored & {own, f"{day}=null"} if value is None else own in stored:
+            keep.add(_partition_location(spark, name, partition))
+            spark.sql(f"ALTER TABLE {name} {partition} SET LOCATION '{new}'")
+        else:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {partition} LOCATION '{new}'")
+        _delete_folders(spark, f"{root}/{VERSIONS}/*/{own}", keep)
+        _delete_folders(spark, f"{root}/{own}", keep)
+    spark.catalog.refreshTable(name)
+
+
+def _overwrite_days(df: DataFrame, name: str, day: str) -> list[str | None]:
+    """Replace the days the frame has rows for, which may come from the same table; returns those days."""
+    folder, days = _write_version(df, name, day)
+    _switch_days(df.sparkSession, name, day, folder, days)
+    return days
 
 
 def overwrite_interval_in_table(
@@ -139,8 +207,8 @@ def overwrite_interval_in_table(
     """Replace [start, end) of a day-partitioned table, reading and writing only the days of the interval.
 
     Days that only partly fall into the interval keep their other rows. Days of the interval that got no new row
-    are dropped, which a partition overwrite alone would leave as they were; for a table whose files Spark manages
-    that deletes them too. A crash between removal and renaming of a day folder loses its other rows.
+    are dropped; for a table whose files Spark manages that deletes them too. New rows are written beside the old ones,
+    then the catalog's days are switched over, so a crash loses nothing and repeating the run repairs it.
     """
     last = end - timedelta(microseconds=1)
     edges = {m.date() for m, whole in ((start, start.time() == time.min), (last, end.time() == time.min)) if not whole}
@@ -150,6 +218,7 @@ def overwrite_interval_in_table(
         fresh = fresh.unionByName(outside.select(*fresh.columns))
     written = set(_overwrite_days(fresh, name, day))
     stored = [row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    # text order is date order; the folder of rows without a day sorts behind all dates
     stale = [d for d in stored if str(start.date()) <= d <= str(last.date()) and d not in written]
     if stale:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION ({day} = '{d}')" for d in stale))
@@ -174,16 +243,11 @@ def upsert_into_table(
 ) -> None:
     """Keyed upsert into a day-partitioned table; rewrites only the days the batch touches.
 
-    The keys must determine the day. Running it again with the same batch changes nothing. The batch is read several
-    times; pass a stored or cached one when it is costly.
+    The keys must determine the day. Running it again with the same batch changes nothing, also after a crash: the days
+    are written beside the old ones and switched over in the catalog. The batch is read several times; pass a stored or
+    cached one when it is costly.
     """
-    days = batch.select(day).distinct()
-    bounds = batch.agg(F.min(day).alias("low"), F.max(day).alias("high"))
-    touched = (
-        spark.table(name)
-        .where(F.col(day).between(bounds.select("low").scalar(), bounds.select("high").scalar()))
-        .join(days, day, "left_semi")
-    )
+    touched = spark.table(name).where(_value_of(day, batch))
     _overwrite_days(upsert_by_key(touched, batch, keys, order), name, day)
 
 

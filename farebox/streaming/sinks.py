@@ -1,7 +1,8 @@
 """Result tables kept by a stream.
 
 Result tables are parquet, one folder per day of ``window_start``, and keyed by (window_start[, key]). Replaying a
-micro-batch rewrites the same keys with the same values, so the tables are exact after a restart, unless a crash hit a day folder while it was replaced (see README).
+micro-batch rewrites the same keys with the same values, and days are switched over in the catalog once they are
+written, so the tables are exact after a restart. Read them by name: their folders hold replaced days too.
 """
 
 from __future__ import annotations

@@ -1,6 +1,7 @@
 """Stored tables: merge, interval overwrite, upsert, ledger, and a whole interval run."""
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -35,8 +36,21 @@ def test_merge_into_table_twice_reads_only_the_days_of_the_source(spark, databas
         tables.merge_into_table(spark, name, new, "id", within="day")
     assert rows(spark.table(name).select("id", "v")) == [("a", 1), ("b", 3), ("old", 0)]
     plan = plan_of(tables.rows_to_insert(spark.table(name), new, "id", within="day"))
-    # the target's folders are pruned by the source's range of days, and of its columns only the id is read
-    assert "PartitionFilters: [(((day" in plan and "ReadSchema: struct<id:string>" in plan
+    # the target's folders are pruned by the source's days, and of its columns only the id is read
+    assert "PartitionFilters: [(array_contains(" in plan and "ReadSchema: struct<id:string>" in plan
+
+
+def test_merge_reads_no_day_between_the_source_s_days(spark, database):
+    name = f"{database}.trips"
+    days = [date(2002, 1, 1), date(2024, 1, 1), date(2024, 1, 2), date(2098, 1, 1), None]
+    schema = "id string, v int, day date"
+    tables.create_if_missing(spark, name, spark.createDataFrame([], schema).schema, partition_by=["day"])
+    tables.append_rows(spark.createDataFrame([(f"t{i}", i, d) for i, d in enumerate(days)], schema), name)
+    source = spark.createDataFrame([("t0", 9, days[0]), ("new", 9, days[3]), ("t4", 9, None)], schema)
+    fresh = tables.rows_to_insert(spark.table(name), source, "id", within="day")
+    assert rows(fresh) == [("new", 9, days[3])]
+    read = spark.table(name).where(tables._value_of("day", source))
+    assert rows(read.select("id")) == [("t0",), ("t3",), ("t4",)]
 
 
 def test_interval_overwrite_frame(spark):
@@ -84,6 +98,49 @@ def test_upsert(spark, database):
     assert rows(spark.table(name).select("k", "v")) == [(1, 9), (2, 2), (3, 3)]
 
 
+@pytest.mark.parametrize("at", ["before", "between"])
+def test_a_crash_while_days_are_replaced_loses_nothing(spark, database, monkeypatch, at):
+    """A run that dies between writing and switching, or between two days, leaves whole days; a rerun ends right."""
+    name = f"{database}.windows"
+    old = spark.sql("""select 1 as k, 1 as v, date '2024-01-01' as day union all select 2, 2, date '2024-01-01'
+        union all select 3, 3, date '2024-01-02' union all select 4, 4, null""")
+    old.write.partitionBy("day").saveAsTable(name)
+    change = spark.sql("""select 1 as k, 9 as v, date '2024-01-01' as day union all select 3, 9, date '2024-01-02'
+        union all select 5, 9, null""")
+    whole = tables._switch_days
+
+    def dies(spark, name, day, folder, days):
+        if at == "between":
+            whole(spark, name, day, folder, days[:1])
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "_switch_days", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        tables.upsert_into_table(spark, name, change, ["k"])
+    first = 1 if at == "before" else 9
+    assert rows(spark.table(name).select("k", "v")) == [(1, first), (2, 2), (3, 3), (4, 4)]
+    monkeypatch.setattr(tables, "_switch_days", whole)
+    for _ in range(3):
+        tables.upsert_into_table(spark, name, change, ["k"])
+        assert rows(spark.table(name).select("k", "v")) == [(1, 9), (2, 2), (3, 9), (4, 4), (5, 9)]
+    # per day the current folder and the one before are there, nothing else
+    location = tables._location(spark, name).removeprefix("file:")
+    versions = sorted(str(p.relative_to(location)) for p in Path(location).rglob("day=*"))
+    assert len(versions) == 6 and all(v.startswith("_versions/") for v in versions)
+    # an append goes to where a day lies now
+    tables.append_rows(spark.sql("select 6 as k, 6 as v, date '2024-01-02' as day"), name)
+    assert rows(spark.table(name).where("day = '2024-01-02'").select("k", "v")) == [(3, 9), (6, 6)]
+
+
+def test_a_reader_that_has_begun_survives_a_replacement(spark, database):
+    name = f"{database}.windows"
+    spark.sql("select 1 as k, 1 as v, date '2024-01-01' as day").write.partitionBy("day").saveAsTable(name)
+    begun = spark.table(name)
+    files = begun.inputFiles()
+    tables.upsert_into_table(spark, name, spark.sql("select 1 as k, 2 as v, date '2024-01-01' as day"), ["k"])
+    assert spark.read.parquet(*files).first().v == 1 and spark.table(name).first().v == 2
+
+
 def test_replace_create_append(spark, database):
     name = f"{database}.t"
     df = spark.createDataFrame([(1, "x")], "a int, b string")
