@@ -17,7 +17,6 @@ from farebox.functions import (
     tip_bucket_rank,
 )
 from farebox.operators.aggregates import ranked
-from farebox.operators.lookups import small_side
 
 # ---- trips with pickup_datetime, dropoff_datetime, trip_distance, amounts, location ids ----
 
@@ -43,7 +42,7 @@ def pickup_zone_revenue(trips: DataFrame, zones: DataFrame, day: str) -> DataFra
         F.sum("total_amount").alias("amount")
     )
     return (
-        per_location.join(small_side(zones), F.col("pickup_location_id") == F.col("location_id"))
+        per_location.join(zones, F.col("pickup_location_id") == F.col("location_id"))
         .groupBy("zone").agg(F.sum("amount").alias("total_amount"))
     )
 
@@ -54,7 +53,7 @@ def biggest_pickup_zone(trips: DataFrame, zones: DataFrame, day: str) -> DataFra
 
 def largest_tip_dropoffs(trips: DataFrame, zones: DataFrame, pickup_zone: str, month: str) -> DataFrame:
     """Largest tip per drop-off zone for trips of a month ('MM-yyyy') from one pickup zone."""
-    zones = small_side(zones.select("location_id", "zone"))
+    zones = zones.select("location_id", "zone")
     origin = zones.where(F.col("zone") == pickup_zone).select(F.col("location_id").alias("_from"))
     target = zones.select(F.col("location_id").alias("_to"), F.col("zone").alias("dropoff_zone"))
     per_location = (
@@ -103,7 +102,7 @@ def pickup_zone_counts(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips per pickup zone, counted per location id before the zone is joined."""
     per_location = trips.groupBy("pickup_location_id").agg(F.count("pickup_location_id").alias("n"))
     return (
-        per_location.join(small_side(zones), F.col("pickup_location_id") == F.col("location_id"))
+        per_location.join(zones, F.col("pickup_location_id") == F.col("location_id"))
         .groupBy("zone").agg(F.sum("n").alias("trip_count"))
     )
 

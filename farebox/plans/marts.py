@@ -16,7 +16,6 @@ from farebox.operators.checks import (
 )
 from farebox.operators.conform import with_constants
 from farebox.operators.dedup import keep_first
-from farebox.operators.lookups import small_side
 from farebox.schemas import NUMERIC
 
 SERVICES = ["Green", "Yellow"]
@@ -46,7 +45,7 @@ def with_payment_label(
 ) -> DataFrame:
     """Left join of a payment lookup (payment_type, description) on ``code``; unmatched codes get the default."""
     lookup = payment_types.select(F.col("payment_type").alias("_code"), F.col("description").alias("_label"))
-    joined = trips.join(small_side(lookup), code == F.col("_code"), "left")
+    joined = trips.join(lookup, code == F.col("_code"), "left")
     label = F.col("_label") if default_label is None else F.coalesce("_label", F.lit(default_label))
     return joined.withColumn("payment_type_description", label).drop("_code", "_label")
 
@@ -78,7 +77,7 @@ def dim_vendors(trips: DataFrame) -> DataFrame:
 
 def with_zones(trips: DataFrame, zones: DataFrame, how: str = "left") -> DataFrame:
     """Zone and borough of both ends: the same dimension joined twice under two roles."""
-    zones = small_side(zones.select("location_id", "borough", "zone"))
+    zones = zones.select("location_id", "borough", "zone")
     for role in ("pickup", "dropoff"):
         role_zones = zones.select(
             F.col("location_id").alias(f"_{role}"),

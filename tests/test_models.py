@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from farebox.operators import checks as k
 from farebox.operators.aggregates import load_report, share_of_total
 from farebox.operators.dedup import keep_first, keep_latest
-from farebox.operators.lookups import small_side
 from farebox.plans import analytics, marts, staging
 from farebox.schemas import GREEN_CSV, PAYMENT_TYPE_LOOKUP, YELLOW_CSV, ZONE_LOOKUP
 
@@ -158,17 +157,21 @@ def test_share_and_report(spark):
     assert rows(load_report(units, ["month", "kind"])) == [("2024-01", "y", 2, 2), ("2024-02", "g", 1, 3)]
 
 
-def test_lookup_is_broadcast_only_when_small(spark, plan_of):
+def test_lookup_join_is_chosen_by_measured_size(spark, tmp_path, plan_of):
+    """No hint and no job while the query is built: Spark broadcasts a lookup by the size of its files, else it shuffles."""
+    spark.range(0, 50).select(F.col("id").cast("int").alias("payment_type"), F.lit("x").alias("description")).write.parquet(f"file:{tmp_path}/codes")
     trips = spark.range(1000).withColumnRenamed("id", "k")
-    lookup = spark.range(0, 50).select(F.col("id").alias("code"), F.lit("x").alias("label"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def joined():
+        return marts.with_payment_label(trips, spark.read.parquet(f"file:{tmp_path}/codes"), F.col("k"))
+
+    small, large = joined(), None
+    assert "BroadcastHashJoin" in plan_of(small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
     try:
-        small = trips.join(small_side(lookup), F.col("k") == F.col("code"), "left")
-        large = trips.join(small_side(lookup, max_rows=49), F.col("k") == F.col("code"), "left")
-        wide = trips.join(small_side(lookup, max_bytes=10), F.col("k") == F.col("code"), "left")
-        assert "BroadcastHashJoin" in plan_of(small)
-        assert "SortMergeJoin" in plan_of(large) and "SortMergeJoin" in plan_of(wide)
-        assert rows(small) == rows(large) == rows(wide)
+        large = joined()
+        assert "SortMergeJoin" in plan_of(large)
+        assert rows(small) == rows(large)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -184,7 +187,7 @@ def test_hot_code_of_a_large_lookup_is_split(spark, plan_of):
     try:
         trips = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("k"))
         lookup = spark.range(0, 60_000, 1, 8).select(F.col("id").alias("code"), F.lit("x").alias("label"))
-        joined = trips.join(small_side(lookup, max_rows=100), F.col("k") == F.col("code"), "left")
+        joined = trips.join(lookup, F.col("k") == F.col("code"), "left")
         assert joined.where("label is null").count() == 0
         assert "skew=true" in plan_of(joined, executed=True)
     finally:

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.operators.lookups import small_side
 from farebox.plans import marts, staging
 
 # amounts are products of cents and hundredths, rounded half up to cents in whole numbers
@@ -123,10 +122,6 @@ def zones(spark: SparkSession, sf: str) -> DataFrame:
     return marts.dim_zones(zone_lookup(spark, sf))
 
 
-def small_zones(spark: SparkSession, sf: str) -> DataFrame:
-    return small_side(zones(spark, sf))
-
-
 def payment_types(spark: SparkSession) -> DataFrame:
     rows = ", ".join(f"({code}, '{name}')" for code, name in PAYMENT_TYPES)
     return spark.sql(f"select * from values {rows} as payments(payment_type, description)")
