@@ -1,7 +1,10 @@
 """Sessions, windows, late rows, restarts."""
 
+import random
+import re
 from datetime import datetime, timedelta
 
+import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -57,6 +60,21 @@ def test_sessions_equal_brute_force(spark, items):
     assert _as_micros(session_counts(_timed(spark, items), "k", "ts", 2)) == _expected_sessions(items, 2_000_000)
 
 
+@pytest.mark.parametrize("cells", [1, 2, 7])
+def test_sessions_across_stretches_equal_brute_force(spark, cells):
+    """Stretches of few cells, so that sessions begin, end and run through their borders."""
+    at = random.Random(cells)
+    items = [(1 + (at.random() < 0.3), at.randrange(-400, 400) * 500_000) for _ in range(300)] + [(3, 0), (3, 2_000_000), (3, 4_000_001)]
+    got = session_counts(_timed(spark, items), "k", "ts", 2, cells_per_chunk=cells)
+    assert _as_micros(got) == _expected_sessions(items, 2_000_000)
+
+
+def test_one_key_is_chained_by_many_tasks(spark, plan_of):
+    events = spark.range(1000).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("ts"))
+    plan = plan_of(session_counts(events, "k", "ts", 60, cells_per_chunk=10))
+    assert "hashpartitioning(k" in plan and re.search(r"hashpartitioning\(k#\d+, chunk", plan)
+
+
 def test_batch_sessions_equal_builtin_session_window(spark):
     events = spark.range(3000).select(
         (F.col("id") % 3).cast("int").alias("k"), F.timestamp_seconds(1_704_067_200 + F.pmod(F.xxhash64("id"), F.lit(400_000))).alias("ts"))
