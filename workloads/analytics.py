@@ -12,6 +12,7 @@ from farebox.plans import analytics, interval
 from farebox.operators.aggregates import share_of_total
 from farebox.session import scratch_path
 from farebox.sources import bounded_counts
+from farebox.plans.month_files import SERVICES, merge_month_file
 from workloads import feeds
 from workloads.aggregates import BUCKET_SQL, RANK_SQL
 from workloads.feeds import INGESTED_SQL, PAYMENTS_SQL, TRIPS_SQL, TRIP_SQL, ZONES_SQL
@@ -167,6 +168,18 @@ def q13_size(spark, sf):
     return mean_file_size(spark, path)
 
 
+@register("q13_file_sizes", "select 4::bigint as files, count(*) as all_rows, true as of_equal_rows, true as mean_is_right from lineitem")
+def q13_files(spark, sf):
+    path = scratch_path(spark, "q13f")
+    write_in_files(feeds.table(spark, sf, "lineitem"), 4, path)
+    per_file = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).count()
+    mean = mean_file_size(spark, path).select("mean_mb").scalar()
+    return per_file.agg(
+        F.count(F.lit(1)).alias("files"), F.sum("count").alias("all_rows"),
+        (F.max("count") - F.min("count") <= 64).alias("of_equal_rows"),
+        (F.abs(F.avg("size") / (1 << 20) - mean) <= 0.006).alias("mean_is_right"))
+
+
 @register("q15_long_trips", f"{_WITH} select count(*) as total_messages, count(*) filter (where trip_distance > 5) as long_trips from trip")
 def q15(spark, sf):
     return bounded_counts(feeds.trips(spark, sf, "trip_distance"))
@@ -229,6 +242,26 @@ def q18(spark, sf):
     return insert_only_merge(source.where("service = 'green'"), source, "unique_row_id")
 
 
+@register("q18_month_files_merged", f"""with {TRIPS_SQL}
+    select {F2_SQL} as unique_row_id, service || '_tripdata.csv' as filename, distance as trip_distance, fare as fare_amount,
+      cast(pickup as date) as day from feed""")
+def q18_files(spark, sf):
+    # CSV files of both services with their declared columns, each merged twice into its own table
+    root, run = scratch_path(spark, "q18"), uuid.uuid4().hex[:12]
+    spark.sql(f"create database farebox_run_{run} location '{root}/tables'")
+    merged = []
+    for service, raw in (("green", feeds.green_raw(spark, sf)), ("yellow", feeds.yellow_raw(spark, sf))):
+        schema, prefix = SERVICES[service]
+        texts = {f"{prefix}_{end}_datetime": F.date_format(f"{prefix}_{end}_datetime", "yyyy-MM-dd HH:mm:ss") for end in ("pickup", "dropoff")}
+        given = raw.withColumns({**texts, "RatecodeID": F.lit(None).cast("long"), "congestion_surcharge": F.lit(0.0)})
+        given.select(*schema.names).write.option("header", True).csv(f"{root}/{service}")
+        name = f"farebox_run_{run}.{service}_tripdata"
+        for _ in range(2):
+            merge_month_file(spark, name, service, f"{root}/{service}", f"{service}_tripdata.csv")
+        merged.append(spark.table(name).select("unique_row_id", "filename", "trip_distance", "fare_amount", "day"))
+    return merged[0].union(merged[1])
+
+
 _CENTROIDS = """centroids as (select label, list(mean order by position) as embedding from (
     select label, position, avg(v) as mean from (select label, unnest(cast(embedding as double[])) as v,
       generate_subscripts(embedding, 1) as position from embeddings) group by 1, 2) group by 1)"""
