@@ -4,7 +4,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from conftest import SF_SMALL, rows
 from pyspark.sql import functions as F
 
 from farebox.operators import checks as k
@@ -200,3 +200,28 @@ def test_mean_price_by_brand(spark):
     df = spark.createDataFrame([(d,) for d in docs], "doc string")
     assert [tuple(r) for r in analytics.mean_price_by_brand(df, "doc").collect()] == [
         ("N/A", 9.0), (None, 4.0), ("A", 1.5), ("B", None)]
+
+
+def test_build_stops_at_the_first_failed_model(spark, database, tmp_path):
+    """A zone listed twice: the zones are stored and judged, no trip table is made; the corrected lookup then builds all."""
+    from farebox.plans.build import build_marts
+    from workloads import feeds
+    green, yellow = feeds.green_raw(spark, SF_SMALL), feeds.yellow_raw(spark, SF_SMALL)
+    zones = feeds.zone_lookup(spark, SF_SMALL, skipped_region="")
+
+    def build(lookup):
+        build_marts(spark, database, f"file:{tmp_path}/db", green, yellow, feeds.payment_types(spark), lookup)
+
+    with pytest.raises(k.CheckFailed, match="unique"):
+        build(zones.union(zones.limit(1)))
+    tables = {r.tableName for r in spark.sql(f"show tables in {database}").collect() if not r.isTemporary}
+    assert tables == {"dim_zones", "check_results"}
+    for _ in range(2):
+        build(zones)
+    results = spark.table(f"{database}.check_results")
+    assert results.where("not passed").count() == 0 and results.select("model").distinct().count() == 6
+    trips = spark.table(f"{database}.fct_trips").count()
+    assert trips and spark.table(f"{database}.fct_monthly_zone_revenue").agg(F.sum("total_monthly_trips")).first()[0] == trips
+    with pytest.raises(k.CheckFailed, match="relationships"):
+        build(zones.where("Borough <> 'ASIA'"))
+    assert spark.table(f"{database}.fct_monthly_zone_revenue").count()
