@@ -17,14 +17,14 @@ ORACLES: dict[str, str] = {}
 
 
 def plain_types(df: DataFrame) -> DataFrame:
-    """Result types both engines share: wall-clock timestamps, doubles for exact decimals of cents."""
+    """Result types both engines share: wall-clock timestamps, doubles for decimals with all their places."""
     changes = {}
     for field in df.schema.fields:
         kind = field.dataType.typeName()
         if kind == "timestamp":
             changes[field.name] = F.col(field.name).cast("timestamp_ntz")
         elif kind == "decimal":
-            changes[field.name] = F.col(field.name).cast("decimal(18,2)").cast("double")
+            changes[field.name] = F.col(field.name).cast("double")
     return df.withColumns(changes) if changes else df
 
 

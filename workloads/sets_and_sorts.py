@@ -1,5 +1,6 @@
 """Sorts, limits, top-k (O1-O6) and set operations (U2-U4; U1 is with the models)."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from farebox.operators.aggregates import ranked
@@ -66,6 +67,16 @@ def o6(spark, sf):
     return spark.read.parquet(path).drop("ts")
 
 
+@register("o6_order_within_files", "select count(*) as events, 0::bigint as out_of_order from events")
+def o6_order(spark, sf):
+    path = scratch_path(spark, "o6o")
+    day_partitioned(feeds.table(spark, sf, "events").select("event_id", "event_type", "ts"), "ts", "event_type").parquet(path)
+    rows = spark.read.parquet(path).select("event_type", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    before = F.lag("event_type").over(Window.partitionBy("file").orderBy("place"))
+    return rows.withColumn("before", before).agg(
+        F.count(F.lit(1)).alias("events"), F.count_if(F.col("before") > F.col("event_type")).alias("out_of_order"))
+
+
 @register("u2_union_of_differing_columns", """
     select c_custkey as id, c_acctbal as amount, c_mktsegment as segment from customer
     union all select s_suppkey, s_acctbal, null from supplier""")

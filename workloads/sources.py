@@ -184,6 +184,15 @@ def s14(spark, sf):
     return sources.first_rows(feeds.table(spark, sf, "orders"), 100)
 
 
+@register("s14_first_rows_are_known", "select least(count(*), 100) as first_rows, 0::bigint as unknown from orders")
+def s14_known(spark, sf):
+    orders = feeds.table(spark, sf, "orders")
+    first = sources.first_rows(orders, 100).withColumn("picked", F.lit(1))
+    known = orders.select(*orders.columns).withColumn("known", F.lit(1))
+    return first.join(known, orders.columns, "left").agg(
+        F.count("picked").alias("first_rows"), F.count_if(F.col("known").isNull()).alias("unknown"))
+
+
 _TYPES = {
     "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
     "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string",

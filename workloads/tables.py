@@ -49,12 +49,11 @@ def w3(spark, sf):
     return spark.table(name)
 
 
-@register("w4_table_as_select", "select o_orderstatus, o_orderdate, o_totalprice from orders where o_totalprice > 1000")
+@register("w4_table_as_select", "select * from orders")
 def w4(spark, sf):
     name = fresh_table(spark, "w4")
     feeds.table(spark, sf, "orders").createOrReplaceTempView("w4_source")
-    spark.sql(f"""create table {name} using parquet as
-        select o_orderstatus, o_orderdate, o_totalprice from w4_source where o_totalprice > 1000""")
+    spark.sql(f"create table {name} using parquet as select * from w4_source")
     return spark.table(name)
 
 
@@ -242,7 +241,7 @@ def w14(spark, sf):
 
 
 @register("w15_lineage_columns", """
-    select o_orderkey, true as from_orders, timestamp '2025-01-01 00:00:00' as extracted_at, 'yellow' as taxi_type from orders""")
+    select o_orderkey, 'orders.parquet' as filename, timestamp '2025-01-01 00:00:00' as extracted_at, 'yellow' as taxi_type from orders""")
 def w15(spark, sf):
     stamped = t.with_lineage(feeds.table(spark, sf, "orders"), F.lit("2025-01-01 00:00:00").cast("timestamp"), taxi_type="yellow")
-    return stamped.select("o_orderkey", F.col("filename").endswith(".parquet").alias("from_orders"), "extracted_at", "taxi_type")
+    return stamped.select("o_orderkey", "filename", "extracted_at", "taxi_type")
