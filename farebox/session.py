@@ -21,6 +21,7 @@ BASE_CONF = {
 }
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
+_scratch_paths: list[str] = []
 
 
 def build_session(
@@ -77,4 +78,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; two calls never return the same one."""
-    return f"{shared_dir(spark)}/farebox/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/farebox/{name}-{uuid.uuid4().hex}"
+    _scratch_paths.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete what lies at the scratch paths this process was given so far; returns how many there were.
+
+    For the end of a run: frames that still read from them, and tables in databases there, are gone after it.
+    """
+    removed = 0
+    while _scratch_paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_paths.pop())
+        removed += place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return removed

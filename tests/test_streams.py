@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -154,3 +155,29 @@ def test_hourly_sums_and_closed_sessions(spark, database, tmp_path):
     table, _ = _run(spark, session_counts_stream(stream, "PULocationID"), database, tmp_path, ["window_start", "PULocationID"], "append")
     closed = session_counts(batch, "PULocationID", "event_timestamp", 300).where("num_trips > 1 or PULocationID = 1 or window_start < timestamp '2024-01-01 01:00:00'")
     assert rows(table) == rows(closed)
+
+
+def test_timed_trigger_takes_later_files(spark, database, tmp_path):
+    """The ten-second trigger: a file that arrives after the first batch is in the table after a later one."""
+    _message(spark, tmp_path / "in", [(1, 0, 1.0), (1, 10, 1.0)], 0)
+    windows = tumbling_counts(with_event_time(stream_event_files(spark, f"file:{tmp_path}/in", MESSAGE)), "PULocationID")
+    name = f"{database}.timed"
+    create_result_table(spark, name, windows)
+    query = upsert_windows(windows, name, ["window_start", "PULocationID"], f"file:{tmp_path}/state", "update")
+
+    def until(expected):
+        for _ in range(120):
+            if query.exception() is not None:
+                raise query.exception()
+            got = sorted(r.num_trips for r in spark.table(name).select("num_trips").collect())
+            if got == expected:
+                return got
+            time.sleep(0.5)
+        return got
+
+    try:
+        assert until([2]) == [2]
+        _message(spark, tmp_path / "in", [(1, 20, 1.0), (2, 30, 1.0)], 1)
+        assert until([1, 3]) == [1, 3]
+    finally:
+        query.stop()

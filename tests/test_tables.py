@@ -275,3 +275,12 @@ def test_scratch_lies_in_the_configured_folder(spark):
     from farebox.session import scratch_path, shared_dir
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_scratch_is_removed_when_asked(spark, monkeypatch):
+    from farebox import session
+    monkeypatch.setattr(session, "_scratch_paths", [])
+    used, unused = session.scratch_path(spark, "x"), session.scratch_path(spark, "y")
+    assert tables.stored(spark.range(3), used).count() == 3
+    assert session.remove_scratch(spark) == 1 and unused
+    assert not Path(used.removeprefix("file:")).exists() and session.remove_scratch(spark) == 0

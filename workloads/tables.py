@@ -17,9 +17,10 @@ from workloads.sets_and_sorts import tumbling_sql
 
 
 def fresh_table(spark, name):
-    """A table name nobody uses, in a database that lies in the shared folder."""
-    spark.sql(f"create database if not exists farebox_work location '{scratch_path(spark, 'work')}'")
-    return f"farebox_work.{name}_{uuid.uuid4().hex[:12]}"
+    """A table name nobody uses, in a database of its own that lies in the shared folder."""
+    database = f"farebox_work_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"create database {database} location '{scratch_path(spark, 'work')}'")
+    return f"{database}.{name}"
 
 
 @register("w1_replaced_table", "select * from customer")
