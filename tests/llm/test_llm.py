@@ -250,6 +250,10 @@ def test_label_model_recovers_voters():
     assert ((post > 0.5) == truth).mean() > 0.97
 
 
+def test_pattern_voters_read_the_whole_text():
+    assert toxicity.patterns_of("a" * 3000 + "B" * 4000)[1] and not toxicity.patterns_of("B" * 2000 + "a" * 3000)[1]
+
+
 def test_toxicity_edges(spark):
     docs = with_edge_rows(spark).withColumn("score", F.lit("clash"))
     labels = spark.createDataFrame([(3, 0, 1), (4, 0, 1), (None, 0, 1), (5, 0, None), (2, 0, 0)], "doc_id long, quality int, toxic int")
