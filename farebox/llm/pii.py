@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame
 
-from farebox.llm.spans import SPANS, blank_out
+from farebox.llm.spans import SPANS, Cover, blank_out
 from farebox.llm.tasks import with_python_columns
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -98,13 +98,12 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float, bool]]:
         ("ssn", _SSN, 0.5, 0.0, lambda s: s[:3] not in ("000", "666") and s[0] != "9" and s[4:6] != "00" and s[7:] != "0000"),
         ("local_phone", _LOCAL_PHONE, 0.5, 0.0, lambda s: True),
     )
-    taken = [(a, b) for _, a, b, _, _ in found]
+    taken = Cover([(a, b) for _, a, b, _, _ in found])
     for kind, pattern, plain, checked, check in proposals:
         for m in pattern.finditer(text):
             if check(m.group()):
                 score = min(1.0, plain + checked + 0.3 * near(kind, *m.span()))
-                inside = kind != "iban" and any(a < m.end() and m.start() < b for a, b in taken)
-                if score >= LEAST_SCORE and not inside:
+                if score >= LEAST_SCORE and (kind == "iban" or not taken.touches(*m.span())):
                     found.append((kind, *m.span(), score, False))
     return found
 

@@ -15,7 +15,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.spans import SPANS, blank_out
+from farebox.llm.spans import SPANS, Cover, blank_out
 from farebox.llm.tasks import with_python_columns
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -28,7 +28,8 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 _HEX_PAIRS = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}")
 _SIGNED = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,}+)\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*+)")
-_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----")
+# a body holds no further marker, so each is searched once
+_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----((?:[^-]++|-(?!----))*+)-----END \1-----")
 # No pattern but the assignments and armoured blocks matches less than this without white space.
 _SHORTEST_RUN = 16
 
@@ -116,20 +117,12 @@ def is_token_header(part: str) -> bool:
 
 def _armoured(text: str) -> list[tuple[int, int]]:
     """BEGIN/END blocks whose body decodes to a key (or whose header lines say that it is encrypted)."""
-    found, free, no_end = [], 0, set()
-    for m in _BEGIN.finditer(text):
-        if m.start() < free or m.group(1) in no_end:
-            continue
-        end = f"-----END {m.group(1)}-----"
-        stop = text.find(end, m.end())
-        if stop < 0:
-            no_end.add(m.group(1))
-            continue
-        body = text[m.end():stop]
+    found = []
+    for m in _ARMOUR.finditer(text):
+        body = m.group(2)
         data = decode_base64("".join(line.strip() for line in body.splitlines() if ":" not in line)) or b""
         if is_der_key(data) or is_ssh_key(data) or "ENCRYPTED" in body and len(data) >= 32:
-            free = stop + len(end)
-            found.append((m.start(), free))
+            found.append(m.span())
     return found
 
 
@@ -140,14 +133,11 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float, bool]]:
     found = []
     if "=" in text or ":" in text:
         found += [("assign", *m.span(), 0.7, True) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
-        if "-----BEGIN " in text:
-            found += [("pem", *s, 1.0, False) for s in _armoured(text)]
-    elif "-----BEGIN " in text:
-        found += [("pem", *s, 1.0, False) for s in _armoured(text)]
+    armour = Cover(_armoured(text) if "-----BEGIN " in text else [])
+    found += [("pem", *s, 1.0, False) for s in armour.spans]
     if max(map(len, text.split()), default=0) >= _SHORTEST_RUN:
         found += [("access", *m.span(), 0.9, True) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 16]
         found += [("hex", *m.span(), 0.6, True) for m in _HEX.finditer(text)]
-        armour = [s for s in found if s[0] == "pem"]
         for m in _SIGNED.finditer(text):
             if is_token_header(m.group(1)):
                 found.append(("token", *m.span(), 1.0, False))
@@ -155,7 +145,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float, bool]]:
             for m in pattern.finditer(text):
                 data = decode(m.group()) or b""
                 kind = "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
-                if kind and not any(a <= m.start() < b for _, a, b, _, _ in armour):
+                if kind and not armour.touches(m.start(), m.start() + 1):
                     found.append((kind, *m.span(), 1.0, False))
     return sorted(found, key=lambda s: (s[1], _KIND_ORDER[s[0]]))
 

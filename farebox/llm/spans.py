@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,3 +34,17 @@ def blank_out(text: str, spans: Sequence[tuple[int, int, str]]) -> str:
             out += [text[at:start], f"[{kind.upper()}]"]
         at = max(at, stop)
     return "".join([*out, text[at:]])
+
+
+class Cover:
+    """Spans of one text, asked for overlaps in logarithmic time each."""
+
+    def __init__(self, spans: Sequence[tuple[int, int]]):
+        self.spans = sorted(spans)
+        self.starts = [a for a, _ in self.spans]
+        self.furthest = list(accumulate((b for _, b in self.spans), max))
+
+    def touches(self, start: int, stop: int) -> bool:
+        """Whether some span shares a character with ``start:stop``."""
+        n = bisect_left(self.starts, stop)
+        return n > 0 and self.furthest[n - 1] > start

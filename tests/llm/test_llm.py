@@ -5,6 +5,7 @@ import hashlib
 import io
 import json
 import random
+import time
 import zlib
 
 import duckdb
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from farebox.llm import bpe, chat, components, decontaminate, neighbours, pii, queries, secrets, simhash, toxicity, urls, warc
+from farebox.llm import bpe, chat, components, decontaminate, neighbours, pii, queries, secrets, simhash, spans, toxicity, urls, warc
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents embeddings pages benchmark labels conversations"
@@ -507,6 +508,24 @@ def test_secret_structures():
     assert kinds(f"x {block} y") == [("pem", block)]
     assert kinds(block.replace("-----END", "-----END NO")) == [] or kinds(block.replace("-----END", "-----END NO"))[0][0] != "pem"
     assert kinds("A" * 100_000) == [] and kinds("-----BEGIN A-----" * 2000) == []
+    assert kinds("-----BEGIN A-----\n" + block) == [("pem", block)]
+
+
+def test_spans_of_long_texts_in_linear_time():
+    started = time.process_time()
+    assert len(pii.find_spans("1.2.3.4 call 555 123-4567, " * 20_000)) == 40_000
+    assert secrets.find_spans("-----BEGIN A----- b " * 60_000 + "-----END A-----") == []
+    assert time.process_time() - started < 30
+
+
+def test_cover():
+    rng = random.Random(2)
+    for _ in range(300):
+        own = [(a, a + rng.randint(1, 9)) for a in (rng.randint(0, 60) for _ in range(rng.randint(0, 6)))]
+        cover = spans.Cover(own)
+        for start in range(70):
+            stop = start + rng.randint(1, 5)
+            assert cover.touches(start, stop) == any(a < stop and start < b for a, b in own)
 
 
 def test_secret_edges(spark):
