@@ -28,11 +28,18 @@ def ranked(df: DataFrame, order: list[Column], n: int | None = None) -> DataFram
 def load_report(df: DataFrame, unit: list[str]) -> DataFrame:
     """Rows per loaded unit with a running total in unit order.
 
-    The window has one row per unit (kind and month), a number set by the calendar and not by the data.
+    Units are summed up within each value of the first column, by a task per value. Only those values' totals (months or
+    kinds) run through one window; they are added to the running totals within. NULL is a value and comes first.
     """
+    first, *rest = unit
     counts = df.groupBy(*unit).agg(F.count(F.lit(1)).alias("row_count"))
-    running = Window.orderBy(*unit).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.withColumn("running_rows", F.sum("row_count").over(running))
+    totals = counts.groupBy(F.col(first).alias("_first")).agg(F.sum("row_count").alias("_rows"))
+    earlier = Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(first).orderBy(*rest or [first]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = counts.withColumn("_within", F.sum("row_count").over(within))
+    return running.join(before, F.col(first).eqNullSafe(F.col("_first"))).select(
+        *unit, "row_count", (F.col("_before") + F.col("_within")).alias("running_rows"))
 
 
 def money(col: Column | str, dtype: str = "decimal(18,2)") -> Column:

@@ -256,6 +256,8 @@ def upsert_into_table(
 LEDGER = T.StructType([
     T.StructField("taxi_type", T.StringType()),
     T.StructField("month", T.DateType()),
+    T.StructField("row_count", T.LongType()),
+    T.StructField("loaded_at", T.TimestampType()),
 ])
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from farebox.operators.tables import (
     pending_units,
 )
 from farebox.schemas import INGESTED_TRIP
-from farebox.sources.files import month_units, read_units
+from farebox.sources.files import month_units, read_unit_files, unit_files
 
 NO_PAYMENT_NAME = "unknown"
 STAGED_COLUMNS = (
@@ -101,7 +102,8 @@ def load_months(
 ) -> list[tuple[str, date]]:
     """Append the month files the ledger does not list to a day-partitioned table; returns the units appended now.
 
-    Months without a file are skipped and stay pending. A unit is recorded after its rows are stored, so a crash
+    Months without a file are skipped and stay pending. The ledger has each unit's rows, as the files' footers state
+    them, and the time of loading. A unit is recorded after its rows are stored, so a crash
     in between repeats rows, which staging's latest-wins dedup removes.
     """
     units = spark.createDataFrame(month_units(taxi_types, start, end), "taxi_type string, month date")
@@ -109,7 +111,8 @@ def load_months(
     loaded = []
     for taxi_type in taxi_types:
         wanted = sorted(u for u in todo if u[0] == taxi_type)
-        raw, missing = read_units(spark, wanted, path_of)
+        files, missing = unit_files(spark, wanted, path_of)
+        raw = read_unit_files(spark, files)
         if raw is None:
             continue
         shaped = ingest_shape(raw, taxi_type, F.current_timestamp())
@@ -119,7 +122,11 @@ def load_months(
         typed = shaped.select(*[F.col(f.name).cast(f.dataType) for f in INGESTED_TRIP.fields])
         append_rows(by_day(typed, "pickup_datetime"), table)
         done = [u for u in wanted if u not in missing]
-        append_rows(spark.createDataFrame(done, LEDGER), ledger)
+        counts = Counter()
+        for file in files:
+            counts[file.unit] += file.n_rows
+        now = datetime.now(timezone.utc)
+        append_rows(spark.createDataFrame([(*u, counts[u], now) for u in done], LEDGER), ledger)
         loaded += done
     return loaded
 

@@ -7,6 +7,7 @@ import sys
 from collections.abc import Callable, Iterable
 from datetime import date
 from functools import reduce
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark import cloudpickle
@@ -87,36 +88,69 @@ def read_units(
     per distinct schema (a handful) and not one per file. Columns missing from a branch are NULL and a column that is
     integer in one branch and double in another widens to double.
     """
-    present, missing = [], []
+    files, missing = unit_files(spark, units, path_of)
+    return read_unit_files(spark, files), missing
+
+
+class UnitFile(NamedTuple):
+    """A data file of a unit, its Parquet schema as text, and its rows as the footer states them."""
+
+    unit: tuple[str, date]
+    path: str
+    footer: str
+    n_rows: int
+
+
+def unit_files(
+    spark: SparkSession, units: Iterable[tuple[str, date]], path_of: Callable[[str, date], str]
+) -> tuple[list[UnitFile], list[tuple[str, date]]]:
+    """The data files of all units, from one distributed job over their footers, and the units that had no file."""
+    unit_at, paths, missing = {}, [], []
     for unit in units:
         path = path_of(*unit)
-        if _exists(spark, path):
-            present.append(path)
+        places = _places(spark, path)
+        unit_at.update(dict.fromkeys(map(_plain, places), unit))
+        if places:
+            paths.append(path)
         else:
             missing.append(unit)
-    if not present:
-        return None, missing
+    files = []
+    # a row per file, as the scan's own file listing has
+    for row in _footers(spark, paths).collect() if paths else ():
+        place = _plain(row["path"])
+        while place and place not in unit_at:
+            place = place.rpartition("/")[0]
+        files.append(UnitFile(unit_at[place], row["path"], row["footer"], row["n_rows"]))
+    return files, missing
+
+
+def read_unit_files(spark: SparkSession, files: Iterable[UnitFile]) -> DataFrame | None:
+    """The rows of these files, one scan per distinct schema; None without files."""
     groups: dict[str, list[str]] = {}
-    for row in _footers(spark, present).collect():  # a row per file, as the scan's own file listing has
-        groups.setdefault(row["footer"], []).append(row["path"])
+    for file in files:
+        groups.setdefault(file.footer, []).append(file.path)
     frames = []
     for footer in sorted(groups):
         paths = sorted(groups[footer])
         schema = spark.read.parquet(paths[0]).schema
         frames.append(spark.read.schema(schema).parquet(*paths))
-    if not frames:
-        return None, missing
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), missing
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
+
+
+def _plain(path: str) -> str:
+    """A path in one form: unquoted, a local one with a single slash."""
+    return re.sub("^file:/+", "file:/", unquote(path))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file, folder or glob is there; asks the file system alone and starts no job."""
+def _places(spark: SparkSession, path: str) -> list[str]:
+    """Files and folders that a path or glob stands for; asks the file system alone and starts no job."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place))
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return [f.getPath().toString() for f in found or []]
 
 
 def _footers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``path`` and ``footer`` (the Parquet schema as text) of every data file below the paths."""
+    """``path``, ``footer`` (the Parquet schema as text) and ``n_rows`` of every data file below the paths."""
     # the path column alone is wanted, so this lists files and reads none
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths).select("path")
 
@@ -127,15 +161,17 @@ def _footers(spark: SparkSession, paths: list[str]) -> DataFrame:
 
         for batch in batches:
             found = batch.column(0).to_pylist()
-            texts = []
+            texts, counts = [], []
             for path in found:
                 local = path.startswith("file:")
                 system, place = (fs.LocalFileSystem(), unquote(path[5:])) if local else fs.FileSystem.from_uri(path)
                 with system.open_input_file(re.sub("^//+", "/", place)) as file:
-                    texts.append(str(pq.ParquetFile(file).schema))
-            yield pa.RecordBatch.from_pydict({"path": found, "footer": texts})
+                    parquet = pq.ParquetFile(file)
+                    texts.append(str(parquet.schema))
+                    counts.append(parquet.metadata.num_rows)
+            yield pa.RecordBatch.from_pydict({"path": found, "footer": texts, "n_rows": counts})
 
-    return files.mapInArrow(read, "path string, footer string")
+    return files.mapInArrow(read, "path string, footer string, n_rows long")
 
 
 def first_rows(df: DataFrame, n: int | None = None) -> DataFrame:

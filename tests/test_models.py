@@ -155,6 +155,10 @@ def test_share_and_report(spark):
     assert rows(share_of_total(df, "payment_type")) == [("Cash", 5, 62.5), ("Credit", 2, 25.0), (None, 1, 12.5)]
     units = spark.createDataFrame([("2024-02", "g"), ("2024-01", "y"), ("2024-01", "y")], "month string, kind string")
     assert rows(load_report(units, ["month", "kind"])) == [("2024-01", "y", 2, 2), ("2024-02", "g", 1, 3)]
+    assert rows(load_report(units, ["month"])) == [("2024-01", 2, 2), ("2024-02", 1, 3)]
+    more = units.union(spark.createDataFrame([("2024-02", None), (None, "y"), ("2024-02", "y")], "month string, kind string"))
+    assert sorted(rows(load_report(more, ["month", "kind"])), key=lambda r: r[3]) == [
+        (None, "y", 1, 1), ("2024-01", "y", 2, 3), ("2024-02", None, 1, 4), ("2024-02", "g", 1, 5), ("2024-02", "y", 1, 6)]
 
 
 def test_lookup_join_is_chosen_by_measured_size(spark, tmp_path, plan_of):

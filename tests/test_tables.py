@@ -260,8 +260,9 @@ def test_interval_run_is_repeatable(spark, database, tmp_path, lookup):
     assert spark.table(f"{database}.ingested_trips").count() == ingested == 5
     both = january + [(date(2024, 2, 1), "yellow", "card", 1), (date(2024, 2, 3), "yellow", "card", 1)]
     assert run(datetime(2024, 2, 1), datetime(2024, 3, 1)) == sorted(both, key=repr)
-    assert rows(spark.table(f"{database}.load_ledger").select("taxi_type", "month")) == [
-        ("green", jan), ("yellow", jan), ("yellow", feb)]
+    ledger = spark.table(f"{database}.load_ledger")
+    assert rows(ledger.select("taxi_type", "month", "row_count")) == [("green", jan, 1), ("yellow", jan, 4), ("yellow", feb, 1)]
+    assert ledger.where("loaded_at is null").count() == 0
 
 
 def test_failed_check_stops_the_gate(spark, lookup):
