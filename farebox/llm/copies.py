@@ -1,0 +1,207 @@
+"""Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+
+MinHash signatures propose, in three steps that all stay linear in the documents unless groups differ within themselves:
+texts that agree in a band of the signature meet in a unit, where spanning links join those whose signatures agree well
+enough; the texts that such links join then meet once more, with their shingles, and are linked where the similarity is
+0.8 in truth; connected texts are one group.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from farebox.llm.components import connected_components
+from farebox.llm.tasks import small_batches, stored, with_python_columns, without
+
+WORDS = 5
+LEAST_SIMILARITY = 0.8
+# At 0.8, a pair agrees in no band with probability (1 - 0.8 ** 5) ** 26 = 0.00003.
+BANDS, ROWS_PER_BAND = 26, 5
+SIGNATURE = BANDS * ROWS_PER_BAND
+# Proposed are signatures that agree in so many places: of pairs at 0.8, all but 0.00001.
+LEAST_AGREEING = 84
+# Texts and shingles that a tile holds; larger groups are cut into tiles, all pairs of which meet.
+TILE = 2048
+TILE_SHINGLES = 1 << 20
+_AT_ONCE = 1 << 10
+_ROWS_AT_ONCE = 1 << 14
+
+_random = np.random.default_rng(11)
+_FACTORS = _random.integers(1 << 63, size=SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLACES = _random.integers(1 << 63, size=WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BAND_FACTORS = _random.integers(1 << 63, size=ROWS_PER_BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
+    return h ^ (h >> np.uint64(33))
+
+
+def shingle_hashes(text: str | None) -> np.ndarray:
+    """The different shingles as sorted 64-bit hashes: five words each, or all words if there are fewer; none without words."""
+    words = (text or "").encode().lower().split()
+    digest = xxhash.xxh64_intdigest
+    if len(words) < WORDS:
+        return np.array([digest(b" ".join(words), 42)] if words else [], np.uint64)
+    one = np.fromiter((digest(w, 42) for w in words), np.uint64, len(words))
+    n = len(words) - WORDS + 1
+    out = np.zeros(n, np.uint64)
+    for i in range(WORDS):
+        out += one[i:i + n] * _PLACES[i]
+    return np.unique(_mixed(out))
+
+
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """The least of each of ``SIGNATURE`` rearrangements of the hashes."""
+    least = np.full(SIGNATURE, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for i in range(0, len(hashes), _AT_ONCE):
+        least = np.minimum(least, (_FACTORS[:, None] * hashes[i:i + _AT_ONCE]).min(axis=1))
+    return least
+
+
+def _marks(texts: list[str | None]) -> list:
+    """Per text: hash of its shingle set, number of shingles, the low bytes of its signature, and its band keys."""
+    sets, counts, sketches, keys = [], [], [], []
+    for text in texts:
+        hashes = shingle_hashes(text)
+        least = _mixed(signature(hashes))
+        banded = _mixed((least.reshape(BANDS, ROWS_PER_BAND) * _BAND_FACTORS).sum(axis=1) + np.arange(BANDS, dtype=np.uint64))
+        sets.append(xxhash.xxh64_intdigest(hashes.tobytes(), 42) - (1 << 63))
+        counts.append(len(hashes))
+        sketches.append(least.astype(np.uint8).tobytes())
+        keys.append(banded.view(np.int64).tolist())
+    return [sets, counts, sketches, keys]
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows of each group (equal first two columns), from batches sorted by them."""
+    held = []
+    for batch in batches:
+        for row in zip(*[c.to_numpy(zero_copy_only=False) for c in batch.columns]):
+            if held and row[:2] != held[0][:2]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+class _Joined:
+    """Which rows of a unit are connected: a label per row."""
+
+    def __init__(self, size: int):
+        self.label = np.arange(size)
+
+    def join(self, i: int, j: int) -> None:
+        a, b = self.label[i], self.label[j]
+        self.label[self.label == max(a, b)] = min(a, b)
+
+
+def _order(sketches: np.ndarray) -> np.ndarray:
+    """Rows by how often they agree with the others, most often first: what all resemble links all at once."""
+    often = np.zeros(len(sketches))
+    if len(sketches) > 2:
+        for j in range(sketches.shape[1]):
+            often += np.bincount(sketches[:, j], minlength=256)[sketches[:, j]]
+    return np.argsort(-often, kind="stable")
+
+
+def links_of(sketches: np.ndarray, similar=None) -> list[tuple[int, int]]:
+    """Links that connect the rows that all pairs with signatures that agree well enough (and that are ``similar``) connect."""
+    joined, links = _Joined(len(sketches)), []
+    done = np.zeros(len(sketches), bool)
+    for q in _order(sketches):
+        done[q] = True
+        others = np.flatnonzero(~done & (joined.label != joined.label[q]))
+        if not len(others):
+            continue
+        agree = (sketches[others] == sketches[q]).sum(axis=1)
+        near = np.argsort(-agree, kind="stable")[:int((agree >= LEAST_AGREEING).sum())]
+        for j in others[near]:
+            if joined.label[j] != joined.label[q] and (similar is None or similar(q, j)):
+                joined.join(q, j)
+                links.append((int(q), int(j)))
+    return links
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sorted arrays without repeats."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    common = int((b[at] == a).sum())
+    return common / (len(a) + len(b) - common)
+
+
+def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    ends = np.array(links, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["node", "to"])
+
+
+def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    out = []
+    for rows in _groups(batches):
+        nodes = [r[2] for r in rows]
+        sketches = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, SIGNATURE)
+        out += [(nodes[i], nodes[j]) for i, j in links_of(sketches)]
+        if len(out) >= _ROWS_AT_ONCE:
+            yield _link_batch(out)
+            out = []
+    yield _link_batch(out)
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    out = []
+    for rows in _groups(batches):
+        nodes = [r[2] for r in rows]
+        sketches = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, SIGNATURE)
+        sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+        found = links_of(sketches, lambda i, j: jaccard(sets[i], sets[j]) >= LEAST_SIMILARITY)
+        out += [(nodes[i], nodes[j]) for i, j in found]
+        if len(out) >= _ROWS_AT_ONCE:
+            yield _link_batch(out)
+            out = []
+    yield _link_batch(out)
+
+
+def _units(rows: DataFrame, crowded: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` with ``pair``, dealt out and sorted by key and pair; ``crowded`` has the tiles of each key."""
+    placed = rows.join(crowded, "key").withColumn("tile", F.pmod(F.xxhash64("bits"), F.col("tiles")).cast("int"))
+    units = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+        "key", (F.least("tile", "other").cast("long") * (1 << 20) + F.greatest("tile", "other")).alias("pair"), *columns)
+    return units.repartition("key", "pair").sortWithinPartitions("key", "pair")
+
+
+def near_copy_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id``, ``text_hash`` and ``root`` (equal for the documents of a group) per document; texts without words are equal."""
+    small_batches(documents.sparkSession)
+    ids = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash"))
+    marked = stored(without(with_python_columns(ids, ["text"], "bits long, shingles int, sketch binary, keys array<long>", lambda: _marks), ["text"]), "signatures")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash", "shingles", "sketch", "keys")).alias("k")
+    distinct = stored(marked.groupBy("bits").agg(one).select("bits", "k.doc_id", "k.text_hash", "k.shingles", "k.sketch", "k.keys"), "distinct")
+
+    keyed = distinct.select("bits", "sketch", F.explode("keys").alias("key"))
+    crowded = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    proposed = _units(keyed, crowded, ["bits", "sketch"]).mapInArrow(_propose, "node long, to long")
+    loose = connected_components(proposed, "node", "to")
+    member = stored(loose.select(F.col("node").alias("bits"), F.col("root").alias("key")).union(
+        loose.select(F.col("root").alias("bits"), F.col("root").alias("key")).distinct()), "proposed")
+
+    chosen = distinct.join(member, "bits").select(
+        "bits", "key", "shingles", "sketch", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    tiles = F.ceil(F.greatest(F.count("*") / TILE, F.sum("shingles") / TILE_SHINGLES)).cast("int").alias("tiles")
+    sizes = chosen.groupBy("key").agg(tiles)
+    texts = ids.join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))).dropDuplicates(["bits"])
+    hashed = with_python_columns(
+        texts.select("key", "bits", "sketch", "text"), ["text"], "hashes binary", lambda: lambda x: [[shingle_hashes(t).tobytes() for t in x]])
+    true = _units(without(hashed, ["text"]), sizes, ["bits", "sketch", "hashes"]).mapInArrow(_verify, "node long, to long")
+    roots = connected_components(true, "node", "to")
+    named = marked.join(roots, F.col("bits") == F.col("node"), "left")
+    return named.select("doc_id", "text_hash", F.coalesce("root", "bits").alias("root"))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.llm.components import connected_components
+from farebox.llm.copies import near_copy_groups
 from farebox.llm.tasks import small_batches, stored, with_python_columns, without
 
 RADIUS = 3
@@ -227,9 +228,9 @@ def near_duplicate_components(documents: DataFrame, doc_id: str = "doc_id", text
 
 
 def keep_one_of_each(documents: DataFrame) -> DataFrame:
-    """``documents`` (same columns) with the document of the smallest id of every component; of rows that repeat that
-    id and text, one."""
-    parts = near_duplicate_components(documents)
+    """``documents`` (same columns) with the document of the smallest id of every group of near copies (five-word
+    shingles, similarity 0.8 or more; not the fingerprints of this module); of rows that repeat that id and text, one."""
+    parts = near_copy_groups(documents)
     chosen = parts.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("k"))
     chosen = chosen.select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"))
     keyed = documents.withColumn("__own", F.xxhash64("text"))

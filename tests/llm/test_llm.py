@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from farebox.llm import bpe, chat, components, decontaminate, neighbours, pii, queries, secrets, simhash, spans, toxicity, urls, warc
+from farebox.llm import bpe, chat, components, copies, decontaminate, neighbours, pii, queries, secrets, simhash, spans, toxicity, urls, warc
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents embeddings pages benchmark labels conversations"
@@ -451,6 +451,49 @@ def test_simhash_edges(spark):
     assert simhash.keep_one_of_each(docs.limit(0)).count() == 0
 
 
+def plain_shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_near_copies_brute_force(spark):
+    rng = random.Random(12)
+    texts = []
+    for _ in range(60):
+        base = [rng.choice("abcdefghij") + str(rng.randrange(500)) for _ in range(rng.randint(40, 250))]
+        for _ in range(5):
+            words = list(base)
+            for at in rng.sample(range(len(words)), rng.randint(0, 8)):
+                words[at] = f"new{rng.randrange(10 ** 6)}"
+            texts.append(" ".join(words))
+    hub = [f"w{i}" for i in range(200)]  # copies that resemble the hub, and not each other
+    texts += [" ".join(["x" + w if at <= i < at + 14 else w for i, w in enumerate(hub)]) for at in range(0, 180, 20)] + [" ".join(hub)]
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    texts = [texts[i] for i in order]
+    sets, parent = list(map(plain_shingles, texts)), list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= 0.8 * len(a | b):
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one_of_each(docs).collect()}
+    assert kept == {i for i in range(len(texts)) if root(i) == i}
+
+
+def test_links_of_tiles(spark, monkeypatch):
+    monkeypatch.setattr(copies, "TILE", 7)
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" if k != 2 * i else "new" for k in range(150))) for i in range(60)], "doc_id long, text string")
+    assert collected(simhash.keep_one_of_each(docs).select("doc_id")) == [(0,)]
+
+
 def simhash_of(text):
     return int(np.uint64(plain_fingerprint(text)).view(np.int64))
 
