@@ -198,6 +198,7 @@ def nearest(
         a, b = matrix_of(queries["vec"]), matrix_of(rows["vec"])
         long_a, long_b = np.sqrt((a * a).sum(axis=1)), np.sqrt((b * b).sum(axis=1))
         ids = rows["ids"].to_numpy()
+        least = np.array([x[0] for x in ids], np.int64)
         out_query, out_vec, out_score = [], [], []
         take = min(len(b), k + 1 + _SPARE)
         for i, query_id in enumerate(queries["query_id"]):
@@ -206,7 +207,7 @@ def nearest(
             edge = np.partition(rough, len(b) - take)[len(b) - take]
             best = np.flatnonzero(rough >= edge - 1e-12 * long_a[i])
             exact = (b[best] * a[i]).sum(axis=1) / (long_a[i] * long_b[best])
-            for j in np.argsort(-exact, kind="stable")[:take]:
+            for j in np.lexsort((least[best], -exact))[:take]:
                 for vec_id in ids[best[j]]:
                     if vec_id != query_id:
                         out_query.append(query_id)

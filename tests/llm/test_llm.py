@@ -369,6 +369,15 @@ def test_neighbours_edges(spark):
     assert collected(neighbours.nearest(two, F.col("vec_id") == 0)) == [(0, 1, 3, 0.0)]
 
 
+def test_neighbours_of_equal_cosine(spark):
+    # scaling by powers of two keeps the cosine to the last bit
+    rows = [(1000, [1.0, 2.0])] + [(i, [2.0 ** (i * 7 % 50 - 25), 2.0 ** (i * 7 % 50 - 24)]) for i in range(1, 51)]
+    random.Random(3).shuffle(rows)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = neighbours.nearest(frame, F.col("vec_id") == 1000, 5).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [1, 2, 3, 4, 5]
+
+
 # ---- 7 SimHash ----
 
 def plain_fingerprint(text):
