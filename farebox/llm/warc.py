@@ -32,7 +32,8 @@ _PIECE = 1 << 14
 _VERSION = b"WARC/1.1"
 _VERSION_LINE = re.compile(rb"WARC/1\.[0-9]\r\n")
 _MAGIC = b"\x1f\x8b\x08"
-_MOST_HEADER = 1 << 16
+# Beyond so many bytes without a blank line, what is held must look like header lines to be read on.
+_SURE_HEADER = 1 << 16
 # A damaged member is given up after so many bytes without a record.
 _MOST_RECORD = 1 << 30
 
@@ -141,7 +142,7 @@ class Salvage:
                 size = _content_length(self.held[self.start:self.start + end])
                 if size is None or size > _MOST_RECORD or len(self) >= end + 8 + size:
                     return None
-            elif len(self) > _MOST_HEADER:
+            elif len(self) > _SURE_HEADER and (len(self) > _MOST_RECORD or not _header_lines(self.held[self.start:])):
                 return None
             if not self._more():
                 return None
@@ -159,6 +160,11 @@ class Salvage:
                 self._skip_to_next_start()
 
 
+def _header_lines(head: bytes) -> bool:
+    """A version line and header lines, the last of which may be cut off."""
+    return bool(_VERSION_LINE.match(head)) and all(b":" in line for line in head.split(b"\r\n")[1:-1])
+
+
 def _content_length(head: bytes) -> int | None:
     for line in head.split(b"\r\n")[1:]:
         name, _, value = line.partition(b":")
@@ -169,8 +175,10 @@ def _content_length(head: bytes) -> int | None:
 
 def _parse(data: bytes, at: int) -> tuple[Record, int] | None:
     """The record at ``at`` and where it ends; None if it is not whole or not a record."""
-    end = data.find(b"\r\n\r\n", at, at + _MOST_HEADER)
-    if end < 0 or not _VERSION_LINE.match(data, at):
+    if not _VERSION_LINE.match(data, at):
+        return None
+    end = data.find(b"\r\n\r\n", at)
+    if end < 0:
         return None
     size = _content_length(data[at:end])
     if size is None or data[end + 4 + size:end + 8 + size] != b"\r\n\r\n":

@@ -694,6 +694,16 @@ def test_warc_gap_rows(spark, tmp_path):
     assert not rows[0].valid  # its headers state no digest
 
 
+def test_warc_long_url(spark):
+    url = "http://a/?" + "q" * 100_000
+    pages = spark.createDataFrame([(1, url, "x"), (2, "u", "y")], "page_id long, url string, html string")
+    got = warc.read_archives(warc.archive_pages(pages)).collect()
+    assert sorted((r.page_id, r.url, r.record_type) for r in got) == [(1, url, "response"), (2, "u", "response")]
+    for length in (100_000, 3 << 20):
+        plain = warc.record([("WARC-Target-URI", "u" * length)], b"block")
+        assert salvage(plain + plain) == ([b"block", b"block"], [])
+
+
 # ---- pipeline ----
 
 def test_pipeline(spark, texts, library):
