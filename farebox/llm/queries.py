@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import bpe, chat, decontaminate, neighbours, pii, secrets, simhash, spans, toxicity, urls, warc
+from farebox.llm import (
+    bpe, chat, decontaminate, licenses, merkle, neighbours, pii, secrets, simhash, spans, spelling, toxicity, urls, warc,
+)
 from farebox.session import pin_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,6 +144,155 @@ def op10(spark, sf):
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# CRC-32 of a text in SQL: the table from its rule (the reversed polynomial), then a step per byte
+_CRC_TABLE_SQL = """crc as (select list(list_reduce(list_prepend(i, range(8)),
+    lambda c, step: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) order by i) as codes
+    from (select unnest(range(256)) as i))"""
+
+
+def _crc_sql(text: str) -> str:
+    hexed = f"hex(encode({text}))"
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda b: cast('0x' || substr({hexed}, 2 * b + 1, 2) as bigint))"
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295, {octets}), "
+            "lambda c, octet: xor(c >> 8, codes[(xor(c, octet) & 255) + 1])))")
+
+
+# What the contract lets happen to a run of letters: where this number divides its checksum, a letter is lost.
+LOSE_EVERY = 31
+LEAST_LETTERS, LEAST_OCCURRENCES = 7, 2
+
+
+@register("op11_spelling_variants", f"""with recursive {_CRC_TABLE_SQL},
+    runs as (select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]{{7,}}')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents),
+    summed as (select run, {_crc_sql("coalesce(cast(doc_id as varchar), '') || ':' || run")} as h from runs, crc),
+    lost as (select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word from summed),
+    words as (select word, count(*) as n from lost where length(word) >= 7 group by 1 having count(*) >= 2),
+    gaps as (select word, n, unnest(range(length(word))) as i from words),
+    cut as (select word, n, i, substr(word, 1, i) || substr(word, i + 2) as rest, substr(word, 1, i) || ' ' || substr(word, i + 2) as gapped from gaps),
+    pairs as (select a.word, b.word as other, b.n as other_n from cut a join cut b on a.gapped = b.gapped and a.word <> b.word
+      union select c.word, w.word, w.n from cut c join words w on c.rest = w.word
+      union select w.word, c.word, c.n from cut c join words w on c.rest = w.word),
+    near as (select word, count(*) as n_near, max(other_n) as most from pairs group by 1),
+    best as (select p.word, min(p.other) as other, any_value(p.other_n) as other_n, any_value(n_near) as n_near
+      from pairs p join near using (word) where p.other_n = most group by 1),
+    formed as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when other_n >= 10 * w.n then other end as form,
+      case when other_n >= 10 * w.n then other_n end as form_n from words w left join best b using (word)),
+    steps as (select word, word as root from formed
+      union all select s.word, f.form from steps s join formed f on f.word = s.root where f.form is not null),
+    ends as (select s.word, s.root from steps s join formed f on f.word = s.root where f.form is null)
+    select word, form, root, n, n_near, form_n from formed join ends using (word)""")
+def op11(spark, sf):
+    documents = table(spark, sf, "documents")
+    runs = documents.select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
+        F.explode(spelling.word_runs(F.col("text"), LEAST_LETTERS)).alias("run"))
+    summed = runs.select("run", F.crc32(F.concat_ws(":", "id", "run")).alias("h"))
+    gone = (F.col("h") % F.char_length("run")).cast("int")
+    shorter = F.concat(F.left("run", gone), F.substr("run", gone + 2))
+    words = summed.select(F.when(F.col("h") % LOSE_EVERY == 0, shorter).otherwise(F.col("run")).alias("word"))
+    counted = words.where(F.char_length("word") >= LEAST_LETTERS).groupBy("word").agg(F.count("*").alias("n"))
+    return spelling.variant_groups(counted.where(F.col("n") >= LEAST_OCCURRENCES))
+
+
+def _leaf_sql(text: str) -> str:
+    values = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(" + " || ".join(
+        f"coalesce(octet_length(encode(cast({v} as varchar))) || ':' || cast({v} as varchar), '-')" for v in values) + ")"
+
+
+@register("op12_merkle_manifest", f"""with recursive {_CRC_TABLE_SQL},
+    docs as (select doc_id, source, {_leaf_sql("text")} as leaf, {_leaf_sql("replace(text, chr(10), '')")} as tampered,
+      {_crc_sql("cast(doc_id as varchar)")} % 2 = 0 as hit from documents, crc),
+    leaves as (select *, row_number() over (partition by source order by doc_id) - 1 as place,
+      count(*) over (partition by source) as n from docs),
+    nodes as (select source, 0 as level, place, leaf as digest, n from leaves
+      union all select source, level + 1, place // 3, sha256(string_agg(digest, '' order by place)), (n + 2) // 3
+      from nodes where n > 1 group by source, level, place // 3, n),
+    subroots as (select source, digest as subroot, row_number() over (order by source nulls first) - 1 as place, count(*) over () as n
+      from nodes where n = 1),
+    tops as (select 0 as level, place, subroot as digest, n from subroots
+      union all select level + 1, place // 3, sha256(string_agg(digest, '' order by place)), (n + 2) // 3
+      from tops where n > 1 group by level, place // 3, n),
+    ways as (select l.doc_id, 0 as upper, d.level,
+        coalesce(string_agg(d.digest, '' order by d.place) filter (d.place < l.place // cast(pow(3, d.level) as bigint)), '') as l,
+        coalesce(string_agg(d.digest, '' order by d.place) filter (d.place > l.place // cast(pow(3, d.level) as bigint)), '') as r
+      from leaves l join nodes d on l.source is not distinct from d.source and d.n > 1
+        and d.place // 3 = l.place // cast(pow(3, d.level + 1) as bigint) group by all
+      union all select l.doc_id, 1, d.level,
+        coalesce(string_agg(d.digest, '' order by d.place) filter (d.place < s.place // cast(pow(3, d.level) as bigint)), ''),
+        coalesce(string_agg(d.digest, '' order by d.place) filter (d.place > s.place // cast(pow(3, d.level) as bigint)), '')
+      from leaves l join subroots s on l.source is not distinct from s.source
+        join tops d on d.n > 1 and d.place // 3 = s.place // cast(pow(3, d.level + 1) as bigint) group by all),
+    numbered as (select *, row_number() over (partition by doc_id order by upper, level) as step from ways),
+    proofs as (select doc_id, string_agg(l || r, '' order by step) as proof, max(step) as steps from numbered group by 1),
+    folded as (select doc_id, 0 as step, case when hit then tampered else leaf end as digest from leaves
+      union all select f.doc_id, w.step, sha256(w.l || f.digest || w.r) from folded f join numbered w on w.doc_id = f.doc_id and w.step = f.step + 1)
+    select d.doc_id, d.leaf, s.subroot, t.digest as root, sha256(coalesce(p.proof, '')) as proof_sha256, f.digest as folded_root,
+      f.digest = t.digest as verified
+    from docs d join subroots s on d.source is not distinct from s.source join tops t on t.n = 1
+      left join proofs p on p.doc_id = d.doc_id join folded f on f.doc_id = d.doc_id and f.step = coalesce(p.steps, 0)""")
+def op12(spark, sf):
+    documents = table(spark, sf, "documents")
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    hit = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    tampered = F.when(hit, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    manifest = merkle.build(documents, [*values, F.col("text")], F.col("doc_id"), F.col("source"), [*values, tampered])
+    return merkle.prove(manifest, whole=False).withColumnsRenamed({"key": "doc_id", "proof": "proof_sha256"})
+
+
+def _licenses_sql() -> str:
+    """The scan said in SQL, over the same templates."""
+
+    def rows(values):
+        return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in values)
+
+    index = licenses.INDEX
+    templates = rows((i, t.label, int(t.is_name), 0 if t.is_name else licenses.SLACK, len(t.postings)) for i, t in enumerate(index))
+    postings = rows((i, p, w) for i, t in enumerate(index) for p, w in t.postings)
+    keys = rows((i, p, " ".join(k), len(k)) for i, t in enumerate(index) for p, k in t.keys)
+    return f"""with templates as (select * from (values {templates}) t(of, label, is_name, slack, n_postings)),
+    postings as (select * from (values {postings}) t(of, place, word)),
+    key_phrases as (select * from (values {keys}) t(of, place, phrase, n)),
+    d as (select doc_id, {_WORDS_SQL} as words, row_number() over () as r from documents),
+    w as (select r, unnest(words) as word, unnest(range(len(words))) as i from d),
+    looked_up as (select distinct r, of, i - place as start from w join postings using (word)),
+    candidates as (select c.r, c.of, c.start, label, is_name, slack, n_postings, words
+      from looked_up c join templates using (of) join d using (r)),
+    shares as (select r, of, start, label, is_name, count(*) filter (list_contains(
+        words[greatest(start + p.place - slack, 0) + 1 : start + p.place + slack + 1], p.word)) / any_value(n_postings) as share
+      from candidates join postings p using (of) group by r, of, start, label, is_name),
+    verified as (select r, of, start, bool_and(contains(
+        ' ' || array_to_string(words[greatest(start + k.place - slack, 0) + 1 : start + k.place + slack + k.n], ' ') || ' ',
+        ' ' || k.phrase || ' ')) as ok
+      from candidates join key_phrases k using (of) group by r, of, start),
+    good as (select r, label, is_name, start, share from shares join verified using (r, of, start) where ok and share >= {licenses.ENOUGH}),
+    judged as (select r, count(*) filter (is_name = 1) as n_base, min(start) filter (is_name = 1) as first_word,
+        max(start) filter (is_name = 1) as last_word, string_agg(distinct label, ',' order by label) filter (is_name = 1) as base_labels,
+        string_agg(distinct label, ',' order by label) as labels,
+        max(case when is_name = 1 then 0.5 else 0.5 + 0.5 * share end) as score from good group by r)
+    select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+      coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, cast(coalesce(score, 0) as double) as score
+    from d left join judged using (r)"""
+
+
+@register("op13_license_scan", _licenses_sql())
+def op13(spark, sf):
+    found = licenses.scan_licenses(table(spark, sf, "documents").select("doc_id", "text"))
+    names, terms = F.col("name_places"), F.col("license_terms")
+    labels = F.concat(F.transform(names, lambda x: x["label"]), F.transform(terms, lambda x: x["label"]))
+
+    def listed(values):
+        return F.array_join(F.array_sort(F.array_distinct(values)), ",")
+
+    return found.select(
+        "doc_id", F.col("n_words").cast("long").alias("n_words"), F.size(names).cast("long").alias("n_base"),
+        F.array_min(F.transform(names, lambda x: x["start"])).cast("long").alias("first_word"),
+        F.array_max(F.transform(names, lambda x: x["start"])).cast("long").alias("last_word"),
+        listed(F.transform(names, lambda x: x["label"])).alias("base_labels"), listed(labels).alias("labels"),
+        F.col("license_score").alias("score"))
+
+
 @register("pipeline")
 def pipeline(spark, sf):
     import corpus_pipeline

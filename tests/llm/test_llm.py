@@ -82,7 +82,7 @@ def test_query_against_sql(spark, sql, name):
 
 def test_contract():
     names = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert names == {f"op{i}" for i in range(1, 11)} and "pipeline" in entry.queries()
+    assert names == {f"op{i}" for i in range(1, 14)} and "pipeline" in entry.queries()
 
 
 # ---- 1 byte-level BPE ----
