@@ -6,11 +6,11 @@ computed in one aggregation; checks on groups or on a second table add one aggre
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -89,6 +89,29 @@ def _row_checks(df: DataFrame, checks: list[RowCheck]) -> DataFrame:
     )
 
 
+RESULT = "check string, column string, failed_rows long, total_rows long, passed boolean"
+
+
+def watched(df: DataFrame, checks: Iterable[RowCheck | GroupCheck | ParentCheck]) -> tuple[DataFrame, Callable[[], list[tuple]]]:
+    """The frame with its row checks counted while it is written, and a function for their outcomes (rows as ``RESULT``).
+
+    Write the frame once, as it is; the outcomes are there when the write has ended. Tasks that write are counted once each,
+    however often they are tried, so put nothing that shuffles behind the frame. Other checks are left out: they are run on
+    what was written.
+    """
+    rows = [c for c in checks if isinstance(c, RowCheck)]
+    if not rows:
+        return df, list
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("total"), *[F.count_if(c.bad).alias(f"failed{i}") for i, c in enumerate(rows)])
+
+    def outcomes() -> list[tuple]:
+        found = seen.get
+        return [(c.name, c.column, found[f"failed{i}"], found["total"], found[f"failed{i}"] == 0) for i, c in enumerate(rows)]
+
+    return counted, outcomes
+
+
 def _group_check(df: DataFrame, check: GroupCheck) -> DataFrame:
     rows = df.dropna(subset=list(check.columns)) if check.name == "unique" else df
     sizes = rows.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n"))
@@ -125,6 +148,12 @@ def run_checks(df: DataFrame, checks: Iterable[RowCheck | GroupCheck | ParentChe
     return reduce(DataFrame.unionByName, frames)
 
 
+def run_other_checks(df: DataFrame, checks: Iterable[RowCheck | GroupCheck | ParentCheck]) -> list[tuple]:
+    """Outcomes (rows as ``RESULT``) of the checks that ``watched`` leaves out."""
+    others = [c for c in checks if not isinstance(c, RowCheck)]
+    return [tuple(r) for r in run_checks(df, others).collect()] if others else []
+
+
 def scalar_equals(name: str, scalar: DataFrame, expected) -> DataFrame:
     """A query's single value against an expected one; failed_rows is 1 when they differ."""
     value = F.col(scalar.columns[0])

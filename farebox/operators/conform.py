@@ -41,17 +41,18 @@ def drop_zone(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
 
 
-def ingest_shape(df: DataFrame, taxi_type: str, extracted_at: Column) -> DataFrame:
+def ingest_shape(df: DataFrame, taxi_type: str, extracted_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw month rows to the columns of the ingestion table.
 
-    Pickup and drop-off are named differently per taxi type; only listed columns that exist are kept. NaN is NULL.
+    Pickup and drop-off are named differently per taxi type; only listed columns that exist, and those of ``keep``, are
+    kept. NaN is NULL.
     """
     prefix = "tpep" if taxi_type == "yellow" else "lpep"
     df = df.withColumnsRenamed({
         f"{prefix}_pickup_datetime": "pickup_datetime",
         f"{prefix}_dropoff_datetime": "dropoff_datetime",
     })
-    df = drop_zone(keep_existing(df, INGEST_KEEP)).withColumnsRenamed(INGEST_RENAMES)
+    df = drop_zone(keep_existing(df, [*INGEST_KEEP, *keep])).withColumnsRenamed(INGEST_RENAMES)
     df = df.withColumns({c: nullable_integer(c) for c in INGEST_INTEGERS if c in df.columns})
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
     df = df.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in doubles})

@@ -15,11 +15,14 @@ DAY = "day"
 def by_day(df: DataFrame, ts: str, cluster_by: str | None = None, day: str = DAY) -> DataFrame:
     """Add the day column and bring the rows of a day together for writing.
 
-    ``rebalance`` lets adaptive execution split a day that is far larger than the others over several tasks and
-    merge small days; clustering then sorts inside each task, so row groups carry narrow ranges.
+    ``rebalance`` lets adaptive execution split a day that is far larger than the others over several tasks and merge small
+    days. With ``cluster_by`` tasks hold ranges of (day, cluster column, time), whose bounds Spark measures on a sample: each
+    file of a day then has a narrow range of the cluster column, and a value that most rows carry is split by time.
     """
-    df = df.withColumn(day, F.col(ts).cast("date")).hint("rebalance", F.col(day))
-    return df.sortWithinPartitions(day, cluster_by) if cluster_by else df
+    df = df.withColumn(day, F.col(ts).cast("date"))
+    if cluster_by is None:
+        return df.hint("rebalance", F.col(day))
+    return df.repartitionByRange(day, cluster_by, ts).sortWithinPartitions(day, cluster_by, ts)
 
 
 def day_partitioned(df: DataFrame, ts: str, cluster_by: str | None = None, day: str = DAY) -> DataFrameWriter:

@@ -31,11 +31,12 @@ def session_counts(df: DataFrame, key: str, ts: str, gap_seconds: int, cells_per
     )
     parts = _chained(cells, [key, "chunk"], gap)
     of_chunk = Window.partitionBy(key, "chunk")
-    placed = parts.withColumn("edge", (F.col("session") == 1) | (F.col("session") == F.max("session").over(of_chunk)))
-    inner = placed.where(~F.col("edge"))
-    outer = _chained(placed.where("edge"), [key], gap)
-    columns = [key, "first_at", "last_at", "num_trips"]
-    return inner.select(*columns).union(outer.select(*columns)).select(
+    edge = (F.col("session") == 1) | (F.col("session") == F.max("session").over(of_chunk))
+    # the first and last sessions of all stretches of a key are chained together, every other one stands for itself, so
+    # that one pass serves both and a key's inner sessions stay spread over the tasks
+    apart = F.when(~edge, F.struct("chunk", "session"))
+    chains = _chained(parts.select(key, "first_at", "last_at", "num_trips", apart.alias("apart")), [key, "apart"], gap)
+    return chains.select(
         F.timestamp_micros("first_at").alias("window_start"),
         F.timestamp_micros(F.col("last_at") + F.lit(gap)).alias("window_end"),
         key,

@@ -6,30 +6,47 @@ afterwards) and as a write that touches only the files it has to. One writer per
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 from datetime import datetime, time, timedelta
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.functions.times import in_half_open
 from farebox.operators.dedup import keep_latest, keep_one
 from farebox.operators.layout import DAY
+from farebox.operators.versions import publish, stage, stage_partitions, stored_table
 
 
 # ---- create, replace, append ----
 
-def replace_table(df: DataFrame, name: str, path: str | None = None, partition_by: list[str] | None = None) -> None:
-    """Store the frame under a name, replacing what was there (also the full-refresh path of every build)."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+Audit = Callable[[DataFrame], None]
+
+
+def replace_table(
+    df: DataFrame, name: str, path: str | None = None, partition_by: list[str] | None = None, audit: Audit | None = None
+) -> None:
+    """Store the frame under a name, replacing what was there (also the full-refresh path of every build).
+
+    The rows are written beside the former ones and the name is switched over in one action, so whatever fails before
+    leaves the former table. ``audit`` gets the written rows first; if it raises, they are not published. The table lies in
+    ``path`` (by default below its database).
+    """
+    version = stage(df, name, partition_by or (), path)
+    if audit is not None:
+        audit(df.sparkSession.table(version.table))
+    publish(version, df.sparkSession)
+
+
+def create_published(
+    spark: SparkSession, name: str, schema: T.StructType, path: str | None = None, partition_by: list[str] | None = None
+) -> None:
+    """An empty published table with this schema, unless there is a table of that name."""
+    if not spark.catalog.tableExists(name):
+        replace_table(spark.createDataFrame([], schema), name, path, partition_by)
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
@@ -61,8 +78,12 @@ def create_if_missing(
 
 def append_rows(df: DataFrame, name: str) -> None:
     """Append by column name. Repeating it repeats the rows; use the ledger or a later dedup for that."""
-    table = df.sparkSession.table(name)
-    df.select(*table.columns).write.insertInto(name)
+    target = stored_table(df.sparkSession, name)
+    table = df.sparkSession.table(target)
+    buckets = bucketing(df.sparkSession, target)
+    rows = df.select(*table.columns)
+    # dealt out as the buckets are, so that a write makes one file per bucket
+    (rows.repartition(buckets[1], buckets[0]) if buckets else rows).write.insertInto(target)
 
 
 def with_lineage(
@@ -76,6 +97,25 @@ def with_lineage(
     return stamped.withColumns({k: F.lit(v) for k, v in labels.items()})
 
 
+def create_bucketed(
+    spark: SparkSession, name: str, schema: T.StructType, id_col: str, buckets: int, partition_by: list[str] | None = None
+) -> None:
+    """An empty table whose rows are stored in buckets by a hash of ``id_col``, unless the table exists.
+
+    Merges by that id then read the table bucket by bucket instead of shuffling it. A bucket (of all partitions that are
+    read) is one task's work, so take as many as the table will have gigabytes.
+    """
+    clustered = f" CLUSTERED BY (`{id_col}`) INTO {buckets} BUCKETS"
+    spark.sql(table_ddl(name, schema, None, partition_by) + clustered)
+
+
+def bucketing(spark: SparkSession, name: str) -> tuple[str, int] | None:
+    """Column and number of the buckets of a stored table with one bucket column; None without buckets."""
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    columns = (about.get("Bucket Columns") or "").strip("[]").replace("`", "").split(", ")
+    return (columns[0], int(about["Num Buckets"])) if "Num Buckets" in about and len(columns) == 1 else None
+
+
 # ---- insert-only merge ----
 
 def _value_of(column: str, df: DataFrame) -> Column:
@@ -112,8 +152,19 @@ def insert_only_merge(target: DataFrame, source: DataFrame, id_col: str, **optio
 
 
 def merge_into_table(spark: SparkSession, name: str, source: DataFrame, id_col: str, **options) -> None:
-    """Insert-only merge into a stored table: existing files are never rewritten, a repeated run inserts nothing."""
-    append_rows(rows_to_insert(spark.table(name), source, id_col, **options), name)
+    """Insert-only merge into a stored table: existing files are never rewritten, a repeated run inserts nothing.
+
+    A target that is bucketed by the id is not shuffled: the source's rows are dealt out as its buckets are.
+    """
+    append_rows(rows_for_table(spark, name, source, id_col, **options), name)
+
+
+def rows_for_table(spark: SparkSession, name: str, source: DataFrame, id_col: str, **options) -> DataFrame:
+    """The rows that ``merge_into_table`` would append."""
+    buckets = bucketing(spark, stored_table(spark, name))
+    if buckets and buckets[0] == id_col:
+        source = source.repartition(buckets[1], id_col)
+    return rows_to_insert(spark.table(name), source, id_col, **options)
 
 
 # ---- interval overwrite ----
@@ -124,91 +175,16 @@ def interval_overwrite(target: DataFrame, new: DataFrame, key: str, start, end)
     return target.where(outside).unionByName(new.select(*target.columns))
 
 
-VERSIONS = "_versions"
-
-
-def _location(spark: SparkSession, name: str) -> str:
-    about = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
-    return about.first()["data_type"].rstrip("/")
-
-
-def _partition(day: str, value: str | None) -> str:
-    return f"PARTITION ({day} = {'null' if value is None else repr(value)})"
-
-
-def _partition_location(spark: SparkSession, name: str, partition: str) -> str:
-    about = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {partition}")
-    # the partition's own location stands before that of the table
-    return next(r["data_type"] for r in about.collect() if r["col_name"] == "Location").rstrip("/")
-
-
-def _folder(day: str, value: str | None) -> str:
-    return f"{day}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
-
-
-def _delete_folders(spark: SparkSession, pattern: str, keep: set[str]) -> None:
-    """Delete the folders of a pattern but those to keep, and their parents below ``VERSIONS`` when those end empty."""
-    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = path_of(pattern).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    kept = {files.makeQualified(path_of(k)).toString() for k in keep}
-    for found in files.globStatus(path_of(pattern)) or []:
-        path = found.getPath()
-        if path.toString() not in kept:
-            files.delete(path, True)
-            parent = path.getParent()
-            if parent.getParent().getName() == VERSIONS and not any(f.isDirectory() for f in files.listStatus(parent)):
-                files.delete(parent, True)
-
-
-def _write_version(df: DataFrame, name: str, day: str) -> tuple[str, list[str | None]]:
-    """Write the frame's days to a fresh folder that no reader looks at; returns the folder and those days."""
-    spark = df.sparkSession
-    folder = f"{_location(spark, name)}/{VERSIONS}/{uuid.uuid4().hex}"
-    seen = Observation()
-    of_day = F.col(day).cast("string")
-    observed = df.select(*spark.table(name).columns).hint("rebalance", F.col(day)).observe(
-        seen, F.collect_set(of_day).alias("days"), F.count_if(of_day.isNull()).alias("undated"))
-    observed.write.partitionBy(day).parquet(folder)
-    return folder, sorted(seen.get["days"]) + [None] * (seen.get["undated"] > 0)
-
-
-def _switch_days(spark: SparkSession, name: str, day: str, folder: str, days: list[str | None]) -> None:
-    """Let the catalog's day partitions point to the folders of a version, day by day.
-
-    A day is either the old or the new one whenever this stops. The folder a day pointed to until now stays for readers
-    that have begun; what earlier replacements of the same days, or attempts that failed, left is deleted.
-    """
-    root = _location(spark, name)
-    stored = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-    for value in days:
-        partition, own = _partition(day, value), _folder(day, value)
-        new = f"{folder}/{own}"
-        keep = {new}
-        if stored & {own, f"{day}=null"} if value is None else own in stored:
-            keep.add(_partition_location(spark, name, partition))
-            spark.sql(f"ALTER TABLE {name} {partition} SET LOCATION '{new}'")
-        else:
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {partition} LOCATION '{new}'")
-        _delete_folders(spark, f"{root}/{VERSIONS}/*/{own}", keep)
-        _delete_folders(spark, f"{root}/{own}", keep)
-    spark.catalog.refreshTable(name)
-
-
-def _overwrite_days(df: DataFrame, name: str, day: str) -> list[str | None]:
-    """Replace the days the frame has rows for, which may come from the same table; returns those days."""
-    folder, days = _write_version(df, name, day)
-    _switch_days(df.sparkSession, name, day, folder, days)
-    return days
-
-
 def overwrite_interval_in_table(
-    spark: SparkSession, name: str, new: DataFrame, key: str, start: datetime, end: datetime, day: str = DAY
+    spark: SparkSession, name: str, new: DataFrame, key: str, start: datetime, end: datetime, day: str = DAY,
+    audit: Audit | None = None,
 ) -> None:
-    """Replace [start, end) of a day-partitioned table, reading and writing only the days of the interval.
+    """Replace [start, end) of a published, day-partitioned table, reading and writing only the days of the interval.
 
-    Days that only partly fall into the interval keep their other rows. Days of the interval that got no new row
-    are dropped; for a table whose files Spark manages that deletes them too. New rows are written beside the old ones,
-    then the catalog's days are switched over, so a crash loses nothing and repeating the run repairs it.
+    Days that only partly fall into the interval keep their other rows. Days of the interval that got no new row end
+    empty. New rows are written beside the old ones, ``audit`` sees the table as it would be (and may raise), and then all
+    days are switched over in one action: a reader sees the whole old interval or the whole new one, and a crash leaves
+    the old one.
     """
     last = end - timedelta(microseconds=1)
     edges = {m.date() for m, whole in ((start, start.time() == time.min), (last, end.time() == time.min)) if not whole}
@@ -216,12 +192,15 @@ def overwrite_interval_in_table(
     if edges:
         outside = spark.table(name).where(F.col(day).isin(sorted(edges)) & ~in_half_open(key, start, end))
         fresh = fresh.unionByName(outside.select(*fresh.columns))
-    written = set(_overwrite_days(fresh, name, day))
-    stored = [row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
-    # text order is date order; the folder of rows without a day sorts behind all dates
-    stale = [d for d in stored if str(start.date()) <= d <= str(last.date()) and d not in written]
-    if stale:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION ({day} = '{d}')" for d in stale))
+
+    def inside(values: dict[str, str | None]) -> bool:
+        # text order is date order
+        return values[day] is not None and str(start.date()) <= values[day] <= str(last.date())
+
+    version = stage_partitions(fresh.hint("rebalance", F.col(day)), name, inside)
+    if audit is not None:
+        audit(spark.table(version.table))
+    publish(version, spark)
 
 
 # ---- keyed upsert ----
@@ -241,14 +220,15 @@ def upsert_by_key(target: DataFrame, batch: DataFrame, keys: list[str], order: s
 def upsert_into_table(
     spark: SparkSession, name: str, batch: DataFrame, keys: list[str], day: str = DAY, order: str | None = None
 ) -> None:
-    """Keyed upsert into a day-partitioned table; rewrites only the days the batch touches.
+    """Keyed upsert into a published, day-partitioned table; rewrites only the days the batch touches, all switched over at
+    once.
 
-    The keys must determine the day. Running it again with the same batch changes nothing, also after a crash: the days
-    are written beside the old ones and switched over in the catalog. The batch is read several times; pass a stored or
-    cached one when it is costly.
+    The keys must determine the day. Running it again with the same batch changes nothing, also after a crash. The batch is
+    read several times; pass a stored or cached one when it is costly. For many small batches see ``operators.keyed``,
+    whose writes grow with the batch and not with its days.
     """
     touched = spark.table(name).where(_value_of(day, batch))
-    _overwrite_days(upsert_by_key(touched, batch, keys, order), name, day)
+    publish(stage_partitions(upsert_by_key(touched, batch, keys, order).hint("rebalance", F.col(day)), name), spark)
 
 
 # ---- load ledger ----

@@ -1,57 +1,85 @@
-"""The star schema as one build: tables in order, each checked before the next is made of it."""
+"""The star schema as one build: models written as versions, checked there, and published together at the end."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from farebox.operators.checks import assert_all
-from farebox.operators.tables import create_if_missing, append_rows, replace_table
+from farebox.operators.checks import RESULT, CheckFailed, run_other_checks, watched
+from farebox.operators.tables import replace_table
+from farebox.operators.versions import Version, discard, publish, stage
 from farebox.plans import marts, staging
 
 CHECK_RESULTS = "check_results"
 
 
+class Build:
+    """Models of one build. Each is stored as a version that is not in force and checked there: checks on rows are counted
+    while it is written, others read what was written. ``finish`` publishes all of them; a failed check ends the build."""
+
+    def __init__(self, spark: SparkSession, database: str):
+        self.spark, self.database = spark, database
+        self.versions: list[Version] = []
+        self.outcomes: list[tuple] = []
+
+    def judge(self, model: str, outcomes: list[tuple]) -> None:
+        self.outcomes += [(model, *o) for o in outcomes]
+        failed = [f"{check}({column})" for check, column, *_, passed in outcomes if not passed]
+        if failed:
+            raise CheckFailed("; ".join(failed))
+
+    def check(self, model: str, *frames: DataFrame) -> None:
+        """Checks of rows that the build doesn't store."""
+        self.judge(model, [tuple(r) for frame in frames for r in frame.collect()])
+
+    def put(self, model: str, rows: DataFrame, checks: list) -> DataFrame:
+        """Store a model and check it; returns the stored rows, which later models are made of."""
+        counted, row_outcomes = watched(rows, checks)
+        version = stage(counted, f"{self.database}.{model}")
+        self.versions.append(version)
+        stored = self.spark.table(version.table)
+        if checks:
+            self.judge(model, row_outcomes() + run_other_checks(stored, checks))
+        return stored
+
+    def finish(self) -> None:
+        for version in self.versions:
+            publish(version, self.spark)
+
+    def __enter__(self) -> Build:
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        if kind is None:
+            self.finish()
+        else:
+            for version in self.versions:
+                discard(self.spark, version)
+        rows = self.spark.createDataFrame(self.outcomes, f"model string, {RESULT}")
+        replace_table(rows.coalesce(1), f"{self.database}.{CHECK_RESULTS}")
+
+
 def build_marts(
     spark: SparkSession, database: str, root: str, green_raw: DataFrame, yellow_raw: DataFrame,
     payment_types: DataFrame, zone_lookup: DataFrame,
 ) -> None:
     """Store the star schema in ``database``, whose tables lie under ``root``, and run every declared check.
 
-    Seeds are checked first, then staging, then each table on what was stored. The outcomes of all checks are rows of
-    ``check_results`` (by ``model``). The first model with a failed check ends the build with ``CheckFailed``: models made
-    of it keep what an earlier build stored. Running it again replaces all tables.
+    Seeds are checked first, then staging, then each model on what was stored. No model is published before all are made and
+    checked: the first failed check ends the build with ``CheckFailed``, and every model, the failed one included, keeps what
+    the last good build stored. The outcomes of the checks of this build, good or not, are the rows of ``check_results``.
+    Models are published one after the other, each in one action; running the build again replaces all of them.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
-    results = f"{database}.{CHECK_RESULTS}"
-    spark.sql(f"DROP TABLE IF EXISTS {results}")
-
-    def check(model: str, *outcomes: DataFrame) -> None:
-        # a row per check: counted once, then stored and judged
-        rows = reduce(DataFrame.unionByName, outcomes).select(F.lit(model).alias("model"), "*")
-        create_if_missing(spark, results, rows.schema)
-        append_rows(rows, results)
-        assert_all(spark.table(results).where(F.col("model") == model))
-
-    def put(model: str, rows: DataFrame) -> DataFrame:
-        replace_table(rows, f"{database}.{model}")
-        return spark.table(f"{database}.{model}")
-
-    check("payment_type_lookup", marts.check_payment_types(payment_types))
-    zones = put("dim_zones", marts.dim_zones(zone_lookup))
-    check("dim_zones", marts.check_dim_zones(zones))
-
-    green, yellow = staging.stg_green_tripdata(green_raw), staging.stg_yellow_tripdata(yellow_raw)
-    check("staging", marts.check_stg_trips(green), marts.check_stg_trips(yellow))
-
-    trips = put("int_trips", marts.int_trips(marts.int_trips_unioned(green, yellow), payment_types))
-    check("int_trips", marts.check_int_trips(trips))
-    put("dim_vendors", marts.dim_vendors(trips))
-    put("dim_payment_types", marts.dim_payment_types(payment_types))
-
-    fact = put("fct_trips", marts.fct_trips(trips, zones))
-    check("fct_trips", marts.check_fct_trips(fact, zones))
-    monthly = put("fct_monthly_zone_revenue", marts.monthly_zone_revenue(trips, zones))
-    check("fct_monthly_zone_revenue", marts.check_monthly_revenue(monthly))
+    with Build(spark, database) as build:
+        build.check("payment_type_lookup", marts.check_payment_types(payment_types))
+        zones = build.put("dim_zones", marts.dim_zones(zone_lookup), marts.dim_zones_checks())
+
+        # staging is not stored, and counting it below the shuffle of the trips could count a repeated task twice
+        green, yellow = staging.stg_green_tripdata(green_raw), staging.stg_yellow_tripdata(yellow_raw)
+        build.check("staging", marts.check_stg_trips(green), marts.check_stg_trips(yellow))
+
+        trips = build.put("int_trips", marts.int_trips(marts.int_trips_unioned(green, yellow), payment_types), marts.int_trips_checks())
+        build.put("dim_vendors", marts.dim_vendors(trips), [])
+        build.put("dim_payment_types", marts.dim_payment_types(payment_types), [])
+        build.put("fct_trips", marts.fct_trips(trips, zones), marts.fct_trips_checks(zones))
+        build.put("fct_monthly_zone_revenue", marts.monthly_zone_revenue(trips, zones), marts.monthly_revenue_checks())

@@ -161,38 +161,62 @@ def trips_in_month(monthly: DataFrame, service: str, month: str) -> DataFrame:
 
 # ---- declared checks of the models ----
 
-def check_stg_trips(staged: DataFrame) -> DataFrame:
-    return run_checks(staged, [not_null("pickup_datetime")])
+def stg_trips_checks() -> list:
+    return [not_null("pickup_datetime")]
 
 
-def check_payment_types(lookup: DataFrame) -> DataFrame:
-    return run_checks(lookup, [unique("payment_type"), not_null("payment_type")])
+def payment_types_checks() -> list:
+    return [unique("payment_type"), not_null("payment_type")]
 
 
-def check_int_trips(trips: DataFrame) -> DataFrame:
-    return run_checks(trips, [
+def int_trips_checks() -> list:
+    return [
         not_null("trip_id"), not_null("service_type"), accepted_values("service_type", SERVICES),
         not_null("pickup_datetime"), not_null("total_amount"),
-    ])
+    ]
 
 
-def check_fct_trips(fact: DataFrame, zones: DataFrame) -> DataFrame:
-    return run_checks(fact, [
+def fct_trips_checks(zones: DataFrame) -> list:
+    return [
         not_null("trip_id"), accepted_values("service_type", SERVICES), not_null("service_type"),
         not_null("pickup_datetime"), not_null("total_amount"),
         relationship("pickup_location_id", zones, "location_id"),
         relationship("dropoff_location_id", zones, "location_id"),
-    ])
+    ]
 
 
-def check_dim_zones(zones: DataFrame) -> DataFrame:
-    return run_checks(zones, [unique("location_id"), not_null("location_id")])
+def dim_zones_checks() -> list:
+    return [unique("location_id"), not_null("location_id")]
 
 
-def check_monthly_revenue(monthly: DataFrame) -> DataFrame:
-    return run_checks(monthly, [
+def monthly_revenue_checks() -> list:
+    return [
         unique_combination("pickup_zone", "revenue_month", "service_type"),
         not_null("pickup_zone"), not_null("revenue_month"), not_null("service_type"),
         accepted_values("service_type", SERVICES),
         not_null("revenue_monthly_total_amount"), not_null("total_monthly_trips"),
-    ])
+    ]
+
+
+def check_stg_trips(staged: DataFrame) -> DataFrame:
+    return run_checks(staged, stg_trips_checks())
+
+
+def check_payment_types(lookup: DataFrame) -> DataFrame:
+    return run_checks(lookup, payment_types_checks())
+
+
+def check_int_trips(trips: DataFrame) -> DataFrame:
+    return run_checks(trips, int_trips_checks())
+
+
+def check_fct_trips(fact: DataFrame, zones: DataFrame) -> DataFrame:
+    return run_checks(fact, fct_trips_checks(zones))
+
+
+def check_dim_zones(zones: DataFrame) -> DataFrame:
+    return run_checks(zones, dim_zones_checks())
+
+
+def check_monthly_revenue(monthly: DataFrame) -> DataFrame:
+    return run_checks(monthly, monthly_revenue_checks())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,10 +53,14 @@ def read_event_topic(
     return parse_events(reader.load(), schema)
 
 
+def is_long_trip(column: str = "trip_distance", above: float = 5.0) -> Column:
+    """Whether the value exceeds ``above``; an absent value counts as 0, NaN as absent."""
+    return F.coalesce(F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double")), F.lit(0.0)) > above
+
+
 def bounded_counts(events: DataFrame, column: str = "trip_distance", above: float = 5.0) -> DataFrame:
     """Messages seen and messages whose value exceeds ``above``; an absent value counts as 0, NaN as absent."""
-    value = F.coalesce(F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double")), F.lit(0.0))
     return events.agg(
         F.count(F.lit(1)).alias("total_messages"),
-        F.count_if(value > above).alias("long_trips"),
+        F.count_if(is_long_trip(column, above)).alias("long_trips"),
     )

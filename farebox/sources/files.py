@@ -3,22 +3,17 @@
 from __future__ import annotations
 
 import re
-import sys
-from collections.abc import Callable, Iterable
-from datetime import date
-from functools import reduce
+from collections.abc import Callable, Iterable, Sequence
+from datetime import date, datetime
 from typing import NamedTuple
 from urllib.parse import unquote
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.functions.times import next_month
-
-# tasks receive this module's functions by value, so executors need no copy of the package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from farebox.sources import file_index
 
 
 def read_parquet(spark: SparkSession, *paths: str, columns: list[str] | None = None) -> DataFrame:
@@ -80,31 +75,39 @@ def read_units(
     spark: SparkSession,
     units: Iterable[tuple[str, date]],
     path_of: Callable[[str, date], str],
+    index: str | None = None,
+    time_columns: Sequence[str] = (),
+    between: tuple[datetime, datetime] | None = None,
 ) -> tuple[DataFrame | None, list[tuple[str, date]]]:
     """Read the files of all units at once; returns the rows and the units that had no file.
 
-    Files are grouped by the schema in their footers, which one distributed job reads, so a column that only some
-    files of a folder have is kept. Files that share a schema become one multi-path scan, so the plan has one branch
-    per distinct schema (a handful) and not one per file. Columns missing from a branch are NULL and a column that is
-    integer in one branch and double in another widens to double.
+    Files are grouped by their own schema, so a column that only some files of a folder have is kept; files that share a
+    schema become one multi-path scan, so the plan has one branch per distinct schema (a handful) and not one per file.
+    Columns missing from a branch are NULL and a column that is integer in one branch and double in another widens.
+
+    With ``index`` (a folder) what the footers say is kept, and only those of new files are read. ``between`` then leaves
+    out files whose range of a time column lies outside; rows of other files are not filtered.
     """
-    files, missing = unit_files(spark, units, path_of)
+    files, missing = unit_files(spark, units, path_of, index, time_columns, between)
     return read_unit_files(spark, files), missing
 
 
 class UnitFile(NamedTuple):
-    """A data file of a unit, its Parquet schema as text, and its rows as the footer states them."""
+    """A data file of a unit, its schema as text, its rows as the footer states them, and whether it may hold rows of the
+    interval asked for."""
 
     unit: tuple[str, date]
     path: str
-    footer: str
+    schema: str
     n_rows: int
+    wanted: bool
 
 
 def unit_files(
-    spark: SparkSession, units: Iterable[tuple[str, date]], path_of: Callable[[str, date], str]
+    spark: SparkSession, units: Iterable[tuple[str, date]], path_of: Callable[[str, date], str], index: str | None = None,
+    time_columns: Sequence[str] = (), between: tuple[datetime, datetime] | None = None,
 ) -> tuple[list[UnitFile], list[tuple[str, date]]]:
-    """The data files of all units, from one distributed job over their footers, and the units that had no file."""
+    """The data files of all units and the units that had no file; one distributed job reads the footers not indexed yet."""
     unit_at, paths, missing = {}, [], []
     for unit in units:
         path = path_of(*unit)
@@ -114,27 +117,33 @@ def unit_files(
             paths.append(path)
         else:
             missing.append(unit)
+    if not paths:
+        return [], missing
+    if index is None:
+        known = file_index.footers(file_index.listed_files(spark, paths), time_columns)
+    else:
+        known = file_index.refresh(spark, index, paths, time_columns).files
+    wanted = F.lit(True)
+    for column in time_columns if between else ():
+        wanted = wanted & file_index.may_hold(column, *between)
     files = []
     # a row per file, as the scan's own file listing has
-    for row in _footers(spark, paths).collect() if paths else ():
+    for row in known.select("path", "schema", "n_rows", wanted.alias("wanted")).collect():
         place = _plain(row["path"])
         while place and place not in unit_at:
             place = place.rpartition("/")[0]
-        files.append(UnitFile(unit_at[place], row["path"], row["footer"], row["n_rows"]))
+        files.append(UnitFile(unit_at[place], row["path"], row["schema"], row["n_rows"], row["wanted"]))
     return files, missing
 
 
-def read_unit_files(spark: SparkSession, files: Iterable[UnitFile]) -> DataFrame | None:
-    """The rows of these files, one scan per distinct schema; None without files."""
+def read_unit_files(spark: SparkSession, files: Iterable[UnitFile], file_column: str | None = None) -> DataFrame | None:
+    """The rows of the wanted files, one scan per distinct schema, with the file each came from as ``file_column``; None
+    without files."""
     groups: dict[str, list[str]] = {}
     for file in files:
-        groups.setdefault(file.footer, []).append(file.path)
-    frames = []
-    for footer in sorted(groups):
-        paths = sorted(groups[footer])
-        schema = spark.read.parquet(paths[0]).schema
-        frames.append(spark.read.schema(schema).parquet(*paths))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
+        if file.wanted:
+            groups.setdefault(file.schema, []).append(file.path)
+    return file_index.scans(spark, [(schema, sorted(groups[schema])) for schema in sorted(groups)], file_column)
 
 
 def _plain(path: str) -> str:
@@ -149,31 +158,6 @@ def _places(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().toString() for f in found or []]
 
 
-def _footers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``path``, ``footer`` (the Parquet schema as text) and ``n_rows`` of every data file below the paths."""
-    # the path column alone is wanted, so this lists files and reads none
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths).select("path")
-
-    def read(batches):
-        import pyarrow as pa
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        for batch in batches:
-            found = batch.column(0).to_pylist()
-            texts, counts = [], []
-            for path in found:
-                local = path.startswith("file:")
-                system, place = (fs.LocalFileSystem(), unquote(path[5:])) if local else fs.FileSystem.from_uri(path)
-                with system.open_input_file(re.sub("^//+", "/", place)) as file:
-                    parquet = pq.ParquetFile(file)
-                    texts.append(str(parquet.schema))
-                    counts.append(parquet.metadata.num_rows)
-            yield pa.RecordBatch.from_pydict({"path": found, "footer": texts, "n_rows": counts})
-
-    return files.mapInArrow(read, "path string, footer string, n_rows long")
-
-
 def first_rows(df: DataFrame, n: int | None = None) -> DataFrame:
     """At most ``n`` rows for looking at a feed while developing; everything by default."""
     return df if n is None else df.limit(n)

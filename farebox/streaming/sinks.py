@@ -1,8 +1,8 @@
 """Result tables kept by a stream.
 
-Result tables are parquet, one folder per day of ``window_start``, and keyed by (window_start[, key]). Replaying a
-micro-batch rewrites the same keys with the same values, and days are switched over in the catalog once they are
-written, so the tables are exact after a restart. Read them by name: their folders hold replaced days too.
+Result tables are keyed by (window_start[, key]) and kept as a base of day partitions and deltas: a micro-batch writes a
+delta with the windows it changed, numbered by the stream's checkpoint and the batch, so its cost follows the change and not
+the day, and replaying it replaces the same delta. Read the tables by name.
 """
 
 from __future__ import annotations
@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from farebox.operators.keyed import COMPACT_AFTER, GONE, compact, create_keyed, keys_of, put_delta, run_number, stored_deltas
 from farebox.operators.layout import DAY
-from farebox.operators.tables import create_if_missing, upsert_into_table
 
 CHECKPOINT_EVERY = "10 seconds"
 
 
-def create_result_table(spark: SparkSession, name: str, windows: DataFrame, path: str | None = None) -> None:
-    """Table for the windows' columns, unless it exists."""
-    schema = T.StructType([*windows.schema.fields, T.StructField(DAY, T.DateType())])
-    create_if_missing(spark, name, schema, path, [DAY])
+def create_result_table(spark: SparkSession, name: str, windows: DataFrame, keys: list[str], path: str | None = None) -> None:
+    """Keyed table for the windows' columns, unless it exists."""
+    fields = [f for f in windows.schema.fields if f.name != GONE]
+    create_keyed(spark, name, T.StructType([*fields, T.StructField(DAY, T.DateType())]), keys, path)
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, available_now: bool) -> StreamingQuery:
@@ -37,22 +37,24 @@ def upsert_windows(
     checkpoint: str,
     mode: str = "append",
     available_now: bool = False,
+    compact_after: int | None = COMPACT_AFTER,
 ) -> StreamingQuery:
-    """Start the stream into a keyed result table.
+    """Start the stream into a keyed result table, whose deltas are folded in when there are ``compact_after``.
 
     ``append`` hands over a window once, when the watermark has passed it; ``update`` hands over every change, so
     windows still open at the end are in the table too (not possible for sessions). Call ``awaitTermination()`` on
     the result: a failing stream raises there.
     """
 
+    spark = windows.sparkSession
+    if sorted(keys_of(spark, name)) != sorted(keys):
+        raise ValueError(f"{name} is keyed by {keys_of(spark, name)}")
+    run = run_number(spark, name, checkpoint)
+
     def put(batch: DataFrame, batch_id: int) -> None:
-        # the batch feeds bounds, days, anti-join and write: compute the windows once
-        dated = batch.withColumn(DAY, F.col("window_start").cast("date")).persist()
-        try:
-            if not dated.isEmpty():
-                upsert_into_table(dated.sparkSession, name, dated, keys)
-        finally:
-            dated.unpersist()
+        put_delta(batch.withColumn(DAY, F.col("window_start").cast("date")), name, run, batch_id)
+        if compact_after and len(stored_deltas(batch.sparkSession, name)) >= compact_after:
+            compact(batch.sparkSession, name)
 
     return _start(windows.writeStream.outputMode(mode).foreachBatch(put), checkpoint, available_now)
 

@@ -206,8 +206,16 @@ def test_mean_price_by_brand(spark):
         ("N/A", 9.0), (None, 4.0), ("A", 1.5), ("B", None)]
 
 
-def test_build_stops_at_the_first_failed_model(spark, database, tmp_path):
-    """A zone listed twice: the zones are stored and judged, no trip table is made; the corrected lookup then builds all."""
+MODELS = ["dim_zones", "int_trips", "dim_vendors", "dim_payment_types", "fct_trips", "fct_monthly_zone_revenue"]
+
+
+def _names(spark, database):
+    return {r.tableName for r in spark.sql(f"show tables in {database}").collect() if not r.isTemporary and "__v_" not in r.tableName}
+
+
+def test_build_publishes_all_models_or_none(spark, database, tmp_path):
+    """A zone listed twice, then zones missing: the build stops and every stored model, the failed one included, keeps the
+    rows of the last good build."""
     from farebox.plans.build import build_marts
     from workloads import feeds
     green, yellow = feeds.green_raw(spark, SF_SMALL), feeds.yellow_raw(spark, SF_SMALL)
@@ -218,14 +226,49 @@ def test_build_stops_at_the_first_failed_model(spark, database, tmp_path):
 
     with pytest.raises(k.CheckFailed, match="unique"):
         build(zones.union(zones.limit(1)))
-    tables = {r.tableName for r in spark.sql(f"show tables in {database}").collect() if not r.isTemporary}
-    assert tables == {"dim_zones", "check_results"}
+    assert _names(spark, database) == {"check_results"}
+    assert {r.tableName for r in spark.sql(f"show tables in {database} like 'dim_zones*'").collect()} == set()
     for _ in range(2):
         build(zones)
+    assert _names(spark, database) == {"check_results", *MODELS}
     results = spark.table(f"{database}.check_results")
     assert results.where("not passed").count() == 0 and results.select("model").distinct().count() == 6
     trips = spark.table(f"{database}.fct_trips").count()
     assert trips and spark.table(f"{database}.fct_monthly_zone_revenue").agg(F.sum("total_monthly_trips")).first()[0] == trips
-    with pytest.raises(k.CheckFailed, match="relationships"):
-        build(zones.where("Borough <> 'ASIA'"))
-    assert spark.table(f"{database}.fct_monthly_zone_revenue").count()
+    stored = {m: rows(spark.table(f"{database}.{m}")) for m in MODELS}
+    for lookup, failed in ((zones.union(zones.limit(1)), "unique"), (zones.where("Borough <> 'ASIA'"), "relationships")):
+        with pytest.raises(k.CheckFailed, match=failed):
+            build(lookup)
+        assert {m: rows(spark.table(f"{database}.{m}")) for m in MODELS} == stored
+        assert failed in {r["check"] for r in spark.table(f"{database}.check_results").where("not passed").collect()}
+    build(zones)
+    assert {m: rows(spark.table(f"{database}.{m}")) for m in MODELS} == stored
+
+
+def test_row_checks_are_counted_while_writing(spark, database, monkeypatch):
+    """The same outcomes as a pass over the stored rows, and one job fewer."""
+    from farebox.operators import versions
+    df = spark.range(0, 5000, 1, 4).select(F.expr("nullif(id, 17)").alias("id"), (F.col("id") - 3).alias("amount"), F.lit("a").alias("kind"))
+    checks = [k.not_null("id"), k.non_negative("amount"), k.accepted_values("kind", ["b"]), k.positive("amount"), k.unique("kind")]
+
+    def jobs_of(run):
+        group = f"jobs-{run.__name__}"
+        spark.sparkContext.setJobGroup(group, group)
+        out = run()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    def while_writing():
+        counted, outcomes = k.watched(df, checks)
+        version = versions.stage(counted, f"{database}.a")
+        return outcomes() + k.run_other_checks(spark.table(version.table), checks)
+
+    def afterwards():
+        version = versions.stage(df, f"{database}.b")
+        return [tuple(r) for r in k.run_checks(spark.table(version.table), checks[:4]).collect()] + k.run_other_checks(
+            spark.table(version.table), checks)
+
+    (first, few), (second, more) = jobs_of(while_writing), jobs_of(afterwards)
+    assert sorted(first) == sorted(second) and few < more
+    assert [o[2] for o in first] == [1, 3, 5000, 4, 1]
+    plain, none = k.watched(df, [k.unique("kind")])
+    assert plain is df and none() == []

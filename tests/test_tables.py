@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from farebox.operators import layout, tables
+from farebox.operators import layout, tables, versions
 from farebox.operators.checks import CheckFailed
 from farebox.plans import interval
 
@@ -17,6 +17,10 @@ def _events(spark, *items):
                                  "k string, ts timestamp_ntz, v int")
 
 
+def _published(events, name):
+    tables.replace_table(layout.by_day(events, "ts"), name, partition_by=["day"])
+
+
 def test_merge_inserts_each_unmatched_row(spark):
     target = spark.createDataFrame([("a", 1)], "id string, v int")
     source = spark.createDataFrame([("a", 9), ("b", 2), ("b", 3), (None, 4)], "id string, v int")
@@ -64,20 +68,20 @@ def test_interval_overwrite_frame(spark):
 def test_interval_overwrite_in_table(spark, database):
     """Edge days keep their other rows, a day without new rows ends empty, rows outside the interval are not taken."""
     name = f"{database}.events"
-    layout.day_partitioned(_events(
+    _published(_events(
         spark, ("a", "2024-01-01 01:00:00", 1), ("a", "2024-01-01 18:00:00", 2), ("a", "2024-01-02 10:00:00", 3),
-        ("a", "2024-01-03 10:00:00", 4), ("a", "2024-01-04 00:00:00", 5), ("a", None, 6)), "ts").saveAsTable(name)
+        ("a", "2024-01-03 10:00:00", 4), ("a", "2024-01-04 00:00:00", 5), ("a", None, 6)), name)
     new = _events(spark, ("b", "2024-01-01 12:00:00", 10), ("b", "2024-01-03 23:00:00", 11), ("b", "2024-01-09 00:00:00", 99))
     for _ in range(2):
         tables.overwrite_interval_in_table(spark, name, new, "ts", datetime(2024, 1, 1, 12), datetime(2024, 1, 4))
         assert rows(spark.table(name).select("v")) == [(1,), (10,), (11,), (5,), (6,)]
-    days = {r[0] for r in spark.sql(f"show partitions {name}").collect()}
+    days = {r[0] for r in spark.sql(f"show partitions {versions.in_force(spark, name).table}").collect()}
     assert "day=2024-01-02" not in days and "day=2024-01-09" not in days
 
 
 def test_interval_overwrite_with_nothing_new(spark, database):
     name = f"{database}.events"
-    layout.day_partitioned(_events(spark, ("a", "2024-01-01 10:00:00", 1), ("a", "2024-01-05 10:00:00", 2)), "ts").saveAsTable(name)
+    _published(_events(spark, ("a", "2024-01-01 10:00:00", 1), ("a", "2024-01-05 10:00:00", 2)), name)
     none = _events(spark, ("b", "2023-01-01 10:00:00", 9))
     tables.overwrite_interval_in_table(spark, name, none, "ts", datetime(2024, 1, 1), datetime(2024, 1, 3))
     assert rows(spark.table(name).select("v")) == [(2,)]
@@ -91,56 +95,13 @@ def test_upsert(spark, database):
     assert rows(tables.upsert_by_key(nulls, spark.createDataFrame([(None, 9)], "k string, v int"), ["k"])) == [("a", 2), (None, 9)]
     name = f"{database}.windows"
     stored = spark.sql("select 1 as k, 1 as v, date '2024-01-01' as day union all select 2, 2, date '2024-01-02'")
-    stored.write.partitionBy("day").saveAsTable(name)
+    tables.replace_table(stored, name, partition_by=["day"])
     change = spark.sql("select 1 as k, 9 as v, date '2024-01-01' as day union all select 3, 3, date '2024-01-03'")
     for _ in range(2):
         tables.upsert_into_table(spark, name, change, ["k"])
     assert rows(spark.table(name).select("k", "v")) == [(1, 9), (2, 2), (3, 3)]
 
 
-@pytest.mark.parametrize("at", ["before", "between"])
-def test_a_crash_while_days_are_replaced_loses_nothing(spark, database, monkeypatch, at):
-    """A run that dies between writing and switching, or between two days, leaves whole days; a rerun ends right."""
-    name = f"{database}.windows"
-    old = spark.sql("""select 1 as k, 1 as v, date '2024-01-01' as day union all select 2, 2, date '2024-01-01'
-        union all select 3, 3, date '2024-01-02' union all select 4, 4, null""")
-    old.write.partitionBy("day").saveAsTable(name)
-    change = spark.sql("""select 1 as k, 9 as v, date '2024-01-01' as day union all select 3, 9, date '2024-01-02'
-        union all select 5, 9, null""")
-    whole = tables._switch_days
-
-    def dies(spark, name, day, folder, days):
-        if at == "between":
-            whole(spark, name, day, folder, days[:1])
-        raise RuntimeError("lost")
-
-    monkeypatch.setattr(tables, "_switch_days", dies)
-    with pytest.raises(RuntimeError, match="lost"):
-        tables.upsert_into_table(spark, name, change, ["k"])
-    first = 1 if at == "before" else 9
-    assert rows(spark.table(name).select("k", "v")) == [(1, first), (2, 2), (3, 3), (4, 4)]
-    monkeypatch.setattr(tables, "_switch_days", whole)
-    for _ in range(3):
-        tables.upsert_into_table(spark, name, change, ["k"])
-        assert rows(spark.table(name).select("k", "v")) == [(1, 9), (2, 2), (3, 9), (4, 4), (5, 9)]
-    # per day the current folder and the one before are there, nothing else
-    location = tables._location(spark, name).removeprefix("file:")
-    versions = sorted(str(p.relative_to(location)) for p in Path(location).rglob("day=*"))
-    assert len(versions) == 6 and all(v.startswith("_versions/") for v in versions)
-    # an append goes to where a day lies now
-    tables.append_rows(spark.sql("select 6 as k, 6 as v, date '2024-01-02' as day"), name)
-    assert rows(spark.table(name).where("day = '2024-01-02'").select("k", "v")) == [(3, 9), (6, 6)]
-
-
-def test_a_reader_that_has_begun_survives_a_replacement(spark, database):
-    name = f"{database}.windows"
-    spark.sql("select 1 as k, 1 as v, date '2024-01-01' as day").write.partitionBy("day").saveAsTable(name)
-    begun = spark.table(name)
-    files = begun.inputFiles()
-    tables.upsert_into_table(spark, name, spark.sql("select 1 as k, 2 as v, date '2024-01-01' as day"), ["k"])
-    assert spark.read.parquet(*files).first().v == 1 and spark.table(name).first().v == 2
-
-
 def test_replace_create_append(spark, database):
     name = f"{database}.t"
     df = spark.createDataFrame([(1, "x")], "a int, b string")
@@ -265,6 +226,69 @@ def test_interval_run_is_repeatable(spark, database, tmp_path, lookup):
     assert ledger.where("loaded_at is null").count() == 0
 
 
+@pytest.mark.parametrize("crash", ["ledger", "publish"])
+def test_a_crash_during_ingest_repeats_no_row(spark, database, tmp_path, lookup, monkeypatch, crash):
+    """Rows are stored and the ledger is not, or neither: the rerun leaves each file's rows once."""
+    def write(month, n):
+        rows_in = _ingested(spark, *[dict(pickup_datetime=datetime(2024, month, 1 + i, 10), pu_location_id=i) for i in range(n)])
+        rows_in.withColumnsRenamed({"vendor_id": "VendorID", "pu_location_id": "PULocationID", "do_location_id": "DOLocationID",
+            "pickup_datetime": "tpep_pickup_datetime", "dropoff_datetime": "tpep_dropoff_datetime"}).drop("taxi_type", "extracted_at").write.mode(
+            "overwrite").parquet(f"file:{tmp_path}/in/yellow_{month}")
+
+    write(1, 3)
+    write(2, 4)
+    path_of = lambda kind, month: f"file:{tmp_path}/in/{kind}_{month.month}"
+
+    def run():
+        interval.run_interval(spark, database, f"file:{tmp_path}/db", path_of, lookup, datetime(2024, 1, 1), datetime(2024, 3, 1))
+
+    def dies(*a, **k):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(interval, "append_rows" if crash == "ledger" else "publish", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            run()
+    ingested = spark.table(f"{database}.ingested_trips")
+    assert ingested.count() == (7 if crash == "ledger" else 0) and spark.table(f"{database}.load_ledger").count() == 0
+    write(2, 2)  # the file was replaced meanwhile: its days that are no longer there go too
+    for _ in range(2):
+        run()
+        assert rows(spark.table(f"{database}.ingested_trips").groupBy("load_month").count()) == [(date(2024, 1, 1), 3), (date(2024, 2, 1), 2)]
+    assert rows(spark.table(f"{database}.load_ledger").select("month", "row_count")) == [(date(2024, 1, 1), 3), (date(2024, 2, 1), 2)]
+    assert spark.table(f"{database}.staged_trips").count() == 5
+
+
+def test_rows_that_the_footers_do_not_state_are_refused(spark, database, tmp_path, lookup, monkeypatch):
+    path_of = lambda kind, month: f"file:{tmp_path}/in/{kind}"
+    raw = _ingested(spark, dict()).withColumnsRenamed({"pickup_datetime": "tpep_pickup_datetime", "dropoff_datetime": "tpep_dropoff_datetime"})
+    raw.drop("taxi_type", "extracted_at").write.parquet(f"file:{tmp_path}/in/yellow")
+    real = interval.unit_files
+    monkeypatch.setattr(interval, "unit_files", lambda *a: ([f._replace(n_rows=f.n_rows + 1) for f in real(*a)[0]], real(*a)[1]))
+    with pytest.raises(ValueError, match="footers"):
+        interval.run_interval(spark, database, f"file:{tmp_path}/db", path_of, lookup, datetime(2024, 1, 1), datetime(2024, 2, 1))
+    assert spark.table(f"{database}.ingested_trips").count() == 0 == spark.table(f"{database}.load_ledger").count()
+
+
+def test_failed_checks_leave_staged_trips_and_report(spark, database, tmp_path, lookup, monkeypatch):
+    """A check that fails is seen before the switch: both tables keep what they had."""
+    path_of = lambda kind, month: f"file:{tmp_path}/in/{kind}"
+    raw = _ingested(spark, dict(), dict(pu_location_id=5)).withColumnsRenamed({
+        "pickup_datetime": "tpep_pickup_datetime", "dropoff_datetime": "tpep_dropoff_datetime"})
+    raw.drop("taxi_type", "extracted_at").write.parquet(f"file:{tmp_path}/in/yellow")
+
+    def run():
+        interval.run_interval(spark, database, f"file:{tmp_path}/db", path_of, lookup, datetime(2024, 1, 1), datetime(2024, 2, 1))
+
+    run()
+    before = rows(spark.table(f"{database}.staged_trips")), rows(spark.table(f"{database}.trips_report"))
+    real = interval.staging_trips
+    monkeypatch.setattr(interval, "staging_trips", lambda *a: real(*a).unionByName(real(*a)))
+    with pytest.raises(CheckFailed, match="no_duplicate_trips"):
+        run()
+    assert before == (rows(spark.table(f"{database}.staged_trips")), rows(spark.table(f"{database}.trips_report")))
+
+
 def test_failed_check_stops_the_gate(spark, lookup):
     staged = interval.staging_trips(_ingested(spark, dict()), lookup, "2024-01-01", "2024-02-01")
     from farebox.operators.checks import assert_all

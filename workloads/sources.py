@@ -1,15 +1,17 @@
 """Scans and sources."""
 
-from datetime import date
+import uuid
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox import sources
-from farebox.functions.times import next_month
+from farebox.functions.times import in_half_open, next_month
 from farebox.schemas import ZONE_LOOKUP
 from farebox.session import scratch_path
-from farebox.streaming import append_windows, write_messages
+from farebox.sources.file_index import may_hold, read_indexed, refresh
+from farebox.streaming import append_windows, count_until_idle, write_messages
 from workloads import feeds
 from workloads.registry import register
 
@@ -148,6 +150,15 @@ def s11(spark, sf):
     return sources.bounded_counts(sources.read_event_files(spark, _messages(spark, sf, "s11"), _MESSAGE_SCHEMA))
 
 
+@register("s11_read_until_idle", _COUNTS_SQL)
+def s11_idle(spark, sf):
+    # a continuous read that ends by itself when no message has come for a while
+    stream = sources.stream_event_files(spark, _messages(spark, sf, "s11i"), _MESSAGE_SCHEMA)
+    return count_until_idle(
+        stream, scratch_path(spark, "s11-counters"), scratch_path(spark, "s11-state"), idle_seconds=2.0, every="0 seconds",
+        name=f"s11-{uuid.uuid4().hex}")
+
+
 @register("s12_checked_seed", """
     select n_nationkey as LocationID, r_name as Borough, n_name as Zone,
       case when r_name = 'EUROPE' then 'Yellow Zone' else 'Boro Zone' end as service_zone
@@ -179,6 +190,20 @@ def s13(spark, sf):
     return rows.select(*base, "fee", "note")
 
 
+@register("s13_indexed_files_of_an_interval", """
+    select o_orderkey, o_orderdate, o_totalprice from orders where o_orderdate >= '1995-03-10' and o_orderdate < '1995-06-20'""")
+def s13_index(spark, sf):
+    # footers are read once and kept; the second read takes from the index which files hold the interval
+    root, index = scratch_path(spark, "s13x"), scratch_path(spark, "s13x-index")
+    orders = feeds.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    orders.withColumn("month", F.trunc("o_orderdate", "month")).hint("rebalance", F.col("month")).write.partitionBy("month").parquet(root)
+    start, end = datetime(1995, 3, 10), datetime(1995, 6, 20)
+    for _ in range(2):
+        known = refresh(spark, index, [root], ["o_orderdate"])
+    assert known.footers_read == 0
+    return read_indexed(spark, known.files.where(may_hold("o_orderdate", start, end))).where(in_half_open("o_orderdate", start, end))
+
+
 @register("s14_first_rows")
 def s14(spark, sf):
     return sources.first_rows(feeds.table(spark, sf, "orders"), 100)

@@ -5,9 +5,13 @@ from pyspark.sql import types as T
 
 from farebox.operators.sessions import session_counts
 from farebox.session import scratch_path
-from farebox.sources import bounded_counts, stream_event_files
+from farebox.sources import stream_event_files
 from farebox.streaming import (
     append_windows,
+    count_stream,
+    last_counters,
+    open_session_counts,
+    read_counters,
     session_counts_stream,
     top_windows,
     tumbling_counts,
@@ -16,6 +20,7 @@ from farebox.streaming import (
     with_event_time,
     write_messages,
 )
+from farebox.streaming.sessions import rocksdb_state
 from farebox.streaming.sinks import create_result_table
 from workloads import feeds
 from workloads.feeds import EVENTS_SQL
@@ -54,7 +59,7 @@ def _run_upsert(spark, windows, keys, mode, name=None, checkpoint=None):
     """Run a window stream into its result table and return the table's name."""
     if name is None:
         name = fresh_table(spark, "windows")
-        create_result_table(spark, name, windows)
+        create_result_table(spark, name, windows, keys)
     upsert_windows(windows, name, keys, checkpoint or scratch_path(spark, "state"), mode, available_now=True).awaitTermination()
     return name
 
@@ -174,17 +179,42 @@ def t10(spark, sf):
     return _table(spark, name)
 
 
-@register("t11_bounded_stream_counters", "select count(*) as total_messages, count(*) filter (where value > 5.0) as long_trips from events")
-def t11(spark, sf):
-    counts = bounded_counts(stream_event_files(spark, _sent(spark, sf, "t11"), _MESSAGE))
-    out = scratch_path(spark, "t11-out")
+_LONG = "count(*) as total_messages, count(*) filter (where value > 5.0) as long_trips"
+
 
-    def keep(batch, batch_id):
-        batch.write.mode("overwrite").parquet(out)
+def _counted(spark, sf, name):
+    """Counters of a stream read in several micro-batches: one per part of the month, the last after a restart."""
+    path, out, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-state")
+    for part in ("ts < '2024-01-11 00:00:00'", "ts >= '2024-01-11 00:00:00'"):
+        _send(spark, sf, path, part)
+        count_stream(stream_event_files(spark, path, _MESSAGE, max_files=4), out, checkpoint).awaitTermination()
+    return out
 
-    (counts.writeStream.outputMode("complete").foreachBatch(keep).trigger(availableNow=True)
-     .option("checkpointLocation", scratch_path(spark, "t11-state")).start().awaitTermination())
-    return spark.read.parquet(out)
+
+@register("t11_bounded_stream_counters", f"select {_LONG} from events")
+def t11(spark, sf):
+    return last_counters(spark, _counted(spark, sf, "t11"))
+
+
+@register("t11_running_totals", f"select total_messages, long_trips, total_messages as sum_of_steps, 0::bigint as steps_that_fall from (select {_LONG} from events)")
+def t11_running(spark, sf):
+    # every step's totals are the last ones' and its own
+    steps = read_counters(spark, _counted(spark, sf, "t11r"))
+    return steps.agg(
+        F.max("total_messages").alias("total_messages"), F.max_by("total_long_trips", "batch_id").alias("long_trips"),
+        F.sum("messages").alias("sum_of_steps"), F.count_if(F.col("total_messages") < F.col("messages")).alias("steps_that_fall"))
+
+
+@register("t3_open_sessions_in_the_table", session_sql("location", 5).replace(EVENTS_SQL, _SECONDS))
+def t3_open(spark, sf):
+    # the second part comes after a restart; sessions that are open at the end are in the table
+    with rocksdb_state(spark):
+        path, checkpoint, name = scratch_path(spark, "t3o"), scratch_path(spark, "t3o-state"), None
+        for part in ("ts < '2024-01-16 00:00:00'", "ts >= '2024-01-16 00:00:00'"):
+            _send(spark, sf, path, part)
+            windows = open_session_counts(_stream(spark, path), "location", 300)
+            name = _run_upsert(spark, windows, ["window_start", "location"], "update", name, checkpoint)
+        return _table(spark, name)
 
 
 @register("q14_busiest_window", f"select * from ({_COUNTS}) {_TOP.replace('limit 5', 'limit 1')}")

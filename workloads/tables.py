@@ -176,7 +176,7 @@ def w10_table(spark, sf):
     # the new rows have none for January 5th, so that day has to end empty
     name = fresh_table(spark, "w10")
     events, new = _events_and_new(spark, sf)
-    layout.day_partitioned(events, "ts").saveAsTable(name)
+    t.replace_table(layout.by_day(events, "ts"), name, partition_by=["day"])
     for _ in range(2):
         t.overwrite_interval_in_table(spark, name, new, "ts", _W10_START, _W10_END)
     return spark.table(name).drop("day")
@@ -226,7 +226,7 @@ def w13(spark, sf):
 def w13_table(spark, sf):
     name = fresh_table(spark, "w13")
     old, batch = (df.withColumn("day", F.col("window_start").cast("date")) for df in _old_and_new_windows(spark, sf))
-    layout.by_day(old, "window_start").write.partitionBy("day").saveAsTable(name)
+    t.replace_table(layout.by_day(old, "window_start"), name, partition_by=["day"])
     for _ in range(2):
         t.upsert_into_table(spark, name, batch, ["window_start", "location"])
     return spark.table(name).drop("day")
