@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm.bpe import shared_vocabulary, tokenizer_of
-from farebox.llm.tasks import small_batches
+from farebox.llm.tasks import small_batches, with_python_columns
 
 BUDGET = 2048
 HISTORY = 512
@@ -42,6 +42,18 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
+def turn_text(role: str, text: str) -> tuple[str, str]:
+    """A turn's opening and its escaped text; ``END`` and a line break follow."""
+    return f"{TURN}{escape(role).replace(chr(10), chr(92) + chr(10))}\n", escape(text)
+
+
+def turn_cost(role: str, text: str, count: Callable[[str], int]) -> int:
+    """Tokens of the turn as it stands in a window, its marks and escapes included. A window's text is its turns' texts one
+    after the other, and no token spans the line break and the mark between two of them."""
+    head, body = turn_text(role, text)
+    return count(f"{head}{body}{END}\n")
+
+
 class Window:
     """Turns of one window: (role, text), how many of them are repeated, and the tokens of all."""
 
@@ -52,8 +64,7 @@ class Window:
         """The text and the spans under the loss mask (code points, stop exclusive)."""
         out, mask, at = [], [], 0
         for i, (role, text) in enumerate(self.turns):
-            head = f"{TURN}{escape(role).replace(chr(10), chr(92) + chr(10))}\n"
-            body = escape(text)
+            head, body = turn_text(role, text)
             if i >= self.n_repeated and role == ASSISTANT and body:
                 mask.append((at + len(head), at + len(head) + len(body)))
             out += [head, body, END, "\n"]
@@ -61,10 +72,9 @@ class Window:
         return "".join(out), mask
 
 
-def windows_of(
-    turns: Iterable[tuple[str, str]], count: Callable[[str], int], budget: int = BUDGET, history: int = HISTORY,
-) -> Iterator[Window]:
-    """Windows of one conversation, one after the other; only the last turns within the history budget are kept.
+def windows_of(turns: Iterable[tuple[str, str, int]], budget: int = BUDGET, history: int = HISTORY) -> Iterator[Window]:
+    """Windows of one conversation, one after the other, from its turns (role, text, cost); only the last turns within the
+    history budget are kept.
 
     A window holds at most ``budget`` tokens, unless one turn with the system turn is longer by itself: turns are never cut.
     """
@@ -72,8 +82,7 @@ def windows_of(
     kept: list[tuple[str, str]] = []  # turns that later windows may repeat
     sums = [0]  # prefix sums of their tokens
     window = None
-    for i, (role, text) in enumerate(turns):
-        cost = count(text) + count(role) + 4
+    for i, (role, text, cost) in enumerate(turns):
         if window is not None and window.tokens + cost > budget:
             yield window
             allowed = max(0, min(history, budget - system_cost - cost))
@@ -124,11 +133,17 @@ def format_conversations(
     vocabulary = shared_vocabulary(conversations, rank_file)
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def costs():
         count = tokenizer_of(vocabulary.value, pattern).count
-        turns = (t for b in batches for t in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()))
+        return lambda roles, texts: [[turn_cost(r, t, count) for r, t in zip(roles, texts)]]
+
+    # tokens are counted where the rows lie; only the choice of windows needs a conversation in order
+    counted = with_python_columns(rows, ["role", "text"], "cost int", costs)
+    ordered = counted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turns = (t for b in batches for t in zip(*[b.column(i).to_pylist() for i in (0, 2, 3, 4)]))
         names = ["conv_id", "window", "n_repeated", "n_tokens", "text", "loss"]
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))]
         made, size = [], 0
@@ -138,7 +153,7 @@ def format_conversations(
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
         for conv_id, own in groupby(turns, key=lambda t: t[0]):
-            for window in windows_of(((r, x) for _, r, x in own), count, budget, history):
+            for window in windows_of((t[1:] for t in own), budget, history):
                 text, loss = window.formatted()
                 made.append((conv_id, window.number, window.n_repeated, window.tokens, text, [{"start": a, "stop": b} for a, b in loss]))
                 size += len(text)

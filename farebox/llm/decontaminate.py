@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.tasks import without
+from farebox.llm.tasks import spare_names, without
 
 # Hashes a broadcast may hold (8 bytes each, about 200 MB with the hash table); a larger set is joined by shuffle.
 MOST_BROADCAST_HASHES = 8_000_000
@@ -94,21 +94,26 @@ def find_contamination(
     first = F.lit(0)
     for n in lengths:
         first = F.when(length == n, F.greatest(at - (_step(n) - 1), F.lit(0))).otherwise(first)
+    # the document's own row gets a hash of its own, so that it is dealt out like any other should the join shuffle
+    itself = F.col("place") < 0
+    own = F.xxhash64(F.lit("document"), "doc_id", "text_hash")
     looked_at = looked_at.select(
-        "doc_id", "text_hash", "n_words", "place", F.when(F.col("place") >= 0, hashed).alias("gram"),
-        F.when(F.col("place") >= 0, F.slice("words", first + 1, at + length - first)).alias("near"))
+        "doc_id", "text_hash", "n_words", "place", F.when(itself, own).otherwise(hashed).alias("gram"),
+        F.when(~itself, F.slice("words", first + 1, at + length - first)).alias("near"))
     small = grams.limit(MOST_BROADCAST_HASHES + 1).count() <= MOST_BROADCAST_HASHES
-    hit = looked_at.join(F.broadcast(grams) if small else grams, F.col("gram") == F.col("known"), "left").where(
-        (F.col("place") < 0) | F.col("known").isNotNull())
+    known = (F.col("gram") == F.col("known")) & ~itself
+    hit = looked_at.join(F.broadcast(grams) if small else grams, known, "left").where(itself | F.col("known").isNotNull())
 
     last = F.least(at, F.col("n_words") - length)
     starts = F.when(F.col("known").isNotNull() & (last >= first), F.sequence(first, last))
+    # no window's words look like the stand-in for a document's own row
+    found = F.when(itself, F.concat(F.lit("\0"), F.hex("gram"))).otherwise(
+        F.array_join(F.slice("near", F.col("start") - first + 1, length), " "))
     candidates = hit.select("*", F.explode_outer(starts).alias("start")).select(
-        "doc_id", "text_hash", "n_words", (F.col("place") < 0).alias("itself"), length.alias("length"), "start",
-        F.array_join(F.slice("near", F.col("start") - first + 1, length), " ").alias("found"))
+        "doc_id", "text_hash", "n_words", itself.alias("itself"), length.alias("length"), "start", found.alias("found"))
     checked = candidates.join(
         windows.withColumnRenamed("length", "window_length"),
-        (F.col("found") == F.col("window_text")) & (F.col("length") == F.col("window_length")), "left",
+        (F.col("found") == F.col("window_text")) & (F.col("length") == F.col("window_length")) & ~F.col("itself"), "left",
     ).where(F.col("itself") | F.col("window_text").isNotNull())
     span = F.when(F.col("window_text").isNotNull(), F.struct(F.col("start"), (F.col("start") + F.col("length")).alias("stop")))
     found = checked.groupBy("doc_id", "text_hash").agg(
@@ -124,32 +129,53 @@ def find_contamination(
         "copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copies", "copy")
 
 
-def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """``documents`` (same columns) without those in which a benchmark window occurs. Cases as ``find_contamination``."""
-    key = ["__id", "__hash"]
-    bad = find_contamination(documents, benchmark, window).where("n_hit > 0").select(
-        F.col("doc_id").alias(key[0]), F.col("text_hash").alias(key[1])).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col(key[0])) & (F.xxhash64("text") == F.col(key[1]))
+def _contaminated(documents: DataFrame, benchmark: DataFrame, window: int, doc_id: str, text: str, names: list[str]) -> DataFrame:
+    """Id, text hash, spans and number of words hit, under these names, of each different document with a hit."""
+    found = find_contamination(documents, benchmark, window, doc_id, text).where("n_hit > 0")
+    return found.select(*[F.col(c).alias(n) for c, n in zip(("doc_id", "text_hash", "spans", "n_hit"), names)]).dropDuplicates(names[:2])
+
+
+def remove_contaminated(
+    documents: DataFrame, benchmark: DataFrame, window: int = 10, doc_id: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """``documents`` (same columns, which may have any name) without those in which a benchmark window occurs.
+
+    A NULL or empty text holds no window and stays. Repeated rows stay or go together; rows that share an id but not the
+    text are judged each by its own. An empty table or benchmark is no special case.
+    """
+    names = spare_names(documents, 4)
+    bad = _contaminated(documents, benchmark, window, doc_id, text, names).select(*names[:2])
+    same = documents[f"`{doc_id}`"].eqNullSafe(F.col(names[0])) & (F.xxhash64(documents[f"`{text}`"]) == F.col(names[1]))
     return documents.join(bad, same, "left_anti")
 
 
-def remove_spans(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """``documents`` with the words of benchmark windows cut out of ``text`` and a column ``n_removed`` of words.
+_PIECE = r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"
+
+
+def remove_spans(
+    documents: DataFrame, benchmark: DataFrame, window: int = 10, doc_id: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """``documents`` with the words of benchmark windows cut out of the text and a column ``n_removed`` of words.
 
-    Runs of other characters stay as they are; a text without hits is unchanged, NULL stays NULL.
+    Runs of other characters stay as they are; a text without hits is unchanged, NULL stays NULL, repeated rows are changed
+    alike. Columns may have any name; one called ``n_removed`` is replaced. Only texts with hits are taken apart, each
+    different one once, word by word, so a long text costs in proportion to its length.
     """
-    found = find_contamination(documents, benchmark, window).where("n_hit > 0").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "spans", "n_hit").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    pieces = F.regexp_extract_all(F.col("text"), F.lit(r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"), F.lit(1))
-    first_is_word = (~F.substring("text", 1, 1).rlike(r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")).cast("int")
-    # pieces alternate: number i is a word if its parity is that of the first word
-    hit = F.flatten(F.transform("spans", lambda s: F.sequence(s.start, s.stop - 1)))
-    kept = F.filter(F.transform("__pieces", lambda p, i: F.when(
-        ((i + F.col("__word_first")) % 2 == 1) & F.array_contains("__hit", ((i + 1 - F.col("__word_first")) / 2).cast("int")), "")
-        .otherwise(p)), lambda p: p != "")
-    joined = without(documents, ["n_removed"]).join(found, same, "left")
-    worked = joined.withColumns({"__pieces": pieces, "__word_first": first_is_word, "__hit": hit})
-    cut = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.array_join(kept, ""))
-    return worked.withColumns({"text": cut, "n_removed": F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")}).drop(
-        "__id", "__hash", "spans", "n_hit", "__pieces", "__word_first", "__hit")
+    id_, hash_, spans, hits, piece, cut = spare_names(documents, 6)
+    rest = without(documents, ["n_removed"])
+    bad = _contaminated(documents, benchmark, window, doc_id, text, [id_, hash_, spans, hits])
+    same = documents[f"`{doc_id}`"].eqNullSafe(F.col(id_)) & (F.xxhash64(documents[f"`{text}`"]) == F.col(hash_))
+    texts = documents.join(bad, same).select(id_, hash_, spans, documents[f"`{text}`"].alias(piece)).dropDuplicates([id_, hash_])
+    key = F.struct(F.col(id_).alias("id"), F.col(hash_).alias("hash"))
+    pieces = texts.select(key.alias("key"), F.posexplode(F.regexp_extract_all(F.col(piece), F.lit(_PIECE), F.lit(1))).alias("at", "piece"))
+    # words and runs of other characters alternate: the n-th word is piece 2 n, or 2 n + 1 where the text begins otherwise
+    starts = F.when(texts[piece].rlike("^" + _PIECE.split("|")[1].rstrip(")")), 1).otherwise(0)
+    words = texts.select(key.alias("key"), starts.alias("first"), F.explode(spans).alias("span")).select(
+        "key", (F.explode(F.sequence(F.col("span.start"), F.col("span.stop") - 1)) * 2 + F.col("first")).alias("at")).distinct()
+    left = pieces.join(words, ["key", "at"], "left_anti").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
+    done = bad.select(id_, hash_, hits, key.alias("key")).join(left, "key", "left").select(
+        id_, hash_, hits, F.coalesce(F.array_join(F.col("pieces.piece"), ""), F.lit("")).alias(cut))
+    joined = documents.join(done, same, "left")
+    columns = [
+        (F.coalesce(F.col(cut), joined[f"`{c}`"]).alias(c) if c == text else joined[f"`{c}`"]) for c in rest.columns]
+    return joined.select(*columns, F.coalesce(F.col(hits), F.lit(0)).cast("long").alias("n_removed"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm.decontaminate import words_of
-from farebox.llm.tasks import without
+from farebox.llm.tasks import own_columns, spare_names, without
 
 # Rare words of a template that are looked up and intersected, and the share of them that must stand in their places.
 RARE_WORDS = 8
@@ -155,9 +155,7 @@ def scan_licenses(documents: DataFrame, text: str = "text", index: list[Template
     index = INDEX if index is None else index
     out = ["n_words", "name_places", "license_terms", "license_score"]
     rest = without(documents, out)
-    kept = [rest[f"`{c}`"] for c in rest.columns]
-    spare = "w" * (max([len(c) for c in rest.columns], default=0) + 1)  # a name that no column has
-    words, places, found = spare, spare + "p", spare + "f"
+    words, places, found = spare_names(documents, 3)
 
     templates = _structs([{
         "label": t.label, "is_name": t.is_name, "slack": 0 if t.is_name else SLACK,
@@ -170,27 +168,38 @@ def scan_licenses(documents: DataFrame, text: str = "text", index: list[Template
     def within_slack(template: Column, place: Column, holds) -> Column:
         return F.exists(F.sequence(place - template["slack"], place + template["slack"]), holds)
 
-    def judged(candidate: Column) -> Column:
+    def share(candidate: Column) -> Column:
         template = F.get(templates, candidate["of"])
         in_place = F.filter(template["postings"], lambda q: within_slack(
             template, candidate["start"] + q["at"], lambda i: F.get(F.col(words), i).eqNullSafe(q["word"])))
-        verified = F.forall(template["keys"], lambda k: within_slack(
+        return F.size(in_place) / F.size(template["postings"])
+
+    def verified(candidate: Column) -> Column:
+        template = F.get(templates, candidate["of"])
+        return F.forall(template["keys"], lambda k: within_slack(
             template, candidate["start"] + k["at"], lambda i: _stands(words, i, k)))
-        return F.struct(
-            template["label"].alias("label"), template["is_name"].alias("is_name"), candidate["start"].alias("start"),
-            (F.size(in_place) / F.size(template["postings"])).alias("share"), verified.alias("verified"))
+
+    def named(candidate: Column) -> Column:
+        template = F.get(templates, candidate["of"])
+        return F.struct(template["label"].alias("label"), template["is_name"].alias("is_name"), candidate["start"].alias("start"), candidate["share"].alias("share"))
 
     # one projection per step, each used several times by the next, so that none is computed twice
-    split = documents.select(*kept, words_of(documents[f"`{text}`"]).alias(words))
-    looked_up = split.select(*kept_of(split, rest), F.col(words), F.filter(
+    split = documents.select(*own_columns(rest), words_of(documents[f"`{text}`"]).alias(words))
+    looked_up = split.select(*own_columns(split, rest), F.col(words), F.filter(
         F.sequence(F.lit(0), F.size(words)), lambda i: F.get(F.col(words), i).isin(rare)).alias(places))
-    candidates = F.array_distinct(F.flatten(F.transform(places, lambda i: F.transform(
+    # a candidate (where a template would begin, which template) is one number, so that repeats are found by hashing
+    longest, many = max(p for t in index for p, _ in t.postings), len(index)
+    codes = F.array_distinct(F.flatten(F.transform(places, lambda i: F.transform(
         F.filter(postings, lambda q: q["word"] == F.get(F.col(words), i)),
-        lambda q: F.struct((i - q["at"]).alias("start"), q["of"].alias("of"))))))
-    good = F.filter(F.transform(candidates, judged), lambda c: c["verified"] & (c["share"] >= ENOUGH))
-    nothing = F.array().cast("array<struct<label:string,is_name:boolean,start:int,share:double,verified:boolean>>")
+        lambda q: (i - q["at"] + longest).cast("long") * many + q["of"]))))
+    candidates = F.transform(codes, lambda c: F.struct(
+        (F.floor(c / many) - longest).cast("int").alias("start"), (c % many).cast("int").alias("of")))
+    # phrases are compared only where enough rare words are in place
+    scored = F.transform(candidates, lambda c: F.struct(c["start"].alias("start"), c["of"].alias("of"), share(c).alias("share")))
+    good = F.transform(F.filter(F.filter(scored, lambda c: c["share"] >= ENOUGH), verified), named)
+    nothing = F.array().cast("array<struct<label:string,is_name:boolean,start:int,share:double>>")
     judged_rows = looked_up.select(
-        *kept_of(looked_up, rest), F.size(words).alias("n_words"),
+        *own_columns(looked_up, rest), F.size(words).alias("n_words"),
         F.when(F.size(places) > 0, good).otherwise(nothing).alias(found))
     names = F.transform(F.filter(found, lambda c: c["is_name"]), lambda c: F.struct(c["start"], c["label"]))
     terms = F.transform(F.filter(found, lambda c: ~c["is_name"]), lambda c: F.struct(c["start"], c["label"], c["share"]))
@@ -198,10 +207,6 @@ def scan_licenses(documents: DataFrame, text: str = "text", index: list[Template
         F.when(F.exists(found, lambda c: c["is_name"]), F.lit(0.5)).otherwise(F.lit(0.0)),
         F.coalesce(0.5 + 0.5 * F.array_max(F.transform(F.filter(found, lambda c: ~c["is_name"]), lambda c: c["share"])), F.lit(0.0)))
     return judged_rows.select(
-        *kept_of(judged_rows, rest), F.col("n_words"), F.sort_array(names).alias("name_places"),
+        *own_columns(judged_rows, rest), F.col("n_words"), F.sort_array(names).alias("name_places"),
         F.sort_array(terms).alias("license_terms"), score.alias("license_score"))
 
-
-def kept_of(df: DataFrame, like: DataFrame) -> list[Column]:
-    """The columns of ``like`` as columns of ``df``."""
-    return [df[f"`{c}`"] for c in like.columns]

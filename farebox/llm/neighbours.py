@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 
 from farebox.llm.tasks import stored
 
-# Vectors the trees are fitted on, those with the smallest hash; they pass through the driver.
+# Vectors the trees are fitted on, those with the smallest hash, and the numbers they may have together; they pass through
+# the driver. The trees themselves hold as many numbers at most, and are broadcast.
 MOST_FITTED = 50_000
+MOST_NUMBERS = 1 << 24
 TREES = 8
 # Vectors a leaf is meant to hold; leaves of a tree at most, and the sample vectors that each must have.
 LEAF = 1000
@@ -84,7 +86,9 @@ class Tree:
 def fit_forest(sample: np.ndarray, count: int, trees: int = TREES, leaf: int = LEAF, seed: int = 7) -> list[Tree]:
     """Trees for ``count`` vectors, fitted on unit vectors of a sample of them."""
     rng = np.random.default_rng(seed)
-    leaves = min(count / leaf, MOST_LEAVES, len(sample) / LEAST_FITTED_PER_LEAF)
+    # a split is as wide as a vector, and depths are whole numbers, so a tree may have twice the leaves asked for
+    broadcast = max(1, MOST_NUMBERS // (2 * trees * max(1, sample.shape[1])))
+    leaves = min(count / leaf, MOST_LEAVES, len(sample) / LEAST_FITTED_PER_LEAF, broadcast)
     return [Tree(sample, rng, leaves) for _ in range(trees)]
 
 
@@ -114,14 +118,23 @@ def _usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def _stack(column: pa.Array, width: int) -> np.ndarray:
-    """Vectors as rows of one matrix; shorter ones are filled up with zeros."""
+    """Vectors as rows of one matrix, each scaled by a power of two to a largest number between 1/2 and 1; shorter ones are
+    filled up with zeros.
+
+    Such scaling is exact and changes no cosine, but squares can neither overflow nor vanish: what gets too small to be kept
+    is too small to count beside the largest number.
+    """
     sizes = np.diff(column.offsets.to_numpy())
     flat = column.flatten().to_numpy(zero_copy_only=False)
     if (sizes == width).all():
-        return flat.reshape(-1, width)
-    out = np.zeros((len(sizes), width))
-    out[np.arange(width) < sizes[:, None]] = flat
-    return out
+        out = flat.reshape(-1, width)
+    else:
+        out = np.zeros((len(sizes), width))
+        out[np.arange(width) < sizes[:, None]] = flat
+    if not out.size:
+        return out
+    _, power = np.frexp(np.abs(out).max(axis=1))
+    return np.ldexp(out, -power[:, None])
 
 
 def nearest(
@@ -132,8 +145,8 @@ def nearest(
 
     ``is_query`` is a condition on ``vec_id``; candidates are all rows but the query's own. NULL vectors, zero
     vectors, vectors with NULL or non-finite numbers, and rows of id NULL take no part. Vectors of unequal length are
-    compared as if the shorter ended in zeros. Rows that repeat an id are candidates of their own if their vectors
-    differ, and a repeated query is answered once per different vector. Equal vectors are indexed once, with the k + 1
+    compared as if the shorter ended in zeros. Of an id that repeats with different vectors the best pair counts: a
+    candidate is listed once per query, with its largest score over the vectors of both. Equal vectors are indexed once, with the k + 1
     smallest ids, which are all that a result can hold. Fewer rows than ``k`` give fewer ranks; an empty table gives none.
     """
     spark = vectors.sparkSession
@@ -146,7 +159,8 @@ def nearest(
     result = "query_id long, rank int, vec_id long, score double"
     if not count:
         return spark.createDataFrame([], result)
-    sample = distinct.orderBy("key").limit(most_fitted).select("vec").toArrow()["vec"].combine_chunks()
+    fitted = max(1, min(most_fitted, MOST_NUMBERS // width))
+    sample = distinct.orderBy("key").limit(fitted).select("vec").toArrow()["vec"].combine_chunks()
     matrix = _stack(sample, width)
     forest = fit_forest(matrix / np.linalg.norm(matrix, axis=1)[:, None], count, trees, leaf)
     shared = spark.sparkContext.broadcast([vars(t) for t in forest])  # trees * leaves * width numbers, bounded by the sample

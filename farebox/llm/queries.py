@@ -78,7 +78,34 @@ RULES = (
 )
 
 
-@register("op3_url_filter")
+def _sql_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def _urls_sql() -> str:
+    """The URL filter said in SQL, over the same rules and vocabulary."""
+    rules = ", ".join(f"('{r.action}', '{r.host}', '{r.path}')" for r in RULES)
+    stands = "regexp_matches(lower, '(^|[^\\p{L}\\p{N}])' || t || '([^\\p{L}\\p{N}]|$)')"
+    strict = f"len(list_filter([{_sql_list(urls.STRICT_TERMS)}], lambda t: {stands}))"
+    soft = f"list_filter([{_sql_list(urls.SOFT_TERMS)}], lambda t: {stands})"
+    weights = "map {" + ", ".join(f"'{t}': {w}" for t, w in urls.SOFT_TERMS.items()) + "}"
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""with rules as (select * from (values {rules}) t(action, host, start)),
+    cut as (select page_id, coalesce(url, '') as url, case when contains(url, '://')
+      then split_part(split_part(substr(url, strpos(url, '://') + 3), '#', 1), '?', 1) else '' end as rest from pages),
+    parts as (select page_id, {lower.format("url")} as lower, split_part(rest, '/', 1) as h, rest from cut),
+    hosts as (select page_id, lower, {lower.format("h")} as host, substr(rest, length(h) + 1) as path from parts),
+    judged as (select page_id, host, path, cast({strict} as int) as n_strict, cast(len({soft}) as int) as n_soft,
+      coalesce(list_sum(list_transform({soft}, lambda t: cast({weights}[t] as double))), 0.0) as soft_weight from hosts),
+    fitting as (select page_id, r.action, r.host || r.start as name, row_number() over (
+        partition by page_id order by length(r.host || r.start) desc, length(r.host) desc) as nth
+      from judged j join rules r on (j.host = r.host or ends_with(j.host, '.' || r.host)) and starts_with(j.path, r.start))
+    select j.page_id, host, path, f.name as rule, n_strict, n_soft, soft_weight, coalesce(f.action,
+      case when n_strict >= 1 or n_soft >= {urls.LEAST_SOFT_TERMS} and soft_weight >= {urls.SOFT_LIMIT} then 'block' else 'allow' end) as verdict
+    from judged j left join fitting f on f.page_id = j.page_id and f.nth = 1"""
+
+
+@register("op3_url_filter", _urls_sql())
 def op3(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url")
     return urls.judge_urls(pages, RULES).drop("url")
@@ -102,6 +129,59 @@ def op5(spark, sf):
         F.sha2(spans.joined(spans.base_only(s)), 256).alias("base_sha256"), spans.joined(s).alias("spans"))
 
 
+def _matches_sql(name: str, pattern: str, holds: str) -> str:
+    """CTE ``name``: ``doc_id``, ``start``, ``stop`` of the matches of a pattern, from left to right without overlaps, that
+    ``holds``; where they begin comes from the lengths of what lies before."""
+    whole = f"(?s)(.*?)({pattern})"
+    return f"""{name}_lists as (select doc_id, regexp_extract_all(text, '{whole}', 1) as gaps, regexp_extract_all(text, '{whole}', 2) as hits
+        from documents),
+      {name}_all as (select doc_id, unnest(gaps) as before, unnest(hits) as found, unnest(range(len(hits))) as nth from {name}_lists),
+      {name}_at as (select doc_id, found, sum(length(before) + length(found)) over (partition by doc_id order by nth) as stop from {name}_all),
+      {name} as (select doc_id, cast(stop - length(found) as bigint) as start, cast(stop as bigint) as stop from {name}_at where {holds})"""
+
+
+_DIGITS = "regexp_replace(found, '[^0-9]', '', 'g')"
+_LUHN = (f"list_sum(list_transform(range(length({_DIGITS})), lambda i: cast(substr({_DIGITS}, length({_DIGITS}) - i, 1) as int) * (1 + i % 2)"
+         f" - 9 * cast(cast(substr({_DIGITS}, length({_DIGITS}) - i, 1) as int) * (1 + i % 2) > 9 as int))) % 10 = 0")
+_BASE_OF_PII = {
+    "email": ("[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+", "true"),
+    "ip": ("[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)",
+           "len(list_filter(string_split(found, '.'), lambda x: length(ltrim(x, '0')) > 3 or cast('0' || ltrim(x, '0') as bigint) > 255)) = 0"),
+    "card": ("[0-9]([ -]?[0-9])+", f"length({_DIGITS}) between 13 and 19 and {_LUHN}"),
+    "phone": ("\\+[0-9][ ().0-9-]+[0-9]", f"length({_DIGITS}) between 9 and 15"),
+}
+_KEYWORD = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+_AFTER_KEYWORD = "[\"\'\']? *[:=] *[\"\'\']?"
+_BASE_OF_SECRETS = {
+    "assign": (f"({_KEYWORD}){_AFTER_KEYWORD}([A-Za-z0-9+/_.=-]+)",
+               f"length(regexp_extract(found, '({_KEYWORD}){_AFTER_KEYWORD}([A-Za-z0-9+/_.=-]+)', 2)) >= 8"),
+    "access": ("AKIA[A-Z0-9]+", "length(found) >= 16"),
+    "hex": ("[0-9a-f]+", "length(found) >= 32"),
+}
+
+
+def _base_spans_sql(kinds: dict[str, tuple[str, str]], order: str) -> str:
+    found = ", ".join(_matches_sql(kind, *how) for kind, how in kinds.items())
+    spans_ = " union all ".join(f"select doc_id, '{kind}' as kind, {i} as nth, start, stop from {kind}" for i, kind in enumerate(kinds))
+    counts = ", ".join(f"count(*) filter (kind = '{kind}') as n_{kind}" for kind in kinds)
+    return f"""with {found}, spans as ({spans_}),
+      joined as (select doc_id, {counts}, string_agg(kind || ':' || start || ':' || stop, ',' order by {order}) as base from spans group by 1)
+    select doc_id, {", ".join(f"coalesce(n_{kind}, 0) as n_{kind}" for kind in kinds)}, sha256(coalesce(base, '')) as base_sha256
+    from documents left join joined using (doc_id)"""
+
+
+@register("base_spans_of_personal_data", _base_spans_sql(_BASE_OF_PII, "nth, start"))
+def pii_base(spark, sf):
+    """What SQL can say of op5."""
+    return op5(spark, sf).drop("spans")
+
+
+@register("base_spans_of_secrets", _base_spans_sql(_BASE_OF_SECRETS, "start, nth"))
+def secrets_base(spark, sf):
+    """What SQL can say of op8."""
+    return op8(spark, sf).drop("spans")
+
+
 @register("op6_nearest_neighbours")
 def op6(spark, sf):
     return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
@@ -131,6 +211,18 @@ def op9(spark, sf):
     return chat.read_conversations(windows).drop("n_windows")
 
 
+@register("turns_read_back_from_chat", """with turns as (
+      select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+      union all select -1, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+    summed as (select conv_id, count(*) as n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as turns,
+        coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '') as said from turns group by 1)
+    select conv_id, n_turns, sha256(turns) as turns_sha256, length(said) as loss_chars, sha256(said) as loss_sha256 from summed""")
+def chat_turns(spark, sf):
+    """What SQL can say of op9: all but the length of the formatted text."""
+    return op9(spark, sf).drop("formatted_chars")
+
+
 @register("op10_warc", """with p as (select page_id, coalesce(html, '') as html from pages),
     h as (select page_id, strlen(html) as n, sha256(html) as digest from p),
     f as (select digest, min(page_id) as first from h group by 1)

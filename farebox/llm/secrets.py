@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm.spans import SPANS, Cover, blank_out
-from farebox.llm.tasks import with_python_columns
+from farebox.llm.tasks import spare_names, with_python_columns
 
 BASE_KINDS = ("assign", "access", "hex")
 ADDED_KINDS = ("pem", "token", "der", "ssh")
@@ -29,7 +29,9 @@ _HEX_PAIRS = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}")
 _SIGNED = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,}+)\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*+)")
 # a body holds no further marker, so each is searched once
-_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----((?:[^-]++|-(?!----))*+)-----END \1-----")
+_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]++)-----((?:[^-]++|-(?!----))*+)-----END \1-----")
+# line breaks of a body: real ones, and those that a string in a source or JSON file spells out
+_BREAK = re.compile(r"\r\n?|\n|(?:\\+r)?\\+n")
 # No pattern but the assignments and armoured blocks matches less than this without white space.
 _SHORTEST_RUN = 16
 
@@ -64,22 +66,22 @@ def is_der_key(data: bytes) -> bool:
     16 bytes or more."""
     if len(data) < 24 or data[0] != 0x30:
         return False
-    long_value, waiting = False, [(0, len(data), 0)]
+    long_value, waiting = False, [(0, len(data), True)]
     try:
         while waiting:
-            at, end, depth = waiting.pop()
+            at, end, outermost = waiting.pop()
             while at < end:
                 tag = data[at]
                 start, stop = _der_length(data, at + 1)
-                if stop > end or depth > 12:
+                if stop > end:
                     return False
                 if tag & 0x20:
-                    waiting.append((start, stop, depth + 1))
+                    waiting.append((start, stop, False))
                 elif tag in (2, 3, 4):
                     long_value |= stop - start >= 16
                 elif tag not in (1, 5, 6, 12, 19, 23, 24) and tag < 0x80:
                     return False
-                if depth == 0 and stop != len(data):
+                if outermost and stop != len(data):
                     return False
                 at = stop
     except (IndexError, ValueError):
@@ -120,12 +122,23 @@ def _armoured(text: str) -> list[tuple[int, int]]:
     found = []
     for m in _ARMOUR.finditer(text):
         body = m.group(2)
-        data = decode_base64("".join(line.strip() for line in body.splitlines() if ":" not in line)) or b""
+        data = decode_base64("".join(line.strip() for line in _BREAK.split(body) if ":" not in line)) or b""
         if is_der_key(data) or is_ssh_key(data) or "ENCRYPTED" in body and len(data) >= 32:
             found.append(m.span())
     return found
 
 
+def key_kind(data: bytes) -> str | None:
+    """What kind of key the bytes are: DER, OpenSSH, or an armoured block (as base64 of a whole key file has it)."""
+    if is_der_key(data):
+        return "der"
+    if is_ssh_key(data):
+        return "ssh"
+    if b"-----BEGIN " in data and _armoured(data.decode("latin-1")):
+        return "pem"
+    return None
+
+
 def find_spans(text: str | None) -> list[tuple[str, int, int, float, bool]]:
     """All spans as (kind, start, stop, score, base), by start and then by kind as listed."""
     if not text:
@@ -143,8 +156,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float, bool]]:
                 found.append(("token", *m.span(), 1.0, False))
         for pattern, decode in ((_HEX_PAIRS, bytes.fromhex), (_BASE64, decode_base64)):
             for m in pattern.finditer(text):
-                data = decode(m.group()) or b""
-                kind = "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
+                kind = key_kind(decode(m.group()) or b"")
                 if kind and not armour.touches(m.start(), m.start() + 1):
                     found.append((kind, *m.span(), 1.0, False))
     return sorted(found, key=lambda s: (s[1], _KIND_ORDER[s[0]]))
@@ -159,9 +171,14 @@ def find_secrets(df: DataFrame, text: str = "text") -> DataFrame:
     return with_python_columns(df, [text], f"secret_spans {SPANS}", lambda: lambda texts: [list(map(find_spans, texts))])
 
 
-def redact_secrets(documents: DataFrame) -> DataFrame:
-    """``documents`` (same columns, all rows) with secrets in ``text`` replaced by ``[KIND]`` and ``n_chars`` of changed
-    texts counted anew. NULL stays NULL."""
+def redact_secrets(documents: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """``documents`` (same columns, all rows) with secrets in the text replaced by ``[KIND]`` and ``n_chars``, if there is such
+    a column, of changed texts counted anew.
+
+    NULL stays NULL and texts without secrets stay as they are, repeated rows change alike, an empty table stays empty.
+    Whole texts are searched, however long. Columns may have any name and type.
+    """
+    new, changed = spare_names(documents, 2)
 
     def make():
         def compute(texts):
@@ -170,7 +187,14 @@ def redact_secrets(documents: DataFrame) -> DataFrame:
 
         return compute
 
-    worked = with_python_columns(documents, ["text"], "text string, __changed boolean", make)
-    if "n_chars" in documents.columns:
-        worked = worked.withColumn("n_chars", F.when(F.col("__changed"), F.char_length("text")).otherwise(F.col("n_chars")).cast(documents.schema["n_chars"].dataType))
-    return worked.select(*documents.columns)
+    worked = with_python_columns(documents, [text], f"`{new}` string, `{changed}` boolean", make)
+
+    def column(name):
+        if name == text:
+            return F.col(new).alias(name)
+        if name == n_chars:
+            counted = F.char_length(F.col(new)).cast(documents.schema[name].dataType)
+            return F.when(F.col(changed), counted).otherwise(worked[f"`{name}`"]).alias(name)
+        return worked[f"`{name}`"]
+
+    return worked.select(*[column(c) for c in documents.columns])

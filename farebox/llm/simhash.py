@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.llm.components import connected_components
-from farebox.llm.copies import near_copy_groups
-from farebox.llm.tasks import small_batches, stored, with_python_columns, without
+from farebox.llm.tasks import own_columns, small_batches, spare_names, stored, with_python_columns, without
 
 RADIUS = 3
 # Fingerprints of a key that one comparison unit holds per side; larger keys are cut into tiles, all pairs of which meet.
@@ -227,13 +226,21 @@ def near_duplicate_components(documents: DataFrame, doc_id: str = "doc_id", text
         "doc_id", "text_hash", "fingerprint_bits", "root", "component_id")
 
 
-def keep_one_of_each(documents: DataFrame) -> DataFrame:
-    """``documents`` (same columns) with the document of the smallest id of every group of near copies (five-word
-    shingles, similarity 0.8 or more; not the fingerprints of this module); of rows that repeat that id and text, one."""
-    parts = near_copy_groups(documents)
-    chosen = parts.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("k"))
-    chosen = chosen.select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"))
-    keyed = documents.withColumn("__own", F.xxhash64("text"))
-    kept = keyed.join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left_semi")
-    one = F.row_number().over(Window.partitionBy("doc_id", "__own").orderBy(F.xxhash64(*documents.columns)))
-    return kept.withColumn("__one", one).where("__one = 1").drop("__own", "__one")
+def keep_one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``documents`` (same columns) with the document of the smallest id of every component of near-duplicates.
+
+    Of rows that repeat that id and text one stays, whichever other columns they have; a NULL id comes after all others.
+    Texts without words (NULL, empty) are near-duplicates of each other. An empty table gives none. Columns may have any
+    name and type.
+    """
+    parts = near_duplicate_components(documents, doc_id, text)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("k")
+    id_, hash_, own, nth = spare_names(documents, 4)
+    chosen = parts.groupBy("root").agg(least).select(F.col("k.doc_id").alias(id_), F.col("k.text_hash").alias(hash_))
+    keyed = documents.select(*own_columns(documents), F.xxhash64(documents[f"`{text}`"]).alias(own))
+    kept = keyed.join(chosen, keyed[f"`{doc_id}`"].eqNullSafe(F.col(id_)) & (F.col(own) == F.col(hash_)), "left_semi")
+    # equal rows in any order; the first per task is all that is shuffled
+    order = F.xxhash64(F.to_json(F.struct(*own_columns(kept, documents))))
+    one = F.row_number().over(Window.partitionBy(kept[f"`{doc_id}`"], own).orderBy(order))
+    first = kept.select(*own_columns(kept, documents), one.alias(nth)).where(F.col(nth) == 1)
+    return first.select(*own_columns(first, documents))

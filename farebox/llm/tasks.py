@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -28,6 +28,17 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
 
 
+def spare_names(df: DataFrame, n: int) -> list[str]:
+    """Names that no column of ``df`` has, in any letter case."""
+    longest = max((len(c) for c in df.columns), default=0)
+    return [f"{'_' * (longest + 1)}{i}" for i in range(n)]
+
+
+def own_columns(df: DataFrame, like: DataFrame | None = None) -> list[Column]:
+    """All columns of ``df`` (or those that ``like`` has), whatever characters their names hold."""
+    return [df[f"`{c}`"] for c in (like or df).columns]
+
+
 def with_python_columns(
     df: DataFrame, inputs: Sequence[str], outputs: str | T.StructType,
     make: Callable[[], Callable[..., Sequence[Sequence]]],

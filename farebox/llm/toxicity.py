@@ -17,13 +17,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.tasks import small_batches, stored, with_python_columns
+from farebox.llm.tasks import own_columns, small_batches, spare_names, stored, with_python_columns
 
 # Everything that is fitted (lexicon, label model, classifier) comes from this many labelled rows of each class at
 # most, those with the smallest hash of their id.
 MOST_LABELLED_PER_CLASS = 10_000
-# Terms the lexicon may have, and voters made of them.
-MOST_TERMS = 4_000
+# Voters made of the lexicon's terms: the stems of the surest ones have a voter each, all others share one.
 MOST_STEMS = 60
 STEM = 4
 # Log odds that a term must reach at least, at the lower bound.
@@ -31,21 +30,26 @@ LEAST_ODDS = 1.0
 THRESHOLD = 0.3
 
 _WORD = re.compile(r"[^\W\d_]+")
-_LONGEST_TERM = 24
 _REMEMBERED_WORDS = 300_000
-_PATTERNS = 4
+_SHOUTED = re.compile(r"(?<=[a-z] )[A-Z]{4,}\b")
+_STRETCHED = re.compile(r"([a-z])\1{3}")
+_PATTERNS = 8
 
 
 def terms_of(word: str) -> list[str]:
     """A lower-case word and its beginnings of 4 to 7 letters (written with an asterisk)."""
-    found = [word] if len(word) <= _LONGEST_TERM else []
-    return found + [word[:n] + "*" for n in range(STEM, STEM + 4) if len(word) > n]
+    return [word] + [word[:n] + "*" for n in range(STEM, STEM + 4) if len(word) > n]
 
 
 def patterns_of(text: str) -> list[bool]:
-    """Pattern voters: stressed exclamations, mostly capitals, insistent question or exclamation marks, direct address."""
+    """Pattern voters: stressed exclamations, mostly capitals, insistent marks, direct address, accusation, command, a word
+    shouted among others, stretched letters."""
     letters = sum(map(str.isupper, text))
-    return [text.count("!") > 2 + len(text) // 200, letters > len(text) // 2 > 10, "!!" in text or "?!" in text, "you " in text]
+    lower = text.lower()
+    return [
+        text.count("!") > 2 + len(text) // 200, letters > len(text) // 2 > 10, "!!" in text or "?!" in text, "you " in lower,
+        "you are " in lower or "you're " in lower, "go away" in lower or "shut up" in lower or "get out" in lower,
+        _SHOUTED.search(text) is not None, _STRETCHED.search(text) is not None]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -58,15 +62,22 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, most_per_class: int
 
     Labels of NULL (id or label) are left out; an id labelled twice is toxic if one label says so.
     """
-    clean = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(
-        F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    single = clean.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    single = clean_labels(labels)
     of_class = [
         single.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_per_class) for c in (0, 1)
     ]
     chosen = F.broadcast(of_class[0].union(of_class[1]))  # 2 * most_per_class ids at most
-    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")
-    return stored(texts.select("text", "toxic"), "labelled")
+    # of an id that repeats one text stands for it, so the bound on ids is one on rows
+    own = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")
+    one = own.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("toxic").alias("toxic"))
+    return stored(one.select("text", "toxic"), "labelled")
+
+
+def clean_labels(labels: DataFrame) -> DataFrame:
+    """``doc_id``, ``toxic`` of the labels that may be learnt from, one row per id."""
+    clean = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(
+        F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    return clean.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,14 +96,16 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn_lexicon(sample: DataFrame, n_clean: int, n_toxic: int) -> list[tuple[str, float]]:
-    """Terms whose log odds ratio is well above chance, with the lower bound of its confidence interval, highest first."""
+    """Terms whose log odds ratio is well above chance, with the lower bound of its confidence interval, highest first.
+
+    All of them: they come from a bounded sample, and each stands in three of its toxic texts or more."""
     counts = sample.mapInArrow(_count_terms, "term string, clean long, toxic long").groupBy("term").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     cells = [F.col("toxic") + 0.5, F.lit(n_toxic + 0.5) - F.col("toxic"), F.col("clean") + 0.5, F.lit(n_clean + 0.5) - F.col("clean")]
     odds = F.log(cells[0]) - F.log(cells[1]) - F.log(cells[2]) + F.log(cells[3])
     error = F.sqrt(sum((1 / c for c in cells[1:]), 1 / cells[0]))
     sure = counts.where("toxic >= 3").select("term", (odds - 1.64 * error).alias("low")).where(F.col("low") > LEAST_ODDS)
-    return [(r["term"], r["low"]) for r in sure.orderBy(F.col("low").desc(), "term").limit(MOST_TERMS).collect()]
+    return [(r["term"], r["low"]) for r in sure.orderBy(F.col("low").desc(), "term").collect()]
 
 
 class Voters:
@@ -132,19 +145,20 @@ class Voters:
         return sorted(spoken) + [MOST_STEMS + 1 + i for i in range(_PATTERNS) if patterns[i]], numbers
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, rounds: int = 12) -> np.ndarray:
+def label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, rounds: int = 12, with_given: bool = True) -> np.ndarray:
     """Posterior probability of the class "toxic" per row.
 
-    ``votes`` (rows, voters) says who speaks; the given label counts as one more voter with an accuracy of its own,
-    which is held above chance, so that the two classes keep their meaning.
+    ``votes`` (rows, voters) says who speaks. The given label starts the estimation and, ``with_given``, counts as one more
+    voter whose accuracy is estimated like the others' and held above chance, so that the two classes keep their meaning.
     """
-    everyone = np.column_stack([votes, gold]).astype(float)
+    everyone = np.column_stack([votes, gold]).astype(float) if with_given else votes.astype(float)
     post = np.where(gold == 1, 0.95, 0.05)
     for _ in range(rounds):
         w1, w0 = weight * post, weight * (1 - post)
         speaks1 = (everyone.T @ w1 + 0.5) / (w1.sum() + 1)
         speaks0 = (everyone.T @ w0 + 0.5) / (w0.sum() + 1)
-        speaks1[-1], speaks0[-1] = max(speaks1[-1], 0.9), min(speaks0[-1], 0.02)
+        if with_given:
+            speaks1[-1], speaks0[-1] = max(speaks1[-1], 0.6), min(speaks0[-1], 0.4)
         # what goes together beyond the class: correlation of the residuals
         rest = (everyone - post[:, None] * speaks1 - (1 - post)[:, None] * speaks0) * np.sqrt(weight)[:, None]
         covariance = rest.T @ rest
@@ -153,7 +167,6 @@ def label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, rounds:
         np.fill_diagonal(together, 0)
         together[together < 0.1] = 0
         trust = 1 / (1 + together.sum(axis=1))
-        trust[-1] = 1
         spoken, silent = np.log(speaks1 / speaks0) * trust, np.log((1 - speaks1) / (1 - speaks0)) * trust
         prior = np.log(w1.sum() + 1) - np.log(w0.sum() + 1)
         logit = prior + everyone @ spoken + (1 - everyone) @ silent
@@ -177,7 +190,9 @@ def train_linear(inputs: np.ndarray, target: np.ndarray, weight: np.ndarray, rid
     return beta
 
 
-def fit(documents: DataFrame, labels: DataFrame, most_per_class: int = MOST_LABELLED_PER_CLASS) -> dict:
+def fit(
+    documents: DataFrame, labels: DataFrame, most_per_class: int = MOST_LABELLED_PER_CLASS, with_given: bool = True,
+) -> dict:
     """The fitted classifier: ``lexicon`` and ``weights``. Without labelled rows every text scores 0."""
     small_batches(documents.sparkSession)
     sample = labelled_sample(documents, labels, most_per_class)
@@ -203,11 +218,10 @@ def fit(documents: DataFrame, labels: DataFrame, most_per_class: int = MOST_LABE
     for i, r in enumerate(rows):
         votes[i, r["votes"]] = 1
     # sampling by class changed the shares; weights restore those of the labelled rows
-    totals = {r["toxic"]: r["count"] for r in labels.where(
-        F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy(F.col("toxic").cast("int").alias("toxic")).count().collect()}
+    totals = {r["toxic"]: r["count"] for r in clean_labels(labels).groupBy("toxic").count().collect()}
     weight = np.where(gold == 1, totals[1] / n_toxic, totals[0] / n_clean)
     weight *= len(rows) / weight.sum()
-    post = label_model(votes, gold, weight)
+    post = label_model(votes, gold, weight, with_given=with_given)
     inputs = np.column_stack([np.ones(len(rows)), numbers, votes])
     return {"lexicon": lexicon, "weights": train_linear(inputs, post, weight).tolist()}
 
@@ -215,7 +229,7 @@ def fit(documents: DataFrame, labels: DataFrame, most_per_class: int = MOST_LABE
 def score_texts(df: DataFrame, model: dict, text: str = "text", score: str = "score") -> DataFrame:
     """``df`` with ``score`` (0 to 1, toxic likelier when higher). NULL and empty texts are scored like a text without
     words; repeated rows score alike; whole texts are read, however long. A column of the name is replaced."""
-    sent = df.sparkSession.sparkContext.broadcast(model)  # MOST_TERMS terms and some seventy numbers at most
+    sent = df.sparkSession.sparkContext.broadcast(model)  # terms of the bounded sample and some seventy numbers
 
     def make():
         voters, weights = Voters(sent.value["lexicon"]), sent.value["weights"]
@@ -235,6 +249,12 @@ def score_texts(df: DataFrame, model: dict, text: str = "text", score: str = "sc
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``documents`` (same columns) without those scored at ``threshold`` or above."""
-    scored = score_texts(documents, fit(documents, labels), score="__score")
-    return scored.where(F.col("__score") < threshold).drop("__score")
+    """``documents`` (same columns, which may have any name) without those scored at ``threshold`` or above.
+
+    The classifier is fitted on the labels of the documents' own ids. NULL and empty texts are scored like a text without
+    words, repeated rows stay or go together, whole texts are read. Without labels, or with labels of one class only, every
+    text is of that class (clean without any). An empty table stays empty.
+    """
+    score, = spare_names(documents, 1)
+    kept = score_texts(documents, fit(documents, labels), score=score).where(F.col(score) < threshold)
+    return kept.select(*own_columns(kept, documents))
