@@ -171,7 +171,8 @@ def remove_spans(
     # words and runs of other characters alternate: the n-th word is piece 2 n, or 2 n + 1 where the text begins otherwise
     starts = F.when(texts[piece].rlike("^" + _PIECE.split("|")[1].rstrip(")")), 1).otherwise(0)
     words = texts.select(key.alias("key"), starts.alias("first"), F.explode(spans).alias("span")).select(
-        "key", (F.explode(F.sequence(F.col("span.start"), F.col("span.stop") - 1)) * 2 + F.col("first")).alias("at")).distinct()
+        "key", "first", F.explode(F.sequence(F.col("span.start"), F.col("span.stop") - 1)).alias("nth")).select(
+        "key", (F.col("nth") * 2 + F.col("first")).alias("at")).distinct()
     left = pieces.join(words, ["key", "at"], "left_anti").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
     done = bad.select(id_, hash_, hits, key.alias("key")).join(left, "key", "left").select(
         id_, hash_, hits, F.coalesce(F.array_join(F.col("pieces.piece"), ""), F.lit("")).alias(cut))

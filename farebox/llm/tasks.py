@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -51,18 +52,23 @@ def with_python_columns(
     small_batches(df.sparkSession)
     added = T._parse_datatype_string(outputs) if isinstance(outputs, str) else outputs
     rest = without(df, added.names)
-    sent = df.select(*[df[f"`{c}`"] for c in rest.columns], *[df[f"`{c}`"].alias(f"__in{i}") for i, c in enumerate(inputs)])
-    schema = T.StructType([*rest.schema.fields, *added.fields])
+    # numbered on the way, because the names may hold any character
     kept, arrow = len(rest.columns), to_arrow_schema(added)
+    sent = df.select(
+        *[df[f"`{c}`"].alias(f"kept{i}") for i, c in enumerate(rest.columns)], *[df[f"`{c}`"].alias(f"in{i}") for i, c in enumerate(inputs)])
+    back = T.StructType([
+        *[T.StructField(f"kept{i}", f.dataType) for i, f in enumerate(rest.schema.fields)],
+        *[T.StructField(f"new{i}", f.dataType) for i, f in enumerate(added.fields)]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
             columns = compute(*[batch.column(kept + i).to_pylist() for i in range(len(inputs))])
             new = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *new], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *new], names=back.names)
 
-    return sent.mapInArrow(run, schema)
+    named = zip(back.names, [*rest.columns, *added.names])
+    return sent.mapInArrow(run, back).select(*[F.col(n).alias(name) for n, name in named])
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -220,7 +220,7 @@ class Salvage:
         stand before the damage and are handed over unchecked.
         """
         raw, unpack = self.raw, zlib.decompressobj(31)
-        begin, used, waiting, held_back, failure = raw.at, 0, [], 0, None
+        begin, used, sound, waiting, held_back, failure = raw.at, 0, 0, [], 0, None
         # deflate makes no more than 1032 bytes of one
         inner = Parser(None if self.size is None else (self.size - raw.at) * 1032)
         while not unpack.eof:
@@ -228,11 +228,13 @@ class Salvage:
                 failure = "cut"
                 break
             piece = bytes(raw.held[raw.start + used:raw.start + used + _PIECE])
+            before = unpack.copy()
             try:
                 inner.feed(unpack.decompress(piece))
             except zlib.error as error:
-                failure = "check" if "check" in str(error) else "damaged"
-                break
+                failure = "check" if "data check" in str(error) or "length check" in str(error) else "damaged"
+                data, sound = _until_error(before, piece)
+                inner.feed(data)
             inner.ended = unpack.eof
             whole = 0
             for one in inner.records():
@@ -246,6 +248,8 @@ class Salvage:
                 if held_back > HELD_BACK:
                     yield from waiting
                     waiting, held_back = [], 0
+            if failure is not None:
+                break
             if whole and not unpack.eof:
                 # all before this piece belongs to records that are whole
                 raw.drop(used)
@@ -263,18 +267,22 @@ class Salvage:
             if len(good) < len(waiting) and raw.at > begin:
                 self.gaps.append((begin, raw.at))
             yield from good
-            self._skip_to_next_start(1 if raw.at == begin else 0)
+            self._skip_to_next_start(1 if raw.at == begin else 0, used + sound)
         self.inner_gaps += [(begin, *g) for g in inner.gaps]
 
-    def _skip_to_next_start(self, after: int = 1) -> None:
-        """Pass over bytes, ``after`` at least, up to where the next member or version line may begin."""
+    def _skip_to_next_start(self, after: int = 1, decoded: int = 0) -> None:
+        """Pass over bytes, ``after`` at least, up to where the next member or version line may begin. In the first ``decoded``
+        bytes, which a member was decoded from, only another member can: a version line there was seen in what it decoded to.
+        """
         raw = self.raw
         while True:
-            found = [i - raw.start for i in (raw.held.find(x, raw.start + after) for x in (_MAGIC, b"WARC/1.")) if i >= 0]
+            lines = max(after, decoded)
+            found = [i - raw.start for i in (raw.held.find(_MAGIC, raw.start + after), raw.held.find(b"WARC/1.", raw.start + lines)) if i >= 0]
             if found or raw.ended:
                 return raw.gap(min(found, default=len(raw)))
-            raw.gap(max(after, len(raw) - 8))  # a start may be cut off at the end of what is held
-            after = 0
+            passed = max(after, len(raw) - 8)  # a start may be cut off at the end of what is held
+            raw.gap(min(passed, len(raw)))
+            after, decoded = 0, max(0, decoded - passed)
             self._more()
 
     def __iter__(self) -> Iterator[Record]:
@@ -298,6 +306,20 @@ class Salvage:
                 self._skip_to_next_start()
 
 
+def _until_error(unpack, piece: bytes) -> tuple[bytes, int]:
+    """What a piece decodes to before its error, and how many of its bytes that takes: the error itself loses all that the
+    call has decoded."""
+    out, at, step = [], 0, len(piece)
+    while step and at < len(piece):
+        before = unpack.copy()
+        try:
+            out.append(unpack.decompress(piece[at:at + step]))
+            at += step
+        except zlib.error:
+            unpack, step = before, step // 2
+    return b"".join(out), at
+
+
 def _content_length(head: bytes) -> int | None:
     for line in head.split(b"\r\n")[1:]:
         name, _, value = line.partition(b":")
