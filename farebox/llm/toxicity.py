@@ -149,7 +149,8 @@ def label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, rounds:
     """Posterior probability of the class "toxic" per row.
 
     ``votes`` (rows, voters) says who speaks. The given label starts the estimation and, ``with_given``, counts as one more
-    voter whose accuracy is estimated like the others' and held above chance, so that the two classes keep their meaning.
+    voter with an accuracy of its own, which is held high, so that the two classes keep their meaning: left to the voters
+    alone, the classes drift to whatever most voters agree on.
     """
     everyone = np.column_stack([votes, gold]).astype(float) if with_given else votes.astype(float)
     post = np.where(gold == 1, 0.95, 0.05)
@@ -158,7 +159,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, rounds:
         speaks1 = (everyone.T @ w1 + 0.5) / (w1.sum() + 1)
         speaks0 = (everyone.T @ w0 + 0.5) / (w0.sum() + 1)
         if with_given:
-            speaks1[-1], speaks0[-1] = max(speaks1[-1], 0.6), min(speaks0[-1], 0.4)
+            speaks1[-1], speaks0[-1] = max(speaks1[-1], 0.9), min(speaks0[-1], 0.02)
         # what goes together beyond the class: correlation of the residuals
         rest = (everyone - post[:, None] * speaks1 - (1 - post)[:, None] * speaks0) * np.sqrt(weight)[:, None]
         covariance = rest.T @ rest
@@ -167,6 +168,8 @@ def label_model(votes: np.ndarray, gold: np.ndarray, weight: np.ndarray, rounds:
         np.fill_diagonal(together, 0)
         together[together < 0.1] = 0
         trust = 1 / (1 + together.sum(axis=1))
+        if with_given:
+            trust[-1] = 1
         spoken, silent = np.log(speaks1 / speaks0) * trust, np.log((1 - speaks1) / (1 - speaks0)) * trust
         prior = np.log(w1.sum() + 1) - np.log(w0.sum() + 1)
         logit = prior + everyone @ spoken + (1 - everyone) @ silent

@@ -340,7 +340,7 @@ def plain_toxicity(texts, given, held=True):
         speaks = [(votes * (weight * p)[:, None]).sum(0) / 1.0 for p in (1 - post, post)]
         total = [(weight * (1 - post)).sum(), (weight * post).sum()]
         rate = [(speaks[c] + 0.5) / (total[c] + 1) for c in (0, 1)]
-        rate[1][-1], rate[0][-1] = max(rate[1][-1], 0.6), min(rate[0][-1], 0.4)
+        rate[1][-1], rate[0][-1] = max(rate[1][-1], 0.9), min(rate[0][-1], 0.02)
         expected = np.outer(post, rate[1]) + np.outer(1 - post, rate[0])
         rest = votes - expected
         norm = np.sqrt((rest ** 2).sum(0)) + 1e-9
@@ -348,6 +348,7 @@ def plain_toxicity(texts, given, held=True):
         for a in range(votes.shape[1]):
             shared = [min(1, max(0, float(rest[:, a] @ rest[:, b]) / norm[a] / norm[b])) for b in range(votes.shape[1]) if b != a]
             trust[a] = 1 / (1 + sum(x for x in shared if x >= 0.1))
+        trust[-1] = 1
         logit = math.log((total[1] + 1) / (total[0] + 1)) + (
             votes * trust * np.log(rate[1] / rate[0]) + (1 - votes) * trust * np.log((1 - rate[1]) / (1 - rate[0]))).sum(1)
         post = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
