@@ -4,6 +4,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -44,7 +45,10 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
         "farebox-bench", f"local[{cpus}]", shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
-        extra={"spark.ui.enabled": "false", "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"},
+        extra={
+            "spark.ui.enabled": "false", "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": f"file:{tempfile.mkdtemp(prefix='farebox-bench-')}",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
