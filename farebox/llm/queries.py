@@ -78,25 +78,25 @@ RULES = (
 )
 
 
-def _sql_list(values) -> str:
-    return ", ".join(f"'{v}'" for v in values)
-
-
 def _urls_sql() -> str:
     """The URL filter said in SQL, over the same rules and vocabulary."""
     rules = ", ".join(f"('{r.action}', '{r.host}', '{r.path}')" for r in RULES)
-    stands = "regexp_matches(lower, '(^|[^\\p{L}\\p{N}])' || t || '([^\\p{L}\\p{N}]|$)')"
-    strict = f"len(list_filter([{_sql_list(urls.STRICT_TERMS)}], lambda t: {stands}))"
-    soft = f"list_filter([{_sql_list(urls.SOFT_TERMS)}], lambda t: {stands})"
-    weights = "map {" + ", ".join(f"'{t}': {w}" for t, w in urls.SOFT_TERMS.items()) + "}"
+    def sum_of(terms) -> str:
+        # a pattern per term, so that each is compiled once
+        edges = "(^|[^\\p{L}\\p{N}])", "([^\\p{L}\\p{N}]|$)"
+        return " + ".join(f"{w} * cast(regexp_matches(lower, '{edges[0]}{t}{edges[1]}') as int)" for t, w in terms)
+
+    strict = sum_of((t, 1) for t in urls.STRICT_TERMS)
+    soft = sum_of((t, 1) for t in urls.SOFT_TERMS)
+    weight = sum_of((t, f"cast({w} as double)") for t, w in urls.SOFT_TERMS.items())
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return f"""with rules as (select * from (values {rules}) t(action, host, start)),
     cut as (select page_id, coalesce(url, '') as url, case when contains(url, '://')
       then split_part(split_part(substr(url, strpos(url, '://') + 3), '#', 1), '?', 1) else '' end as rest from pages),
     parts as (select page_id, {lower.format("url")} as lower, split_part(rest, '/', 1) as h, rest from cut),
     hosts as (select page_id, lower, {lower.format("h")} as host, substr(rest, length(h) + 1) as path from parts),
-    judged as (select page_id, host, path, cast({strict} as int) as n_strict, cast(len({soft}) as int) as n_soft,
-      coalesce(list_sum(list_transform({soft}, lambda t: cast({weights}[t] as double))), 0.0) as soft_weight from hosts),
+    judged as (select page_id, host, path, cast({strict} as int) as n_strict, cast({soft} as int) as n_soft,
+      {weight} as soft_weight from hosts),
     fitting as (select page_id, r.action, r.host || r.start as name, row_number() over (
         partition by page_id order by length(r.host || r.start) desc, length(r.host) desc) as nth
       from judged j join rules r on (j.host = r.host or ends_with(j.host, '.' || r.host)) and starts_with(j.path, r.start))
