@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,14 +11,22 @@ from farebox.functions.columns import as_column
 from farebox.schemas import INGEST_INTEGERS, INGEST_KEEP, INGEST_RENAMES, Field
 
 
-def to_contract(df: DataFrame, contract: list[Field], required: str | None = None) -> DataFrame:
-    """Select, rename and cast to the contract; rows whose ``required`` source column is NULL are left out."""
+def to_contract(
+    df: DataFrame, contract: list[Field], required: str | None = None, uncast: Collection[str] = ()
+) -> DataFrame:
+    """Select, rename and cast to the contract; rows whose ``required`` source column is NULL are left out.
+
+    Columns of ``uncast`` that the feed has as doubles stay doubles, for a model that drops rows before it casts.
+    """
     if required:
         df = df.where(F.col(required).isNotNull())
-    return df.select(*[
-        (F.col(f.source).try_cast(f.dtype) if f.safe else F.col(f.source).cast(f.dtype)).alias(f.name)
-        for f in contract
-    ])
+
+    def field(f: Field) -> Column:
+        if f.name in uncast and df.schema[f.source].dataType.typeName() == "double":
+            return F.col(f.source)
+        return F.col(f.source).try_cast(f.dtype) if f.safe else F.col(f.source).cast(f.dtype)
+
+    return df.select(*[field(f).alias(f.name) for f in contract])
 
 
 def keep_existing(df: DataFrame, names: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from farebox.operators.checks import RESULT, CheckFailed, run_other_checks, watc
 from farebox.operators.tables import replace_table
 from farebox.operators.versions import Version, discard, publish, stage
 from farebox.plans import marts, staging
+from farebox.schemas import AMOUNTS
 
 CHECK_RESULTS = "check_results"
 
@@ -75,7 +76,8 @@ def build_marts(
         zones = build.put("dim_zones", marts.dim_zones(zone_lookup), marts.dim_zones_checks())
 
         # staging is not stored, and counting it below the shuffle of the trips could count a repeated task twice
-        green, yellow = staging.stg_green_tripdata(green_raw), staging.stg_yellow_tripdata(yellow_raw)
+        green = staging.stg_green_tripdata(green_raw, uncast=AMOUNTS)
+        yellow = staging.stg_yellow_tripdata(yellow_raw, uncast=AMOUNTS)
         build.check("staging", marts.check_stg_trips(green), marts.check_stg_trips(yellow))
 
         trips = build.put("int_trips", marts.int_trips(marts.int_trips_unioned(green, yellow), payment_types), marts.int_trips_checks())

@@ -16,7 +16,7 @@ from farebox.operators.checks import (
 )
 from farebox.operators.conform import with_constants
 from farebox.operators.dedup import keep_first
-from farebox.schemas import NUMERIC
+from farebox.schemas import AMOUNTS, NUMERIC
 
 SERVICES = ["Green", "Yellow"]
 TRIP_KEY = ["vendor_id", "pickup_datetime", "pickup_location_id", "service_type"]
@@ -29,15 +29,20 @@ REVENUE_PARTS = [
 
 
 def int_trips_unioned(green: DataFrame, yellow: DataFrame) -> DataFrame:
-    """Both services in one shape. Yellow trips are always street hails (type 1) and carry no e-hail fee."""
+    """Both services in one shape. Yellow trips are always street hails (type 1) and carry no e-hail fee.
+
+    Amounts may come uncast from staging (``uncast=AMOUNTS``); ``int_trips`` casts them. One that only a single feed has
+    as a double is cast here, so that the other's decimals don't become doubles.
+    """
     green = with_constants(green, service_type=F.lit("Green"))
     yellow = with_constants(
         yellow,
         trip_type=F.lit(1).cast("int"),
-        ehail_fee=F.lit(0).cast(NUMERIC),
+        ehail_fee=F.lit(0).cast(green.schema["ehail_fee"].dataType),
         service_type=F.lit("Yellow"),
     )
-    return green.unionByName(yellow)
+    mixed = {c: F.col(c).cast(NUMERIC) for c in AMOUNTS if green.schema[c].dataType != yellow.schema[c].dataType}
+    return green.withColumns(mixed).unionByName(yellow.withColumns(mixed))
 
 
 def with_payment_label(
@@ -54,9 +59,11 @@ def int_trips(unioned: DataFrame, payment_types: DataFrame) -> DataFrame:
     """One row per (vendor, pickup time, pickup zone, service), the earliest drop-off, with id and payment label.
 
     Rows are reduced before they are joined and hashed: the key decides both, so the result is the same and the
-    md5 is computed once per kept trip.
+    md5 is computed once per kept trip. Uncast amounts are sorted and shuffled as the doubles of the feed (a primitive
+    comparison and 8 bytes each, where a wide decimal takes an object and 24) and cast once per kept trip.
     """
     kept = keep_first(unioned, sorted(TRIP_KEY, key="pickup_datetime".__ne__), "dropoff_datetime")
+    kept = kept.withColumns({c: F.col(c).cast(NUMERIC) for c in AMOUNTS})
     code = F.coalesce("payment_type", F.lit(UNKNOWN_PAYMENT))
     labelled = with_payment_label(kept, payment_types, code).withColumn("payment_type", code)
     return labelled.select(surrogate_key(*TRIP_KEY).alias("trip_id"), "*")

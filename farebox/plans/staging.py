@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 
 from farebox.operators.conform import to_contract
@@ -9,12 +11,12 @@ from farebox.schemas import FHV_CONTRACT, GREEN_CONTRACT, YELLOW_CONTRACT
 from farebox.sources.files import first_rows
 
 
-def stg_green_tripdata(raw: DataFrame, sample_rows: int | None = None) -> DataFrame:
-    return first_rows(to_contract(raw, GREEN_CONTRACT, required="VendorID"), sample_rows)
+def stg_green_tripdata(raw: DataFrame, sample_rows: int | None = None, uncast: Collection[str] = ()) -> DataFrame:
+    return first_rows(to_contract(raw, GREEN_CONTRACT, required="VendorID", uncast=uncast), sample_rows)
 
 
-def stg_yellow_tripdata(raw: DataFrame, sample_rows: int | None = None) -> DataFrame:
-    return first_rows(to_contract(raw, YELLOW_CONTRACT, required="VendorID"), sample_rows)
+def stg_yellow_tripdata(raw: DataFrame, sample_rows: int | None = None, uncast: Collection[str] = ()) -> DataFrame:
+    return first_rows(to_contract(raw, YELLOW_CONTRACT, required="VendorID", uncast=uncast), sample_rows)
 
 
 def stg_fhv_tripdata(raw: DataFrame, sample_rows: int | None = None) -> DataFrame:

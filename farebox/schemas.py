@@ -100,6 +100,8 @@ YELLOW_CONTRACT = [
     *_fields(f"{_MONEY} improvement_surcharge total_amount", NUMERIC),
     *_fields("payment_type", T.IntegerType()),
 ]
+# Money and distance of the contract, which a model may cast once its rows have been reduced.
+AMOUNTS = [f.name for f in GREEN_CONTRACT if f.dtype == NUMERIC]
 FHV_CONTRACT = [
     *_fields("dispatching_base_num", T.StringType()),
     *_fields("pickup_datetime dropoff_datetime=dropOff_datetime", T.TimestampType()),

@@ -11,7 +11,7 @@ from farebox.operators import checks as k
 from farebox.operators.aggregates import load_report, share_of_total
 from farebox.operators.dedup import keep_first, keep_latest
 from farebox.plans import analytics, marts, staging
-from farebox.schemas import GREEN_CSV, PAYMENT_TYPE_LOOKUP, YELLOW_CSV, ZONE_LOOKUP
+from farebox.schemas import AMOUNTS, GREEN_CSV, PAYMENT_TYPE_LOOKUP, YELLOW_CSV, ZONE_LOOKUP
 
 AT = datetime(2024, 3, 15, 10, 0, 59)
 
@@ -52,6 +52,22 @@ def test_earliest_dropoff_wins_and_ties_are_settled(build):
     assert [r.dropoff_location_id for r in got] == [8]  # of two equal drop-offs the smaller remaining columns
 
 
+def test_uncast_amounts_give_the_same_trips(spark):
+    green = spark.createDataFrame([_green(), _green(total=9.99), _green(pu=1, fare=-0.005)], GREEN_CSV)
+    yellow = spark.createDataFrame([_yellow(), _yellow(total=1e12 + 0.1), _yellow(vendor=None)], YELLOW_CSV)
+    # a feed whose amounts are decimals already is cast as before
+    exact = yellow.withColumn("total_amount", F.lit("12345678901234567.89").cast("decimal(20,2)"))
+    payments = spark.createDataFrame([(1, "Credit card"), (2, "Cash")], PAYMENT_TYPE_LOOKUP)
+    for other in (yellow, exact):
+        cast, uncast = (
+            marts.int_trips(marts.int_trips_unioned(
+                staging.stg_green_tripdata(green, uncast=late), staging.stg_yellow_tripdata(other, uncast=late)), payments)
+            for late in ((), AMOUNTS))
+        assert uncast.schema.simpleString() == cast.schema.simpleString()
+        assert sorted(map(tuple, uncast.collect()), key=str) == sorted(map(tuple, cast.collect()), key=str)
+        assert cast.count() == 3
+
+
 def test_payment_default_and_unknown_code(build):
     _, trips, *_ = build([_green(payment=None), _green(payment=5, pu=75), _green(payment=1, pu=1)], [])
     assert {(r.payment_type, r.payment_type_description) for r in trips.collect()} == {

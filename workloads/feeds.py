@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.plans import marts, staging
+from farebox.schemas import AMOUNTS
 
 # amounts are products of cents and hundredths, rounded half up to cents in whole numbers
 _CENTS = "floor(l_extendedprice * 100 + 0.5)"
@@ -217,7 +218,11 @@ def unioned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def int_trips(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.int_trips(unioned(spark, sf), payment_types(spark))
+    uncast = marts.int_trips_unioned(
+        staging.stg_green_tripdata(green_raw(spark, sf), uncast=AMOUNTS),
+        staging.stg_yellow_tripdata(yellow_raw(spark, sf), uncast=AMOUNTS),
+    )
+    return marts.int_trips(uncast, payment_types(spark))
 
 
 def fact(spark: SparkSession, sf: str) -> DataFrame:
