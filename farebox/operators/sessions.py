@@ -30,11 +30,10 @@ def session_counts(df: DataFrame, key: str, ts: str, gap_seconds: int, cells_per
         .withColumn("chunk", F.expr(f"(cell - pmod(cell, {cells_per_chunk}L)) div {cells_per_chunk}L"))
     )
     parts = _chained(cells, [key, "chunk"], gap)
-    of_chunk = Window.partitionBy(key, "chunk")
-    edge = (F.col("session") == 1) | (F.col("session") == F.max("session").over(of_chunk))
+    edge = (F.col("session") == 1) | (F.col("session") == F.col("sessions"))
     # the first and last sessions of all stretches of a key are chained together, every other one stands for itself, so
     # that one pass serves both and a key's inner sessions stay spread over the tasks
-    apart = F.when(~edge, F.struct("chunk", "session"))
+    apart = F.when(~edge, F.col("chunk") * (cells_per_chunk + 1) + F.col("session"))
     chains = _chained(parts.select(key, "first_at", "last_at", "num_trips", apart.alias("apart")), [key, "apart"], gap)
     return chains.select(
         F.timestamp_micros("first_at").alias("window_start"),
@@ -46,12 +45,16 @@ def session_counts(df: DataFrame, key: str, ts: str, gap_seconds: int, cells_per
 
 def _chained(spans: DataFrame, keys: list[str], gap: int) -> DataFrame:
     """Spans of time (first_at, last_at, num_trips) joined where a key's next one begins at most a gap after the last,
-    numbered per key as ``session``."""
+    numbered per key as ``session``, of so many ``sessions``."""
     in_order = Window.partitionBy(*keys).orderBy("first_at")
     starts = F.coalesce(F.col("first_at") > F.lag("last_at").over(in_order) + F.lit(gap), F.lit(True))
+    # both sums use the order that the lag needs, so there is one sort
     return (
         spans.withColumn("starts", starts.cast("int"))
         .withColumn("session", F.sum("starts").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .withColumn("sessions", F.sum("starts").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
         .groupBy(*keys, "session")
-        .agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), F.sum("num_trips").alias("num_trips"))
+        .agg(
+            F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), F.sum("num_trips").alias("num_trips"),
+            F.max("sessions").alias("sessions"))
     )
