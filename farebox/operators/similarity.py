@@ -7,15 +7,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from farebox.session import scratch_path
+
 # tasks receive this module's functions by value, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Numbers in a block of queries, and cells of the score matrix held at once (8 bytes each).
-BLOCK_NUMBERS = 250_000
+# Numbers of the queries that one pass over the vectors answers: what is sent to every executor is 64 MB at most.
+PASS_NUMBERS = 8_000_000
+# Queries scored together inside a task, and cells of their score matrix held at once (8 bytes each).
+BLOCK_QUERIES = 4096
 CELLS = 1_000_000
 SLICES = 256
 RESULT = "query_id long, vec_id long, score double"
@@ -71,52 +75,68 @@ def _keep_best(candidates: DataFrame, k: int) -> DataFrame:
     return sliced.drop("slice")
 
 
+def _one_pass(vectors: DataFrame, query_ids: np.ndarray, matrix: np.ndarray, k: int) -> tuple[DataFrame, Broadcast]:
+    """The k best vectors of the given queries, and the broadcast they are read from. Vectors stay where they are."""
+    sent = vectors.sparkSession.sparkContext.broadcast((query_ids, matrix))
+    width, block = matrix.shape[1], BLOCK_QUERIES
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, queries = sent.value
+        blocks = [_Best(ids[i:i + block], queries[i:i + block], k) for i in range(0, len(ids), block)]
+        for batch in batches:
+            if batch.num_rows:
+                vec_ids, rows = batch.column("vec_id").to_numpy(), _matrix(batch.column("embedding"), width)
+                for best in blocks:
+                    best.add(vec_ids, rows)
+        for best in blocks:
+            yield best.batch()
+
+    return _keep_best(vectors.mapInArrow(score, RESULT), k), sent
+
+
 def top_k_similar(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, vec_id, score, position) of the k most similar vectors per query; exact.
 
     ``vectors`` has (vec_id, embedding), ``queries`` (query_id, embedding); all embeddings hold as many numbers, none
-    of them NULL, else the query fails. Packs of vectors meet blocks of queries; a task carries the k best per query
-    through all its packs and hands them over once. A single block, the usual case, leaves the vectors where they are
-    if Spark broadcasts it. Scores are rounded to 9 decimals so that the order does not depend on how the product is
-    summed.
+    of them NULL, else the query fails; rows without an embedding take no part. Queries are dealt to passes of at most
+    ``PASS_NUMBERS`` numbers. A pass broadcasts its queries and reads the vectors once, where they lie: no vector is copied
+    or shuffled, and a task hands over k rows per query. One pass, the usual case, is lazy; of several, each is run and
+    stored before the next one's queries are sent, so executors hold one pass's queries whatever their number. Scores are
+    rounded to 9 decimals so that the order does not depend on how the product is summed.
     """
+    spark = vectors.sparkSession
     vectors = vectors.where(F.col("embedding").isNotNull()).select(F.col("vec_id").cast("long"), "embedding")
     queries = queries.where(F.col("embedding").isNotNull()).select(F.col("query_id").cast("long"), "embedding")
+    at = scratch_path(spark, "queries")
+    queries.write.parquet(at)
+    queries = spark.read.schema(queries.schema).parquet(at)
     size = queries.agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("query_id").alias("ids"),
+        F.count(F.lit(1)).alias("n"), F.count_distinct("query_id").alias("ids"), F.count("query_id").alias("named"),
         F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("width"),
     ).first()
-    if size["ids"] != size["n"]:
+    if size["ids"] != size["n"] or size["named"] != size["n"]:
         raise ValueError("query ids must be unique")
-    width = size["width"]
-    n_blocks = max(1, -(-size["n"] * width // BLOCK_NUMBERS))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                flat = _matrix(batch.column("embedding"), width).ravel()
-                ids = batch.column("vec_id").to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array([ids]), pa.array([flat])], names=["vec_ids", "flat"])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, _Best] = {}
-        for batch in batches:
-            for row in range(batch.num_rows):
-                block = batch.column("block")[row].as_py()
-                if block not in best:
-                    query_ids = batch.column("query_ids")[row].values.to_numpy()
-                    best[block] = _Best(query_ids, _matrix(batch.column("embeddings")[row].values, width), k)
-                vec_ids, flat = (batch.column(name)[row].values.to_numpy() for name in ("vec_ids", "flat"))
-                best[block].add(vec_ids, flat.reshape(len(vec_ids), width))
-        for one in best.values():
-            yield one.batch()
-
-    packed_queries = queries.groupBy(
-        F.pmod(F.xxhash64("query_id"), F.lit(n_blocks).cast("long")).alias("block")
-    ).agg(F.collect_list(F.struct("query_id", "embedding")).alias("items")).select(
-        "block", F.col("items.query_id").alias("query_ids"), F.col("items.embedding").alias("embeddings"))
-    packs = vectors.mapInArrow(pack, "vec_ids array<long>, flat array<double>").withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))
-    )
-    joined = packs.join(packed_queries, "block").select("block", "vec_ids", "flat", "query_ids", "embeddings")
-    return _keep_best(joined.mapInArrow(score, RESULT), k)
+    if not size["n"]:
+        return spark.createDataFrame([], f"{RESULT}, position int")
+    width = max(1, size["width"])
+    most = max(1, PASS_NUMBERS // width)
+
+    def answer(some: DataFrame) -> tuple[DataFrame, Broadcast]:
+        table = some.toArrow()
+        return _one_pass(vectors, table["query_id"].to_numpy(), _matrix(table["embedding"], width), k)
+
+    if size["n"] <= most:
+        return answer(queries)[0]
+    passes = -(-size["n"] // most)
+    while True:
+        dealt = F.pmod(F.xxhash64("query_id"), F.lit(passes).cast("long"))
+        if queries.groupBy(dealt.alias("pass")).count().agg(F.max("count")).first()[0] <= most:
+            break
+        passes *= 2
+    results = []
+    for number in range(passes):
+        best, sent = answer(queries.where(dealt == number))
+        results.append(scratch_path(spark, "nearest"))
+        best.write.parquet(results[-1])
+        sent.destroy()
+    return spark.read.schema(f"{RESULT}, position int").parquet(*results)

@@ -20,15 +20,31 @@ def _brute_force(vectors, queries, k):
     return {(q, int(v), p + 1) for q, row in enumerate(scores) for p, v in enumerate(sorted(range(len(row)), key=lambda i: (-row[i], i))[:k])}
 
 
-@pytest.mark.parametrize("block_numbers", [similarity.BLOCK_NUMBERS, 24])
-def test_equals_brute_force(data, monkeypatch, block_numbers):
-    monkeypatch.setattr(similarity, "BLOCK_NUMBERS", block_numbers)
+@pytest.mark.parametrize(("pass_numbers", "block"), [(similarity.PASS_NUMBERS, similarity.BLOCK_QUERIES), (similarity.PASS_NUMBERS, 5), (24, 2)])
+def test_equals_brute_force(data, monkeypatch, pass_numbers, block):
+    monkeypatch.setattr(similarity, "PASS_NUMBERS", pass_numbers)  # 24: at most three queries a pass
+    monkeypatch.setattr(similarity, "BLOCK_QUERIES", block)
     monkeypatch.setattr(similarity, "CELLS", 50)
     vectors, queries, vector_df, query_df = data
     got = similarity.top_k_similar(vector_df, query_df, 5)
     assert {(r.query_id, r.vec_id, r.position) for r in got.collect()} == _brute_force(vectors, queries, 5)
 
 
+def test_vectors_are_neither_copied_nor_shuffled(spark, data, plan_of):
+    vectors = spark.range(0, 50, 1, 5).selectExpr("id as vec_id", "transform(sequence(1, 8), i -> sin(id * i)) as embedding")
+    plan = plan_of(similarity.top_k_similar(vectors, data[3], 5))
+    tree = plan[:plan.index("(1)")]
+    assert "Join" not in tree and "Generate" not in tree
+    assert "Exchange" not in tree[tree.index("MapInArrow"):]
+
+
+def test_query_ids_must_be_unique(data):
+    *_, vector_df, query_df = data
+    for wrong in (query_df.union(query_df), query_df.selectExpr("nullif(query_id, 3) as query_id", "embedding")):
+        with pytest.raises(ValueError, match="unique"):
+            similarity.top_k_similar(vector_df, wrong, 3)
+
+
 def test_lengths_must_agree(spark):
     query = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0])], "query_id long, embedding array<double>")
     for wrong in ([1.0] * 3, [1.0, None, 0.0, 0.0]):
