@@ -78,12 +78,15 @@ def create_if_missing(
 
 def append_rows(df: DataFrame, name: str) -> None:
     """Append by column name. Repeating it repeats the rows; use the ledger or a later dedup for that."""
-    target = stored_table(df.sparkSession, name)
-    table = df.sparkSession.table(target)
-    buckets = bucketing(df.sparkSession, target)
-    rows = df.select(*table.columns)
-    # dealt out as the buckets are, so that a write makes one file per bucket
-    (rows.repartition(buckets[1], buckets[0]) if buckets else rows).write.insertInto(target)
+    spark = df.sparkSession
+    target = stored_table(spark, name)
+    rows = df.select(*spark.table(target).columns)
+    buckets, folders = bucketing(spark, target), partition_columns(spark, target)
+    if buckets:  # dealt out as the buckets are, so that a write makes one file per bucket
+        rows = rows.repartition(buckets[1], buckets[0])
+    elif folders:  # else every task writes a file into every folder; one that is far larger than others is split
+        rows = rows.hint("rebalance", *[F.col(c) for c in folders])
+    rows.write.insertInto(target)
 
 
 def with_lineage(
@@ -116,6 +119,11 @@ def bucketing(spark: SparkSession, name: str) -> tuple[str, int] | None:
     return (columns[0], int(about["Num Buckets"])) if "Num Buckets" in about and len(columns) == 1 else None
 
 
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    """The columns that a stored table has folders for."""
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 # ---- insert-only merge ----
 
 def _value_of(column: str, df: DataFrame) -> Column:

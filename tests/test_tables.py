@@ -122,6 +122,19 @@ def test_replacing_a_partitioned_table_leaves_no_old_folder(spark, database, tmp
     assert rows(spark.table(name)) == [(1, date(2024, 1, 2))]
 
 
+
+def test_append_writes_a_file_per_folder(spark, database):
+    """Rows of all days in all tasks: each day still becomes one file, not one per task."""
+    name = f"{database}.by_day"
+    source = spark.range(0, 4000, 1, 8).selectExpr("cast(id as string) as id", "date_add(date'2024-01-01', cast(pmod(id, 5) as int)) as day")
+    tables.create_if_missing(spark, name, source.schema, partition_by=["day"])
+    for _ in range(2):
+        tables.merge_into_table(spark, name, source, "id", within="day")
+    table = spark.table(name)
+    assert table.count() == 4000 and table.select("day").distinct().count() == 5
+    assert len(table.inputFiles()) == 5
+
+
 def test_day_layout_prunes_and_clusters(spark, tmp_path, plan_of):
     events = spark.range(20_000).select(
         (F.col("id") % 7).alias("vendor_id"), F.timestamp_seconds(1_704_067_200 + F.col("id") * 30).cast("timestamp_ntz").alias("ts"))
