@@ -19,6 +19,7 @@ from farebox.functions.times import in_half_open
 from farebox.operators.dedup import keep_latest, keep_one
 from farebox.operators.layout import DAY
 from farebox.operators.versions import publish, stage, stage_partitions, stored_table
+from farebox.session import scratch_path
 
 
 # ---- create, replace, append ----
@@ -56,13 +57,15 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 
 
 def table_ddl(
-    name: str, schema: T.StructType, path: str | None = None, partition_by: list[str] | None = None
+    name: str, schema: T.StructType, path: str | None = None, partition_by: list[str] | None = None,
+    compression: str | None = None,
 ) -> str:
     """CREATE TABLE text for a schema."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    options = f" OPTIONS (compression '{compression}')" if compression else ""
     partitions = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     location = f" LOCATION '{path}'" if path else ""
-    return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitions}{location}"
+    return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{options}{partitions}{location}"
 
 
 def create_if_missing(
@@ -71,22 +74,31 @@ def create_if_missing(
     schema: T.StructType,
     path: str | None = None,
     partition_by: list[str] | None = None,
+    compression: str | None = None,
 ) -> None:
     """An empty table with this schema, unless the table exists; without ``path`` Spark manages its files."""
-    spark.sql(table_ddl(name, schema, path, partition_by))
+    spark.sql(table_ddl(name, schema, path, partition_by, compression))
 
 
-def append_rows(df: DataFrame, name: str) -> None:
-    """Append by column name. Repeating it repeats the rows; use the ledger or a later dedup for that."""
+def append_rows(df: DataFrame, name: str, derived: dict[str, Column] | None = None) -> None:
+    """Append by column name. Repeating it repeats the rows; use the ledger or a later dedup for that.
+
+    ``derived`` are columns that follow from the others. They are made after the rows are dealt out, which so move without
+    them, but for those that the rows are dealt out by.
+    """
     spark = df.sparkSession
     target = stored_table(spark, name)
-    rows = df.select(*spark.table(target).columns)
+    columns = spark.table(target).columns
     buckets, folders = bucketing(spark, target), partition_columns(spark, target)
+    dealt_by = [buckets[0]] if buckets else folders
+    later = {c: made for c, made in (derived or {}).items() if c not in dealt_by}
+    rows = df.withColumns({c: made for c, made in (derived or {}).items() if c in dealt_by})
+    rows = rows.drop(*later) if later else rows.select(*columns)
     if buckets:  # dealt out as the buckets are, so that a write makes one file per bucket
         rows = rows.repartition(buckets[1], buckets[0])
     elif folders:  # else every task writes a file into every folder; one that is far larger than others is split
         rows = rows.hint("rebalance", *[F.col(c) for c in folders])
-    rows.write.insertInto(target)
+    rows.withColumns(later).select(*columns).write.insertInto(target)
 
 
 def with_lineage(
@@ -167,6 +179,54 @@ def merge_into_table(spark: SparkSession, name: str, source: DataFrame, id_col:
     append_rows(rows_for_table(spark, name, source, id_col, **options), name)
 
 
+def merge_files_into_table(
+    spark: SparkSession, name: str, source: DataFrame, id_col: str, derived: dict[str, Column], within: str | None = None
+) -> None:
+    """``merge_into_table`` for a source that lies in files and can be read again instead of being kept a second time.
+
+    ``derived`` are columns that follow from the source's own, the id usually among them. First the bare ids are compared;
+    rows move only if they are to be inserted, and without those columns. The source is read for its values of ``within``,
+    for its ids and for its rows: only for its rows where the target holds nothing of its values, not for them if all its
+    ids are held.
+    """
+    buckets = bucketing(spark, stored_table(spark, name))
+    if buckets and buckets[0] == id_col:  # the target lies as it is needed
+        merge_into_table(spark, name, source.withColumns(derived), id_col, within=within)
+        return
+    rows = _rows_by_id(spark, name, source, id_col, derived, within)
+    if rows is not None:
+        append_rows(rows, name, derived)
+
+
+def _rows_by_id(
+    spark: SparkSession, name: str, source: DataFrame, id_col: str, derived: dict[str, Column], within: str | None
+) -> DataFrame | None:
+    """Source rows whose id the target does not hold, without the derived columns; None if there are none."""
+    target, whole = spark.table(name), source.withColumns(derived)
+    if target.isEmpty():
+        return source
+    if within:
+        values = stored(whole.select(within).distinct(), scratch_path(spark, "merge-values"))
+        target = target.where(_value_of(within, values))
+        if target.isEmpty():
+            return source
+    brief = target.schema[id_col].dataType == whole.schema[id_col].dataType == T.StringType()
+    key = _brief_id(id_col) if brief else F.col(id_col)
+    given, held = whole.select(key.alias("_id")), target.select(key.alias("_id"))
+    missing = stored(given.join(held, "_id", "left_anti"), scratch_path(spark, "merge-ids")).toDF("_missing")
+    if missing.isEmpty():
+        return None
+    rows = whole.withColumn("_id", key).drop(*derived)
+    return rows.join(missing, F.col("_id").eqNullSafe(F.col("_missing")), "left_semi").drop("_id")
+
+
+def _brief_id(id_col: str) -> Column:
+    """The id as bytes, of an md5's text the 16 that it stands for; different ids stay different and NULL stays NULL."""
+    digest = F.col(id_col).rlike(r"\A[0-9a-f]{32}\z")
+    # other texts are 17 bytes at least, so that none is taken for a digest
+    return F.when(digest, F.unhex(id_col)).otherwise(F.concat(F.col(id_col).cast("binary"), F.lit(bytes(17))))
+
+
 def rows_for_table(spark: SparkSession, name: str, source: DataFrame, id_col: str, **options) -> DataFrame:
     """The rows that ``merge_into_table`` would append."""
     buckets = bucketing(spark, stored_table(spark, name))

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from farebox.functions import double_text, row_id
 from farebox.operators.layout import DAY
-from farebox.operators.tables import create_if_missing, merge_into_table, stored
+from farebox.operators.tables import create_if_missing, merge_files_into_table
 from farebox.schemas import GREEN_CSV, YELLOW_CSV
-from farebox.session import scratch_path
 from farebox.sources.files import read_csv
 
 # Declared schema of each service's files and the prefix of its time columns.
@@ -23,21 +22,26 @@ def file_row_id(prefix: str) -> Column:
         double_text("fare_amount"), double_text("trip_distance"), sep="")
 
 
+def made_columns(service: str, filename: str) -> dict[str, Column]:
+    """Columns that every row of a month file gets: its id and the name of the file."""
+    return {"unique_row_id": file_row_id(SERVICES[service][1]), "filename": F.lit(filename)}
+
+
 def staged_file(spark: SparkSession, service: str, path: str, filename: str) -> DataFrame:
     """Rows of a month file with ``unique_row_id`` and ``filename`` in front and the pickup day behind."""
     schema, prefix = SERVICES[service]
     rows = read_csv(spark, path, schema=schema)
-    return rows.select(
-        file_row_id(prefix).alias("unique_row_id"), F.lit(filename).alias("filename"), "*",
-        F.col(f"{prefix}_pickup_datetime").cast("date").alias(DAY))
+    made = [column.alias(name) for name, column in made_columns(service, filename).items()]
+    return rows.select(*made, "*", F.col(f"{prefix}_pickup_datetime").cast("date").alias(DAY))
 
 
 def merge_month_file(spark: SparkSession, table: str, service: str, path: str, filename: str) -> None:
     """Insert the rows of a month file whose id ``table`` doesn't hold; a file merged before inserts nothing.
 
     The table has a folder per pickup day, which the id is made of, so only the file's days are read, and of them only
-    the id. Rows without a pickup time lie in a folder of their own. The file is parsed once and kept in the shared folder.
+    the id. Rows without a pickup time lie in a folder of their own. The file is not stored a second time: its days and ids
+    are read first, and its rows where some are to be inserted. These move once, by day, and get their id after that.
     """
-    staged = staged_file(spark, service, path, filename)
-    create_if_missing(spark, table, staged.schema, partition_by=[DAY])
-    merge_into_table(spark, table, stored(staged, scratch_path(spark, "month-file")), "unique_row_id", within=DAY)
+    staged, made = staged_file(spark, service, path, filename), made_columns(service, filename)
+    create_if_missing(spark, table, staged.schema, partition_by=[DAY], compression="zstd")
+    merge_files_into_table(spark, table, staged.drop(*made), "unique_row_id", made, within=DAY)

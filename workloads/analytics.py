@@ -246,7 +246,7 @@ def q18(spark, sf):
     select {F2_SQL} as unique_row_id, service || '_tripdata.csv' as filename, distance as trip_distance, fare as fare_amount,
       cast(pickup as date) as day from feed""")
 def q18_files(spark, sf):
-    # CSV files of both services with their declared columns, each merged twice into its own table
+    # gzip CSV files, as they are published, of both services with their declared columns, each merged twice into its own table
     root, run = scratch_path(spark, "q18"), uuid.uuid4().hex[:12]
     spark.sql(f"create database farebox_run_{run} location '{root}/tables'")
     merged = []
@@ -254,7 +254,7 @@ def q18_files(spark, sf):
         schema, prefix = SERVICES[service]
         texts = {f"{prefix}_{end}_datetime": F.date_format(f"{prefix}_{end}_datetime", "yyyy-MM-dd HH:mm:ss") for end in ("pickup", "dropoff")}
         given = raw.withColumns({**texts, "RatecodeID": F.lit(None).cast("long"), "congestion_surcharge": F.lit(0.0)})
-        given.select(*schema.names).write.option("header", True).csv(f"{root}/{service}")
+        given.select(*schema.names).write.option("header", True).csv(f"{root}/{service}", compression="gzip")
         name = f"farebox_run_{run}.{service}_tripdata"
         for _ in range(2):
             merge_month_file(spark, name, service, f"{root}/{service}", f"{service}_tripdata.csv")
