@@ -32,9 +32,11 @@ def s2(spark, sf):
     select o_orderstatus, count(*) as orders, min(o_orderdate) as first_order from orders group by o_orderstatus""")
 def s3(spark, sf):
     sources.external_view(sources.read_parquet(spark, f"{sf}/order*.parquet"), "external_orders")
-    return spark.sql(
+    counted = spark.sql(
         "select o_orderstatus, count(*) as orders, min(o_orderdate) as first_order from external_orders group by o_orderstatus"
     )
+    spark.catalog.dropTempView("external_orders")
+    return counted
 
 
 def _as_csv(df, name, **options):

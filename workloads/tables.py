@@ -55,6 +55,7 @@ def w4(spark, sf):
     name = fresh_table(spark, "w4")
     feeds.table(spark, sf, "orders").createOrReplaceTempView("w4_source")
     spark.sql(f"create table {name} using parquet as select * from w4_source")
+    spark.catalog.dropTempView("w4_source")
     return spark.table(name)
 
 
