@@ -170,7 +170,9 @@ def remove_spans(
     pieces = texts.select(key.alias("key"), F.posexplode(F.regexp_extract_all(F.col(piece), F.lit(_PIECE), F.lit(1))).alias("at", "piece"))
     # words and runs of other characters alternate: the n-th word is piece 2 n, or 2 n + 1 where the text begins otherwise
     starts = F.when(texts[piece].rlike("^" + _PIECE.split("|")[1].rstrip(")")), 1).otherwise(0)
-    words = texts.select(key.alias("key"), starts.alias("first"), F.explode(spans).alias("span")).select(
+    # looked up before the spans are taken apart, not in the text again for each of them
+    begun = texts.select(key.alias("key"), starts.alias("first"), F.col(spans).alias("spans"))
+    words = begun.select("key", "first", F.explode("spans").alias("span")).select(
         "key", "first", F.explode(F.sequence(F.col("span.start"), F.col("span.stop") - 1)).alias("nth")).select(
         "key", (F.col("nth") * 2 + F.col("first")).alias("at")).distinct()
     left = pieces.join(words, ["key", "at"], "left_anti").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
